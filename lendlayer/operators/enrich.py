@@ -11,8 +11,10 @@ Scale notes
   from runtime sizes (broadcast below the threshold, sort-merge join beyond it, and
   skewed fact partitions split by the skew-join rule).
 * Fact rows with a null key can never match, but a shuffled join would still send
-  all of them to one reducer. They get a salt spread over ``shuffle.partitions``
-  buckets (matched keys keep salt 0), so null-heavy facts stay balanced.
+  all of them to one reducer. When the key is nullable they get a salt spread over
+  ``shuffle.partitions`` buckets (matched keys keep salt 0), so null-heavy facts stay
+  balanced. Keys known non-null (e.g. ids of clean rows) are joined directly, which
+  keeps an existing hash partitioning on the key usable (no extra exchange).
 """
 
 from __future__ import annotations
@@ -63,6 +65,8 @@ def left_join(
     out_cols = [key] + [c for c in df.columns if c != key] + [c for c in lookup.columns if c != key]
     if broadcast_max_rows is not None and fits_broadcast(lookup, broadcast_max_rows):
         return df.join(F.broadcast(lookup), on=key, how="left").select(*out_cols)
+    if not df.schema[key].nullable:
+        return df.join(lookup, on=key, how="left").select(*out_cols)
     buckets = _salt_buckets(df)
     salted = df.withColumn(
         SALT,

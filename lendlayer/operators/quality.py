@@ -88,6 +88,10 @@ class Rule:
             return None
         return self.check(*[F.col(c) for c in self.requires])
 
+    def non_null_if_passed(self, df: DataFrame, table: str | None) -> list[str]:
+        """Columns this rule guarantees non-null on the rows it passes."""
+        return []
+
     @property
     def reason(self) -> str:
         return GROUP_REASON[self.group]
@@ -104,6 +108,9 @@ class AnyNullIdRule(Rule):
             return None
         return any_null(id_columns(df, self.suffix))
 
+    def non_null_if_passed(self, df: DataFrame, table: str | None) -> list[str]:
+        return id_columns(df, self.suffix) if self.applies_to(table) else []
+
 
 # Id patterns, numeric limits, and the tables scoped rules apply to.
 BRANCH_ID_PATTERN = "^BR[0-9]{3}$"
@@ -194,6 +201,20 @@ def tag_quality(
     return df.withColumn(STATUS, status_column(groups, on_unknown))
 
 
+_NEVER_USED = {"string": "", "int": 0, "bigint": 0, "double": 0.0}
+
+
+def _non_nullable(column: str, dtype: str) -> Column:
+    """``column`` declared non-nullable for rows already filtered on ``IS NOT NULL``.
+
+    ``coalesce`` with a typed literal never takes the literal on such rows; it only
+    tells the analyser the column cannot be null, so joins on it skip null-key salting.
+    """
+    if dtype not in _NEVER_USED:
+        return F.col(column)
+    return F.coalesce(F.col(column), F.lit(_NEVER_USED[dtype]).cast(dtype)).alias(column)
+
+
 @dataclass(frozen=True)
 class QualitySplit:
     """The outcome of a split; every member is a lazy ``DataFrame`` over one tagged plan."""
@@ -201,17 +222,31 @@ class QualitySplit:
     tagged: DataFrame
     columns: tuple[str, ...] = field(default=())
     dedup: bool = True
+    non_null: tuple[str, ...] = field(default=())
+
+    @property
+    def valid_with_duplicates(self) -> DataFrame:
+        """Rows passing every group, copies kept.
+
+        The null checks the rows passed are restated as ``isNotNull`` conjuncts: a
+        no-op on the rows, but it marks those columns non-nullable in the schema,
+        so later joins on them need no null-key handling.
+        """
+        cond = functools.reduce(
+            operator.and_, [F.col(c).isNotNull() for c in self.non_null], F.col(STATUS) == VALID
+        )
+        rows = self.tagged.filter(cond)
+        types = dict(rows.dtypes)
+        return rows.select(
+            *[_non_nullable(c, types[c]) if c in self.non_null else F.col(c) for c in self.columns]
+        )
 
     @property
     def valid(self) -> DataFrame:
         """Rows passing every group, de-duplicated on whole rows."""
-        rows = self.tagged.filter(F.col(STATUS) == VALID).select(*self.columns)
+        rows = self.valid_with_duplicates
         return rows.dropDuplicates() if self.dedup else rows
 
-    @property
-    def valid_with_duplicates(self) -> DataFrame:
-        return self.tagged.filter(F.col(STATUS) == VALID).select(*self.columns)
-
     @property
     def reject(self) -> DataFrame:
         """Failing rows with ``reject_reason`` (the first failing group), copies kept."""
@@ -253,7 +288,14 @@ def split_quality(
 ) -> QualitySplit:
     """Tag once, then expose clean / reject / unknown as filters of the tagged plan."""
     tagged = tag_quality(df, table, rules, on_unknown, aliases)
-    return QualitySplit(tagged=tagged, columns=tuple(df.columns), dedup=dedup)
+    resolved = resolve_table(table, aliases)
+    non_null = {c for r in rules for c in r.non_null_if_passed(df, resolved)}
+    return QualitySplit(
+        tagged=tagged,
+        columns=tuple(df.columns),
+        dedup=dedup,
+        non_null=tuple(c for c in df.columns if c in non_null),
+    )
 
 
 def rule_violations(
