@@ -317,3 +317,93 @@ FROM per_row GROUP BY 1""",
         "repayment",
     ),
 }
+
+# --- round trips, seeds, in-place repair, and the run report -------------------------
+
+CTE_SQL["sof"] = (
+    "SELECT TRY_CAST(replace(trim(officer_id, ' '), 'O', '0') AS INTEGER) AS officer_id, "
+    "trim(full_name, ' ') AS full_name, trim(branch_id, ' ') AS branch_id FROM officer"
+)
+CTE_SQL["tof"] = f"SELECT *, {status_case(['officer_id', 'branch_id'], [FMT_BRANCH], [])} AS dq_status FROM sof"
+DEPENDS.update({"sof": ["officer"], "tof": ["sof"]})
+OFFICER_COLS = "officer_id, full_name, branch_id"
+CTE_SQL.update(
+    {
+        "vl": f"SELECT DISTINCT {LOAN_COLS} FROM tl WHERE dq_status = 'VALID'",
+        "vb": f"SELECT DISTINCT {BORROWER_COLS} FROM tb WHERE dq_status = 'VALID'",
+        "vr": f"SELECT DISTINCT {REPAYMENT_COLS} FROM trn WHERE dq_status = 'VALID'",
+        "vbr": f"SELECT DISTINCT {BRANCH_COLS} FROM tbr WHERE dq_status = 'VALID'",
+        "vo": f"SELECT DISTINCT {OFFICER_COLS} FROM tof WHERE dq_status = 'VALID'",
+        "ol2": "SELECT DISTINCT officer_id, full_name AS officer_name FROM vo",
+        "bl2": "SELECT DISTINCT borrower_id, full_name AS borrower_name FROM vb",
+    }
+)
+DEPENDS.update({"vl": ["tl"], "vb": ["tb"], "vr": ["trn"], "vbr": ["tbr"], "vo": ["tof"], "ol2": ["vo"], "bl2": ["vb"]})
+
+
+def silver_row(table: str, tagged: str, cols: str) -> str:
+    distinct = f"(SELECT count(*) FROM (SELECT DISTINCT {cols} FROM {tagged} WHERE dq_status = 'VALID'))"
+    return (
+        f"SELECT 'silver' AS layer, '{table}' AS table_name, 'ok' AS status, count(*) AS rows_in, "
+        f"{distinct} AS rows_valid, "
+        f"count(*) FILTER (WHERE dq_status = 'VALID') - {distinct} AS rows_duplicate, "
+        f"count(*) FILTER (WHERE dq_status IN {REASONS_SQL}) AS rows_reject, "
+        f"count(*) FILTER (WHERE dq_status = 'UNKNOWN') AS rows_unknown, "
+        f"{distinct} AS rows_out FROM {tagged}"
+    )
+
+
+def gold_row(table: str, rows_in: str, rows_out: str) -> str:
+    nulls = ", ".join(f"CAST(NULL AS BIGINT) AS {c}" for c in ("rows_valid", "rows_duplicate", "rows_reject", "rows_unknown"))
+    return (
+        f"SELECT 'gold' AS layer, '{table}' AS table_name, 'ok' AS status, (SELECT count(*) FROM {rows_in}) AS rows_in, "
+        f"{nulls}, (SELECT count(*) FROM {rows_out}) AS rows_out"
+    )
+
+
+BRANCH_MISSING = "(SELECT DISTINCT branch_id, branch_name, region, employee_count, loan_volume FROM vbr)"
+RUN_REPORT = q(
+    "\nUNION ALL\n".join(
+        [
+            "SELECT 'bronze' AS layer, 'loan_officers' AS table_name, 'ok' AS status, count(*) AS rows_in, "
+            "CAST(NULL AS BIGINT) AS rows_valid, CAST(NULL AS BIGINT) AS rows_duplicate, "
+            "CAST(NULL AS BIGINT) AS rows_reject, CAST(NULL AS BIGINT) AS rows_unknown, count(*) AS rows_out FROM officer",
+            silver_row("borrower_profile", "tb", BORROWER_COLS),
+            silver_row("loan_history", "tl", LOAN_COLS),
+            silver_row("repayment_summary", "trn", REPAYMENT_COLS),
+            silver_row("loan_officers", "tof", OFFICER_COLS),
+            silver_row("branch_master_dirty", "tbr", BRANCH_COLS),
+            gold_row(
+                "borrower_profile_cleaned",
+                "vb",
+                f"(SELECT * FROM vb LEFT JOIN bl2 USING (borrower_id) LEFT JOIN {BRANCH_MISSING} USING (branch_id))",
+            ),
+            gold_row("loan_history_cleaned", "vl", f"({GOLD_LOANS})"),
+            gold_row("repayment_summary_cleaned", "vr", "(SELECT * FROM vr LEFT JOIN ol2 USING (officer_id))"),
+            gold_row(
+                "loan_officers_cleaned",
+                "vo",
+                f"(SELECT * FROM vo LEFT JOIN ol2 USING (officer_id) LEFT JOIN {BRANCH_MISSING} USING (branch_id))",
+            ),
+            gold_row("branch_master_dirty_cleaned", "vbr", "vbr"),
+        ]
+    ),
+    "officer",
+    "vb",
+    "bl2",
+    "vl",
+    "vr",
+    "vbr",
+    "vo",
+    "ol2",
+)
+
+ORACLE.update(
+    {
+        "csv_roundtrip": q("SELECT * FROM borrower", "borrower"),
+        "json_roundtrip": q("SELECT * FROM loan", "loan"),
+        "seed_insert": q("SELECT *, CAST(NULL AS VARCHAR) AS remarks FROM repayment", "repayment"),
+        "overwrite_self": q(f"SELECT {OFFICER_INT} AS officer_id, full_name, branch_id FROM officer", "officer"),
+        "run_report": RUN_REPORT,
+    }
+)

@@ -7,6 +7,7 @@ differs between engines); everything else is returned exactly.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,7 +26,13 @@ from lendlayer.operators.enrich import (
 )
 from lendlayer.operators.quality import key_check, rule_violations, split_critical, split_quality
 from lendlayer.plans.flagship import AS_OF, gold_loans
+from lendlayer.layout import Layout
+from lendlayer.plans.jobs import ingest_file, repair_officer_ids, run_all
 from lendlayer.plans.views import borrower_view, branch_view, loan_view, officer_view, repayment_view
+from lendlayer.session import scratch_path
+from lendlayer.sources.files import write_csv, write_json
+from lendlayer.sources.seeds import create_table, insert_frame
+from lendlayer.sources.sinks import overwrite_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -162,6 +169,93 @@ def key_check_q(spark, sf):
     return key_check(repayment_view(spark, sf), ["loan_id", "emi_number"])
 
 
+def _layout(spark: SparkSession, tag: str) -> Layout:
+    """A private set of layer databases under the shared scratch folder."""
+    return Layout(prefix=f"ll{uuid.uuid4().hex[:10]}_", location=scratch_path(spark, tag)).create(spark)
+
+
+BORROWER_DDL = (
+    "borrower_id STRING, full_name STRING, branch_id STRING, age INT, income DOUBLE, "
+    "credit_score INT, industry_code STRING"
+)
+LOAN_DDL = (
+    "loan_id STRING, borrower_id STRING, branch_id STRING, loan_amount DOUBLE, exchange_rate DOUBLE, "
+    "interest_rate_bps INT, tenure_years INT, issue_date DATE, due_date DATE"
+)
+SEED_DDL = (
+    "loan_id STRING, officer_id STRING, emi_number INT, payment_date DATE, exchange_rate DOUBLE, "
+    "amount_in_inr DOUBLE, remarks STRING"
+)
+
+
+def csv_roundtrip(spark, sf):
+    """Borrowers written as a CSV landing file, then ingested with the declared schema."""
+    layout = _layout(spark, "csv")
+    path = f"{layout.location}/landing/borrower_csv"
+    write_csv(borrower_view(spark, sf), path)
+    ingest_file(spark, layout, path, "customer_metadata", BORROWER_DDL, fmt="csv")
+    return spark.table(layout.table("bronze", "customer_metadata"))
+
+
+def json_roundtrip(spark, sf):
+    """Loans written as JSON lines, then ingested with the declared schema."""
+    layout = _layout(spark, "json")
+    path = f"{layout.location}/landing/loan_json"
+    write_json(loan_view(spark, sf), path)
+    ingest_file(spark, layout, path, "loan_applications", LOAN_DDL, fmt="json", multi_line=False)
+    return spark.table(layout.table("bronze", "loan_applications"))
+
+
+def seed_insert(spark, sf):
+    """A fixed-schema table filled from text values with a column list (casts explicit)."""
+    layout = _layout(spark, "seed")
+    name = layout.table("bronze", "repayments_seed")
+    create_table(spark, name, SEED_DDL)
+    text = repayment_view(spark, sf)
+    text = text.select(*[text[c].cast("string").alias(c) for c in text.columns])
+    insert_frame(text, name, columns=text.columns)
+    return spark.table(name)
+
+
+def overwrite_self(spark, sf):
+    """Officers landed in bronze, then their ids repaired in place (stage and swap)."""
+    layout = _layout(spark, "repair")
+    overwrite_table(officer_view(spark, sf), layout.table("bronze", "loan_officers"))
+    repair_officer_ids(spark, layout, "loan_officers")
+    return spark.table(layout.table("bronze", "loan_officers"))
+
+
+RUN_BRONZE = {
+    "borrower_profile": borrower_view,
+    "loan_history": loan_view,
+    "repayment_summary": repayment_view,
+    "loan_officers": officer_view,
+    "branch_master_dirty": branch_view,
+}
+REPORT_COLUMNS = (
+    "layer",
+    "table_name",
+    "status",
+    "rows_in",
+    "rows_valid",
+    "rows_duplicate",
+    "rows_reject",
+    "rows_unknown",
+    "rows_out",
+)
+
+
+def run_report(spark, sf):
+    """Land five tables, repair officer ids, clean all, enrich all; the run report."""
+    layout = _layout(spark, "run")
+    for table, view in RUN_BRONZE.items():
+        overwrite_table(view(spark, sf), layout.table("bronze", table))
+    report = run_all(
+        spark, layout, list(RUN_BRONZE), aliases={"branch_master_dirty": "branch_master"}, as_of=AS_OF
+    )
+    return report.select(*REPORT_COLUMNS)
+
+
 QUERIES: dict[str, Query] = {
     "standardize_names_trim": standardize_names_trim,
     "officer_id_normalize": officer_id_normalize,
@@ -195,4 +289,9 @@ QUERIES: dict[str, Query] = {
     "enrich_skip_self": enrich_skip_self,
     "gold_loans": gold_loans_q,
     "key_check": key_check_q,
+    "csv_roundtrip": csv_roundtrip,
+    "json_roundtrip": json_roundtrip,
+    "seed_insert": seed_insert,
+    "overwrite_self": overwrite_self,
+    "run_report": run_report,
 }
