@@ -405,5 +405,11 @@ ORACLE.update(
         "seed_insert": q("SELECT *, CAST(NULL AS VARCHAR) AS remarks FROM repayment", "repayment"),
         "overwrite_self": q(f"SELECT {OFFICER_INT} AS officer_id, full_name, branch_id FROM officer", "officer"),
         "run_report": RUN_REPORT,
+        "stream_dq_valid": ORACLE["dq_valid"],
+        "stream_dq_reject": q(
+            f"SELECT {BORROWER_COLS}, dq_status AS reject_reason FROM tb, (VALUES (1), (2)) AS copies(n) "
+            f"WHERE dq_status IN {REASONS_SQL}",
+            "tb",
+        ),
     }
 )

@@ -33,6 +33,7 @@ from lendlayer.session import scratch_path
 from lendlayer.sources.files import write_csv, write_json
 from lendlayer.sources.seeds import create_table, insert_frame
 from lendlayer.sources.sinks import overwrite_table
+from lendlayer.streaming.quality_stream import start_quality_streams
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -256,6 +257,38 @@ def run_report(spark, sf):
     return report.select(*REPORT_COLUMNS)
 
 
+def _streamed_borrowers(spark, sf) -> tuple[str, str]:
+    """Land the borrowers twice (a replayed delivery), stream them through the split.
+
+    One file per micro-batch, so the copies arrive in a later batch than the
+    originals and only the cross-batch de-duplication state can remove them.
+    """
+    root = scratch_path(spark, "stream")
+    src = borrower_view(spark, sf)
+    for _ in range(2):
+        src.write.mode("append").parquet(f"{root}/landing")
+    streams = start_quality_streams(
+        spark,
+        f"{root}/landing",
+        src.schema,
+        None,
+        silver_path=f"{root}/silver",
+        reject_path=f"{root}/reject",
+        checkpoint_path=f"{root}/_checkpoints",
+        max_files_per_trigger=1,
+    )
+    streams.await_termination()
+    return f"{root}/silver", f"{root}/reject"
+
+
+def stream_dq_valid(spark, sf):
+    return spark.read.parquet(_streamed_borrowers(spark, sf)[0])
+
+
+def stream_dq_reject(spark, sf):
+    return spark.read.parquet(_streamed_borrowers(spark, sf)[1])
+
+
 QUERIES: dict[str, Query] = {
     "standardize_names_trim": standardize_names_trim,
     "officer_id_normalize": officer_id_normalize,
@@ -294,4 +327,6 @@ QUERIES: dict[str, Query] = {
     "seed_insert": seed_insert,
     "overwrite_self": overwrite_self,
     "run_report": run_report,
+    "stream_dq_valid": stream_dq_valid,
+    "stream_dq_reject": stream_dq_reject,
 }
