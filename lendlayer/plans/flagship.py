@@ -24,7 +24,7 @@ from lendlayer.functions.standardize import normalize_officer_id, standardize
 from lendlayer.operators.derive import derive_loan_columns, stamp_processing_date
 from lendlayer.operators.enrich import enrich, standard_lookups
 from lendlayer.operators.quality import split_quality
-from lendlayer.plans.views import borrower_view, branch_view, loan_view, repayment_view
+from lendlayer.plans.views import borrower_view, branch_view, loan_view, officer_view, repayment_view
 
 # Fixed reference date for repeatable results (the load date and the overdue cut-off).
 AS_OF = dt.date(2003, 6, 30)
@@ -68,3 +68,28 @@ def gold_loans(spark: SparkSession, sf_dir: str, as_of: dt.date = AS_OF) -> Data
     )
     gold = enrich(derive_loan_columns(loans, as_of), "loan_history_cleaned", lookups)
     return stamp_processing_date(gold, as_of).select(*GOLD_LOAN_COLUMNS)
+
+
+def gold_repayments(spark: SparkSession, sf_dir: str, as_of: dt.date = AS_OF) -> DataFrame:
+    """Repayment rows to gold: officer names (ids repaired to int on both sides) and the
+    per-loan aggregates of the clean repayment summary; no borrower or branch columns
+    exist on this fact, so those joins are left out at plan time."""
+    facts = silver(repayment_view(spark, sf_dir), "repayments")
+    lookups = standard_lookups(
+        officers=silver(officer_view(spark, sf_dir), "loan_officers"),
+        repayment_summary=silver(repayment_view(spark, sf_dir), "repayment_summary"),
+        branches=silver(branch_view(spark, sf_dir), "branch_master"),
+    )
+    gold = enrich(derive_loan_columns(facts, as_of), "repayments_cleaned", lookups)
+    return stamp_processing_date(gold, as_of)
+
+
+def gold_borrowers(spark: SparkSession, sf_dir: str, as_of: dt.date = AS_OF) -> DataFrame:
+    """Borrowers to gold: their own names as the borrower lookup, plus branch attributes."""
+    borrowers = silver(borrower_view(spark, sf_dir), "borrower_profile")
+    lookups = standard_lookups(
+        borrowers=borrowers,
+        branches=silver(branch_view(spark, sf_dir), "branch_master"),
+    )
+    gold = enrich(derive_loan_columns(borrowers, as_of), "borrower_profile_cleaned", lookups)
+    return stamp_processing_date(gold, as_of)

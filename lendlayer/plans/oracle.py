@@ -413,3 +413,28 @@ ORACLE.update(
         ),
     }
 )
+
+CTE_SQL["trr"] = f"SELECT *, {status_case(['loan_id', 'officer_id'], [], [])} AS dq_status FROM srn"
+CTE_SQL["vrr"] = f"SELECT DISTINCT {REPAYMENT_COLS} FROM trr WHERE dq_status = 'VALID'"
+CTE_SQL["ra2"] = REPAYMENT_AGG.format(src="vr")
+DEPENDS.update({"trr": ["srn"], "vrr": ["trr"], "ra2": ["vr"]})
+
+ORACLE.update(
+    {
+        "gold_repayments": q(
+            f"SELECT {REPAYMENT_COLS}, officer_name, coalesce(ra2.repayment_count_agg, 0) AS repayment_count_agg, "
+            f"round(coalesce(ra2.total_repaid, 0), 2) AS total_repaid, {AS_OF_SQL} AS processing_date "
+            "FROM vrr LEFT JOIN ol2 USING (officer_id) LEFT JOIN ra2 USING (loan_id)",
+            "vrr",
+            "ol2",
+            "ra2",
+        ),
+        "gold_borrowers": q(
+            f"SELECT *, {AS_OF_SQL} AS processing_date FROM vb LEFT JOIN bl2 USING (borrower_id) "
+            f"LEFT JOIN {BRANCH_MISSING} b USING (branch_id)",
+            "vb",
+            "bl2",
+            "vbr",
+        ),
+    }
+)

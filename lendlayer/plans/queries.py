@@ -25,7 +25,7 @@ from lendlayer.operators.enrich import (
     standard_lookups,
 )
 from lendlayer.operators.quality import key_check, rule_violations, split_critical, split_quality
-from lendlayer.plans.flagship import AS_OF, gold_loans
+from lendlayer.plans.flagship import AS_OF, gold_borrowers, gold_loans, gold_repayments
 from lendlayer.layout import Layout
 from lendlayer.plans.jobs import ingest_file, repair_officer_ids, run_all
 from lendlayer.plans.views import borrower_view, branch_view, loan_view, officer_view, repayment_view
@@ -166,6 +166,14 @@ def gold_loans_q(spark, sf):
     return _round_total(gold_loans(spark, sf, AS_OF))
 
 
+def gold_repayments_q(spark, sf):
+    return _round_total(gold_repayments(spark, sf, AS_OF))
+
+
+def gold_borrowers_q(spark, sf):
+    return gold_borrowers(spark, sf, AS_OF)
+
+
 def key_check_q(spark, sf):
     return key_check(repayment_view(spark, sf), ["loan_id", "emi_number"])
 
@@ -321,6 +329,8 @@ QUERIES: dict[str, Query] = {
     "enrich_branch": enrich_branch,
     "enrich_skip_self": enrich_skip_self,
     "gold_loans": gold_loans_q,
+    "gold_repayments": gold_repayments_q,
+    "gold_borrowers": gold_borrowers_q,
     "key_check": key_check_q,
     "csv_roundtrip": csv_roundtrip,
     "json_roundtrip": json_roundtrip,
