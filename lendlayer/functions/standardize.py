@@ -43,7 +43,8 @@ def officer_id_expr(column: str = "officer_id", guarded: bool = False) -> Column
             text.rlike(OFFICER_SHAPE), F.regexp_replace(text, OFFICER_PREFIX, OFFICER_DIGIT)
         ).otherwise(text)
     else:
-        repaired = F.regexp_replace(text, OFFICER_LETTER, OFFICER_DIGIT)
+        # every 'O' -> '0': a character mapping, no regex per row
+        repaired = F.translate(text, OFFICER_LETTER, OFFICER_DIGIT)
     return repaired.try_cast("int")
 
 
