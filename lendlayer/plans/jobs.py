@@ -13,7 +13,8 @@ from __future__ import annotations
 import dataclasses
 import datetime as dt
 import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -54,6 +55,16 @@ def report_frame(spark: SparkSession, rows: Sequence[ReportRow]) -> DataFrame:
     return spark.createDataFrame([dataclasses.astuple(r) for r in rows], REPORT_SCHEMA)
 
 
+def _each(tables: Sequence[str], work: Callable[[str], ReportRow], parallelism: int) -> list[ReportRow]:
+    """``work`` per table, in order; with ``parallelism > 1`` several tables' jobs are
+    submitted concurrently from driver threads (Spark runs them side by side, which
+    keeps a large cluster busy when a manifest holds many small tables)."""
+    if parallelism <= 1 or len(tables) <= 1:
+        return [work(t) for t in tables]
+    with ThreadPoolExecutor(max_workers=parallelism, thread_name_prefix="lendlayer-table") as pool:
+        return list(pool.map(work, tables))
+
+
 def _failed(layer: str, table: str, exc: BaseException) -> ReportRow:
     text = f"{type(exc).__name__}: {exc}".strip().splitlines()
     return ReportRow(layer, table, "failed", error=(text[0] if text else type(exc).__name__)[:1000])
@@ -101,31 +112,36 @@ def bronze_to_silver(
     aliases: Mapping[str, str] | None = None,
     on_unknown: str = "drop",
     normalize_officers: bool = True,
+    partition_by: Mapping[str, Sequence[str]] | None = None,
+    parallelism: int = 1,
 ) -> list[ReportRow]:
     """For each bronze table: standardise, split by the rules, write silver + reject.
 
     Officer ids are normalised to integers in every table that has them, so the
-    officer join later compares like with like.
+    officer join later compares like with like. ``partition_by`` maps a table to the
+    columns its silver and reject tables are partitioned by.
     """
-    out = []
-    for table in tables:
+
+    def one(table: str) -> ReportRow:
         try:
             df = standardize(spark.table(layout.table("bronze", table)))
             if normalize_officers:
                 df = normalize_officer_id(df)
             split = split_quality(df, table, rules, on_unknown, aliases)
             c = write_split(
-                split, layout.table("silver", silver_name(table)), layout.table("reject", reject_name(table))
+                split,
+                layout.table("silver", silver_name(table)),
+                layout.table("reject", reject_name(table)),
+                (partition_by or {}).get(table),
             )
-            out.append(
-                ReportRow(
-                    "silver", table, "ok", c.rows_in, c.rows_valid, c.rows_duplicate, c.rows_reject,
-                    c.rows_unknown, c.rows_valid,
-                )
+            return ReportRow(
+                "silver", table, "ok", c.rows_in, c.rows_valid, c.rows_duplicate, c.rows_reject,
+                c.rows_unknown, c.rows_valid,
             )
         except Exception as exc:  # noqa: BLE001
-            out.append(_failed("silver", table, exc))
-    return out
+            return _failed("silver", table, exc)
+
+    return _each(tables, one, parallelism)
 
 
 @dataclass(frozen=True)
@@ -165,6 +181,8 @@ def silver_to_gold(
     sources: GoldSources = GoldSources(),
     as_of: dt.date | None = None,
     materialize_lookups: bool | None = None,
+    partition_by: Mapping[str, Sequence[str]] | None = None,
+    parallelism: int = 1,
 ) -> list[ReportRow]:
     """For each silver ``*_cleaned`` table: derive, enrich, stamp, write ``*_cleaned_gold``.
 
@@ -179,16 +197,18 @@ def silver_to_gold(
         lookups, report = _load_lookups(spark, layout, sources, materialize_lookups)
     except Exception as exc:  # noqa: BLE001
         return [_failed("gold", "lookups", exc)]
-    for table in tables:
+
+    def one(table: str) -> ReportRow:
         try:
             obs_in = Observation(f"in_{uuid.uuid4().hex[:8]}")
             df = spark.table(layout.table("silver", table)).observe(obs_in, F.count(F.lit(1)).alias("rows"))
             gold = stamp_processing_date(enrich(derive_loan_columns(df, as_of), table, lookups), as_of)
-            rows_out = overwrite_counted(gold, layout.table("gold", gold_name(table)))
-            report.append(ReportRow("gold", table, "ok", rows_in=int(obs_in.get["rows"]), rows_out=rows_out))
+            rows_out = overwrite_counted(gold, layout.table("gold", gold_name(table)), (partition_by or {}).get(table))
+            return ReportRow("gold", table, "ok", rows_in=int(obs_in.get["rows"]), rows_out=rows_out)
         except Exception as exc:  # noqa: BLE001
-            report.append(_failed("gold", table, exc))
-    return report
+            return _failed("gold", table, exc)
+
+    return report + _each(tables, one, parallelism)
 
 
 def run_all(
@@ -199,12 +219,14 @@ def run_all(
     as_of: dt.date | None = None,
     repair_table: str | None = "loan_officers",
     sources: GoldSources = GoldSources(),
+    parallelism: int = 1,
 ) -> DataFrame:
     """Repair officer ids, clean every bronze table, enrich every clean one; the run report."""
     rows: list[ReportRow] = []
     if repair_table is not None and repair_table in tables:
         rows.append(repair_officer_ids(spark, layout, repair_table))
-    rows += bronze_to_silver(spark, layout, tables, aliases=aliases)
-    cleaned = [silver_name(t) for t, r in zip(tables, rows[-len(tables):]) if r.status == "ok"]
-    rows += silver_to_gold(spark, layout, cleaned, sources, as_of)
+    silver = bronze_to_silver(spark, layout, tables, aliases=aliases, parallelism=parallelism)
+    rows += silver
+    cleaned = [silver_name(r.table_name) for r in silver if r.status == "ok"]
+    rows += silver_to_gold(spark, layout, cleaned, sources, as_of, parallelism=parallelism)
     return report_frame(spark, rows)

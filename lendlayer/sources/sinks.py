@@ -59,7 +59,12 @@ class SplitCounts:
     by_reason: dict[str, int]
 
 
-def write_split(split: QualitySplit, silver_table: str, reject_table: str) -> SplitCounts:
+def write_split(
+    split: QualitySplit,
+    silver_table: str,
+    reject_table: str,
+    partition_by: Sequence[str] | None = None,
+) -> SplitCounts:
     """Write clean rows to ``silver_table`` and rejects (with reason) to ``reject_table``.
 
     Two jobs over the same tagged plan (one scan each). Outcome counts are observed
@@ -79,9 +84,9 @@ def write_split(split: QualitySplit, silver_table: str, reject_table: str) -> Sp
         dedup=split.dedup,
         non_null=split.non_null,
     )
-    overwrite_table(observed.reject, reject_table)
+    overwrite_table(observed.reject, reject_table, partition_by)
     m = tag_obs.get
-    rows_valid = overwrite_counted(split.valid, silver_table)
+    rows_valid = overwrite_counted(split.valid, silver_table, partition_by)
     return SplitCounts(
         rows_in=int(m["rows_in"]),
         rows_valid=rows_valid,

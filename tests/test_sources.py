@@ -85,3 +85,17 @@ def test_failure_isolation(spark, layout):
     assert [r.table_name for r in gold if r.status == "ok"] == ["good_cleaned"]
     frame = report_frame(spark, report + gold)
     assert frame.filter("status = 'failed'").count() == 2
+
+
+def test_parallel_tables_and_partitioned_sinks(spark, tmp_dir):
+    data = [("B1001", "BR101", 2024), ("B1002", "BR102", 2025), ("B1002", "BR102", 2025), (None, "BR1", 2025)]
+    reports = []
+    for par in (1, 3):
+        lay = Layout(prefix=f"p{par}{uuid.uuid4().hex[:6]}_", location=f"{tmp_dir}/p{par}").create(spark)
+        for t in ("a", "b", "c"):
+            overwrite_table(spark.createDataFrame(data, "borrower_id string, branch_id string, year int"),
+                            lay.table("bronze", t))
+        rows = bronze_to_silver(spark, lay, ["a", "b", "c"], partition_by={"a": ["year"]}, parallelism=par)
+        reports.append([(r.table_name, r.status, r.rows_valid, r.rows_duplicate, r.rows_reject) for r in rows])
+        assert spark.sql(f"SHOW PARTITIONS {lay.table('silver', 'a_cleaned')}").count() == 2
+    assert reports[0] == reports[1] == [(t, "ok", 2, 1, 1) for t in ("a", "b", "c")]
