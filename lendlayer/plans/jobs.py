@@ -1,7 +1,9 @@
 """Batch jobs over a :class:`~lendlayer.layout.Layout`: land, repair, clean, enrich, report.
 
-Each job handles its tables one after another; a table that fails is reported
-(status ``failed`` with the error) and the others go on. Every job returns report
+Each job handles its tables one after another (or a few at a time); a table that
+fails is reported (status ``failed`` with the error) and the others go on. Every
+table is replaced by stage-and-swap: the new data is written in full before the old
+table is dropped, so a failed job leaves the previous version in place. Every job returns report
 rows; :func:`report_frame` turns them into a small DataFrame (one row per table).
 
 Work happens on the executors; the driver only sees table names, schemas and the
@@ -87,7 +89,7 @@ def ingest_file(
             df = read_json(spark, path, schema, multi_line=multi_line)
         else:
             raise ValueError(f"unsupported format {fmt!r}")
-        rows = overwrite_counted(df, layout.table("bronze", table))
+        rows = overwrite_counted(df, layout.table("bronze", table), staged=True)
         return ReportRow("bronze", table, "ok", rows_out=rows)
     except Exception as exc:  # noqa: BLE001 - isolation: report and go on
         return _failed("bronze", table, exc)
@@ -203,7 +205,9 @@ def silver_to_gold(
             obs_in = Observation(f"in_{uuid.uuid4().hex[:8]}")
             df = spark.table(layout.table("silver", table)).observe(obs_in, F.count(F.lit(1)).alias("rows"))
             gold = stamp_processing_date(enrich(derive_loan_columns(df, as_of), table, lookups), as_of)
-            rows_out = overwrite_counted(gold, layout.table("gold", gold_name(table)), (partition_by or {}).get(table))
+            rows_out = overwrite_counted(
+                gold, layout.table("gold", gold_name(table)), (partition_by or {}).get(table), staged=True
+            )
             return ReportRow("gold", table, "ok", rows_in=int(obs_in.get["rows"]), rows_out=rows_out)
         except Exception as exc:  # noqa: BLE001
             return _failed("gold", table, exc)

@@ -16,18 +16,30 @@ from pyspark.sql import functions as F
 from lendlayer.operators.quality import REASONS, STATUS, UNKNOWN, VALID, QualitySplit
 
 
-def overwrite_table(df: DataFrame, name: str, partition_by: Sequence[str] | None = None) -> None:
-    """Replace table ``name`` (data and schema) with ``df``, as parquet."""
+def overwrite_table(
+    df: DataFrame, name: str, partition_by: Sequence[str] | None = None, staged: bool = False
+) -> None:
+    """Replace table ``name`` (data and schema) with ``df``, as parquet.
+
+    ``staged=True`` writes the full result to a staging table first and swaps it in
+    only after that write committed, so a failed job never leaves ``name`` empty or
+    half-written (a plain overwrite removes the old files before writing the new ones).
+    """
+    if staged:
+        _stage_and_swap(df.sparkSession, lambda stage: overwrite_table(df, stage, partition_by), name)
+        return
     writer = df.write.format("parquet").mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.saveAsTable(name)
 
 
-def overwrite_counted(df: DataFrame, name: str, partition_by: Sequence[str] | None = None) -> int:
+def overwrite_counted(
+    df: DataFrame, name: str, partition_by: Sequence[str] | None = None, staged: bool = False
+) -> int:
     """:func:`overwrite_table` and return the number of rows written (observed, no re-run)."""
     obs = Observation(f"rows_{uuid.uuid4().hex[:8]}")
-    overwrite_table(df.observe(obs, F.count(F.lit(1)).alias("rows")), name, partition_by)
+    overwrite_table(df.observe(obs, F.count(F.lit(1)).alias("rows")), name, partition_by, staged)
     return int(obs.get["rows"])
 
 
@@ -35,6 +47,17 @@ def table_exists(spark: SparkSession, name: str) -> bool:
     return spark.catalog.tableExists(name)
 
 
+def _stage_and_swap(spark: SparkSession, write, name: str) -> None:
+    stage = f"{name}__stage_{uuid.uuid4().hex[:8]}"
+    try:
+        write(stage)
+    except BaseException:
+        spark.sql(f"DROP TABLE IF EXISTS {stage}")
+        raise
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.sql(f"ALTER TABLE {stage} RENAME TO {name}")
+
+
 def overwrite_from_self(spark: SparkSession, df: DataFrame, name: str) -> int:
     """Overwrite ``name`` with a frame that reads ``name`` itself.
 
@@ -42,11 +65,7 @@ def overwrite_from_self(spark: SparkSession, df: DataFrame, name: str) -> int:
     in full to a staging table; only then is the old table dropped and the staged
     one renamed into place. A failure before the swap leaves the original intact.
     """
-    stage = f"{name}__stage_{uuid.uuid4().hex[:8]}"
-    rows = overwrite_counted(df, stage)
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.sql(f"ALTER TABLE {stage} RENAME TO {name}")
-    return rows
+    return overwrite_counted(df, name, staged=True)
 
 
 @dataclass(frozen=True)
@@ -64,6 +83,7 @@ def write_split(
     silver_table: str,
     reject_table: str,
     partition_by: Sequence[str] | None = None,
+    staged: bool = True,
 ) -> SplitCounts:
     """Write clean rows to ``silver_table`` and rejects (with reason) to ``reject_table``.
 
@@ -84,9 +104,9 @@ def write_split(
         dedup=split.dedup,
         non_null=split.non_null,
     )
-    overwrite_table(observed.reject, reject_table, partition_by)
+    overwrite_table(observed.reject, reject_table, partition_by, staged)
     m = tag_obs.get
-    rows_valid = overwrite_counted(split.valid, silver_table, partition_by)
+    rows_valid = overwrite_counted(split.valid, silver_table, partition_by, staged)
     return SplitCounts(
         rows_in=int(m["rows_in"]),
         rows_valid=rows_valid,

@@ -86,8 +86,16 @@ def start_quality_streams(
     aliases: Mapping[str, str] | None = None,
     on_unknown: str = "drop",
     max_files_per_trigger: int | None = None,
+    rocksdb_state: bool = False,
 ) -> QualityStreams:
-    """Start the clean and reject streaming queries for one landing folder."""
+    """Start the clean and reject streaming queries for one landing folder.
+
+    ``rocksdb_state=True`` keeps the de-duplication state in RocksDB (off-heap, on
+    local disk, snapshotted to the checkpoint) — the choice for large state. It must
+    be set before a query's first run; a restarted query keeps its original provider.
+    """
+    if rocksdb_state:
+        spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
     split = stream_split(
         read_landing(spark, landing_path, schema, fmt, max_files_per_trigger), table, rules, aliases, on_unknown
     )

@@ -99,3 +99,15 @@ def test_parallel_tables_and_partitioned_sinks(spark, tmp_dir):
         reports.append([(r.table_name, r.status, r.rows_valid, r.rows_duplicate, r.rows_reject) for r in rows])
         assert spark.sql(f"SHOW PARTITIONS {lay.table('silver', 'a_cleaned')}").count() == 2
     assert reports[0] == reports[1] == [(t, "ok", 2, 1, 1) for t in ("a", "b", "c")]
+
+
+def test_failed_staged_write_keeps_previous_table(spark, layout):
+    from pyspark.sql import functions as F
+
+    name = layout.table("silver", "keep_cleaned")
+    overwrite_table(spark.createDataFrame([(1,)], "x int"), name)
+    broken = spark.range(10).select(F.when(F.col("id") == 7, F.lit("bad")).otherwise("1").cast("int").alias("x"))
+    with pytest.raises(Exception):
+        overwrite_table(broken, name, staged=True)  # fails inside the job (ANSI cast error)
+    assert [r.x for r in spark.table(name).collect()] == [1]
+    assert list_tables(spark, layout.database("silver")) == ["keep_cleaned"]

@@ -34,3 +34,20 @@ def test_stream_matches_batch_and_survives_restart(spark, tmp_dir):
     _start(spark, tmp_dir).await_termination()
     ids = sorted(r.borrower_id for r in spark.read.parquet(f"{tmp_dir}/silver").collect())
     assert ids == ["B1001", "B1004"]
+
+
+def test_stream_with_rocksdb_state(spark, tmp_dir):
+    key = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(key, None)
+    try:
+        spark.createDataFrame(FIRST + FIRST, DDL).coalesce(1).write.parquet(f"{tmp_dir}/landing")
+        start_quality_streams(
+            spark, f"{tmp_dir}/landing", DDL, "borrower_profile",
+            f"{tmp_dir}/silver", f"{tmp_dir}/reject", f"{tmp_dir}/_ckpt", rocksdb_state=True,
+        ).await_termination()
+        assert [r.borrower_id for r in spark.read.parquet(f"{tmp_dir}/silver").collect()] == ["B1001"]
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
