@@ -84,11 +84,18 @@ def write_split(
     reject_table: str,
     partition_by: Sequence[str] | None = None,
     staged: bool = True,
+    rebalance_reject: bool = True,
 ) -> SplitCounts:
     """Write clean rows to ``silver_table`` and rejects (with reason) to ``reject_table``.
 
     Two jobs over the same tagged plan (one scan each). Outcome counts are observed
     while the reject job runs; the clean count while the silver job runs.
+
+    Clean rows are already shuffled by the de-duplication (AQE sizes those output
+    partitions). Rejects are not: written as they are, every input task holding a
+    few rejects would leave a small file. ``rebalance_reject`` routes them through
+    Spark's ``rebalance`` hint so AQE coalesces them into well-sized files; only the
+    rejected rows are shuffled.
     """
     tag_obs = Observation(f"dq_{uuid.uuid4().hex[:8]}")
     status = F.col(STATUS)
@@ -104,7 +111,8 @@ def write_split(
         dedup=split.dedup,
         non_null=split.non_null,
     )
-    overwrite_table(observed.reject, reject_table, partition_by, staged)
+    reject = observed.reject.hint("rebalance") if rebalance_reject else observed.reject
+    overwrite_table(reject, reject_table, partition_by, staged)
     m = tag_obs.get
     rows_valid = overwrite_counted(split.valid, silver_table, partition_by, staged)
     return SplitCounts(

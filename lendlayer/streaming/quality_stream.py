@@ -87,12 +87,19 @@ def start_quality_streams(
     on_unknown: str = "drop",
     max_files_per_trigger: int | None = None,
     rocksdb_state: bool = False,
+    dedup_within: tuple[str, str] | None = None,
 ) -> QualityStreams:
     """Start the clean and reject streaming queries for one landing folder.
 
     ``rocksdb_state=True`` keeps the de-duplication state in RocksDB (off-heap, on
     local disk, snapshotted to the checkpoint) — the choice for large state. It must
     be set before a query's first run; a restarted query keeps its original provider.
+
+    ``dedup_within=(event_time_column, delay)`` bounds the state instead: copies are
+    removed only when they arrive within ``delay`` of each other by event time
+    (``dropDuplicatesWithinWatermark``), and state older than the watermark is
+    dropped. That is a weaker guarantee than the default exact, all-time
+    de-duplication — use it for feeds whose replays arrive close together.
     """
     if rocksdb_state:
         spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
@@ -100,6 +107,11 @@ def start_quality_streams(
         read_landing(spark, landing_path, schema, fmt, max_files_per_trigger), table, rules, aliases, on_unknown
     )
 
+    clean = split.valid
+    if dedup_within is not None:
+        column, delay = dedup_within
+        clean = split.valid_with_duplicates.withWatermark(column, delay).dropDuplicatesWithinWatermark()
+
     def sink(df: DataFrame, path: str, name: str) -> StreamingQuery:
         writer = (
             df.writeStream.format("parquet")
@@ -111,6 +123,6 @@ def start_quality_streams(
         return writer.start()
 
     return QualityStreams(
-        silver=sink(split.valid, silver_path, "silver"),
+        silver=sink(clean, silver_path, "silver"),
         reject=sink(split.reject, reject_path, "reject"),
     )

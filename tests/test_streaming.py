@@ -51,3 +51,17 @@ def test_stream_with_rocksdb_state(spark, tmp_dir):
             spark.conf.unset(key)
         else:
             spark.conf.set(key, before)
+
+
+def test_stream_dedup_within_watermark(spark, tmp_dir):
+    ddl = DDL + ", created_at timestamp"
+    import datetime as dt
+
+    t = dt.datetime(2025, 8, 1, 10, 0)
+    data = [r + (t,) for r in FIRST]
+    spark.createDataFrame(data + data, ddl).coalesce(1).write.parquet(f"{tmp_dir}/landing")
+    start_quality_streams(
+        spark, f"{tmp_dir}/landing", ddl, "borrower_profile",
+        f"{tmp_dir}/silver", f"{tmp_dir}/reject", f"{tmp_dir}/_ckpt", dedup_within=("created_at", "1 hour"),
+    ).await_termination()
+    assert [r.borrower_id for r in spark.read.parquet(f"{tmp_dir}/silver").collect()] == ["B1001"]
