@@ -5,7 +5,13 @@ from __future__ import annotations
 from collections import defaultdict
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+
+def qcol(name: str) -> Column:
+    """The column called ``name``, quoted (a dot or space in a name is not a path)."""
+    return F.col("`" + name.replace("`", "``") + "`")
 
 
 def normalize_name(name: str) -> str:

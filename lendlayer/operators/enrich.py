@@ -26,6 +26,8 @@ from typing import Any
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lendlayer.functions.names import qcol
+
 SALT = "__null_key_salt"
 
 
@@ -62,7 +64,8 @@ def left_join(
             f"join key {key!r} is {left_type.simpleString()} on the left and "
             f"{right_type.simpleString()} in the lookup; normalise both sides first"
         )
-    out_cols = [key] + [c for c in df.columns if c != key] + [c for c in lookup.columns if c != key]
+    names = [key] + [c for c in df.columns if c != key] + [c for c in lookup.columns if c != key]
+    out_cols = [qcol(c) for c in names]
     if broadcast_max_rows is not None and fits_broadcast(lookup, broadcast_max_rows):
         return df.join(F.broadcast(lookup), on=key, how="left").select(*out_cols)
     if not df.schema[key].nullable:
@@ -70,10 +73,10 @@ def left_join(
     buckets = _salt_buckets(df)
     salted = df.withColumn(
         SALT,
-        F.when(F.col(key).isNull(), F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(buckets)) + 1)
+        F.when(qcol(key).isNull(), F.pmod(F.xxhash64(*[qcol(c) for c in df.columns]), F.lit(buckets)) + 1)
         .otherwise(F.lit(0)),
     )
-    right = lookup.withColumn(SALT, F.when(F.col(key).isNull(), F.lit(-1)).otherwise(F.lit(0)))
+    right = lookup.withColumn(SALT, F.when(qcol(key).isNull(), F.lit(-1)).otherwise(F.lit(0)))
     return salted.join(right, on=[key, SALT], how="left").select(*out_cols)
 
 
@@ -98,7 +101,7 @@ def enrich(df: DataFrame, table: str | None, lookups: Sequence[Lookup]) -> DataF
             clash = [c for c in extra if c in df.columns]
             if clash:
                 raise ValueError(f"lookup {lk.name!r} would duplicate columns {clash}")
-        df = left_join(df, lk.frame.select(lk.key, *extra), lk.key, lk.broadcast_max_rows)
+        df = left_join(df, lk.frame.select(*[qcol(c) for c in (lk.key, *extra)]), lk.key, lk.broadcast_max_rows)
     present = {c: v for c, v in fills.items() if c in df.columns}
     return df.fillna(present) if present else df
 

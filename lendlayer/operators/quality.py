@@ -26,7 +26,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lendlayer.functions.names import has_columns, id_columns, present_columns
+from lendlayer.functions.names import has_columns, id_columns, present_columns, qcol
 
 # Outcome labels.
 NULL_VALUES = "NULL_VALUES"
@@ -50,7 +50,7 @@ def any_true(conditions: Iterable[Column]) -> Column | None:
 
 
 def any_null(columns: Iterable[str]) -> Column | None:
-    return any_true(F.col(c).isNull() for c in columns)
+    return any_true(qcol(c).isNull() for c in columns)
 
 
 def outside(low: float, high: float) -> Callable[[Column], Column]:
@@ -86,7 +86,7 @@ class Rule:
     def build(self, df: DataFrame, table: str | None) -> Column | None:
         if not self.applies_to(table) or not has_columns(df, *self.requires):
             return None
-        return self.check(*[F.col(c) for c in self.requires])
+        return self.check(*[qcol(c) for c in self.requires])
 
     def non_null_if_passed(self, df: DataFrame, table: str | None) -> list[str]:
         """Columns this rule guarantees non-null on the rows it passes."""
@@ -211,8 +211,8 @@ def _non_nullable(column: str, dtype: str) -> Column:
     tells the analyser the column cannot be null, so joins on it skip null-key salting.
     """
     if dtype not in _NEVER_USED:
-        return F.col(column)
-    return F.coalesce(F.col(column), F.lit(_NEVER_USED[dtype]).cast(dtype)).alias(column)
+        return qcol(column)
+    return F.coalesce(qcol(column), F.lit(_NEVER_USED[dtype]).cast(dtype)).alias(column)
 
 
 @dataclass(frozen=True)
@@ -233,12 +233,12 @@ class QualitySplit:
         so later joins on them need no null-key handling.
         """
         cond = functools.reduce(
-            operator.and_, [F.col(c).isNotNull() for c in self.non_null], F.col(STATUS) == VALID
+            operator.and_, [qcol(c).isNotNull() for c in self.non_null], F.col(STATUS) == VALID
         )
         rows = self.tagged.filter(cond)
         types = dict(rows.dtypes)
         return rows.select(
-            *[_non_nullable(c, types[c]) if c in self.non_null else F.col(c) for c in self.columns]
+            *[_non_nullable(c, types[c]) if c in self.non_null else qcol(c) for c in self.columns]
         )
 
     @property
@@ -251,13 +251,13 @@ class QualitySplit:
     def reject(self) -> DataFrame:
         """Failing rows with ``reject_reason`` (the first failing group), copies kept."""
         return self.tagged.filter(F.col(STATUS).isin(*REASONS)).select(
-            *self.columns, F.col(STATUS).alias(REJECT_REASON)
+            *[qcol(c) for c in self.columns], F.col(STATUS).alias(REJECT_REASON)
         )
 
     @property
     def unknown(self) -> DataFrame:
         """Rows whose first undecided group evaluated to NULL (in neither output)."""
-        return self.tagged.filter(F.col(STATUS) == UNKNOWN).select(*self.columns)
+        return self.tagged.filter(F.col(STATUS) == UNKNOWN).select(*[qcol(c) for c in self.columns])
 
     def counts(self) -> DataFrame:
         """One row per outcome: ``outcome``, ``row_count``, ``distinct_rows``.
@@ -267,7 +267,9 @@ class QualitySplit:
         ``row_count`` the copies removed. One shuffle over whole rows (with a
         map-side partial aggregate), then a tiny one over the outcome.
         """
-        per_row = self.tagged.groupBy(*self.columns, STATUS).agg(F.count(F.lit(1)).alias("_n"))
+        per_row = self.tagged.groupBy(*[qcol(c) for c in self.columns], STATUS).agg(
+            F.count(F.lit(1)).alias("_n")
+        )
         label = (
             F.when(F.col(STATUS) == VALID, F.lit("valid"))
             .when(F.col(STATUS) == UNKNOWN, F.lit("unknown"))
@@ -343,5 +345,5 @@ def key_check(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     A hash aggregate with a map-side partial step, so a key held by a third of all
     rows is counted per map task first and only partial counts are shuffled.
     """
-    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("row_count"))
+    counted = df.groupBy(*[qcol(k) for k in keys]).agg(F.count(F.lit(1)).alias("row_count"))
     return counted.filter((F.col("row_count") > 1) | any_null(keys))

@@ -142,3 +142,10 @@ def test_conservation_and_precedence_property(spark, data):
             assert r.reject_reason == OUTLIER_OR_INVALID_RANGE
     assert split.valid.count() == split.valid_with_duplicates.distinct().count()
     assert split.valid.filter(F.col("borrower_id").isNull()).count() == 0
+
+
+def test_dotted_and_spaced_names(spark):
+    df = spark.createDataFrame([("B1001", "BR101", 1.5), ("B1001", "BR101", 1.5)], "`borrower.id` string, branch_id string, `loan amount` double")
+    split = split_quality(df)
+    assert split.valid.count() == 1 and split.valid.columns == df.columns
+    assert key_check(df, ["borrower.id"]).first().row_count == 2
