@@ -31,7 +31,6 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from lendlayer.functions.standardize import standardize  # noqa: E402
 from lendlayer.operators.quality import (  # noqa: E402
-    GROUP_REASON,
     REJECT_REASON,
     group_conditions,
     split_quality,

@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 from lendlayer.functions.standardize import normalize_officer_id, standardize
 from lendlayer.operators.derive import derive_loan_columns
 from lendlayer.operators.enrich import (
-    Lookup,
     borrower_lookup,
     branch_lookup,
     enrich,
