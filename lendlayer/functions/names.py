@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections import defaultdict
 from collections.abc import Iterable, Sequence
 
@@ -9,9 +10,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+_PLAIN = re.compile(r"^[A-Za-z_][A-Za-z0-9_]*$")
+
+
+def ref(name: str) -> str:
+    """``name`` as a column reference string: as is when plain, else back-quoted
+    (a dot or space in a name is not a path). Strings in a ``select`` list cost no
+    extra round trip to the JVM, unlike building a ``Column`` per name."""
+    return name if _PLAIN.match(name) else "`" + name.replace("`", "``") + "`"
+
+
 def qcol(name: str) -> Column:
-    """The column called ``name``, quoted (a dot or space in a name is not a path)."""
-    return F.col("`" + name.replace("`", "``") + "`")
+    """The column called ``name`` (see :func:`ref`)."""
+    return F.col(ref(name))
 
 
 def normalize_name(name: str) -> str:

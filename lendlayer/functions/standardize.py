@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from lendlayer.functions.names import normalize_column_names, qcol
+from lendlayer.functions.names import normalize_column_names, qcol, ref
 
 # The officer-id repair. Unguarded: every 'O' becomes '0'.
 # Guarded: only a leading 'O' of ids shaped like O<digits>.
@@ -26,7 +26,7 @@ def trim_strings(df: DataFrame) -> DataFrame:
     if not string_cols:
         return df
     return df.select(
-        [F.trim(qcol(c)).alias(c) if c in string_cols else qcol(c) for c in df.columns]
+        [F.trim(qcol(c)).alias(c) if c in string_cols else ref(c) for c in df.columns]
     )
 
 

@@ -26,7 +26,7 @@ from typing import Any
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lendlayer.functions.names import qcol
+from lendlayer.functions.names import qcol, ref
 
 SALT = "__null_key_salt"
 
@@ -65,7 +65,7 @@ def left_join(
             f"{right_type.simpleString()} in the lookup; normalise both sides first"
         )
     names = [key] + [c for c in df.columns if c != key] + [c for c in lookup.columns if c != key]
-    out_cols = [qcol(c) for c in names]
+    out_cols = [ref(c) for c in names]
     if broadcast_max_rows is not None and fits_broadcast(lookup, broadcast_max_rows):
         return df.join(F.broadcast(lookup), on=key, how="left").select(*out_cols)
     if not df.schema[key].nullable:
@@ -101,7 +101,7 @@ def enrich(df: DataFrame, table: str | None, lookups: Sequence[Lookup]) -> DataF
             clash = [c for c in extra if c in df.columns]
             if clash:
                 raise ValueError(f"lookup {lk.name!r} would duplicate columns {clash}")
-        df = left_join(df, lk.frame.select(*[qcol(c) for c in (lk.key, *extra)]), lk.key, lk.broadcast_max_rows)
+        df = left_join(df, lk.frame.select(*[ref(c) for c in (lk.key, *extra)]), lk.key, lk.broadcast_max_rows)
     present = {c: v for c, v in fills.items() if c in df.columns}
     return df.fillna(present) if present else df
 

@@ -26,7 +26,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lendlayer.functions.names import has_columns, id_columns, present_columns, qcol
+from lendlayer.functions.names import has_columns, id_columns, present_columns, qcol, ref
 
 # Outcome labels.
 NULL_VALUES = "NULL_VALUES"
@@ -211,7 +211,7 @@ def _non_nullable(column: str, dtype: str) -> Column:
     tells the analyser the column cannot be null, so joins on it skip null-key salting.
     """
     if dtype not in _NEVER_USED:
-        return qcol(column)
+        return ref(column)
     return F.coalesce(qcol(column), F.lit(_NEVER_USED[dtype]).cast(dtype)).alias(column)
 
 
@@ -236,9 +236,11 @@ class QualitySplit:
             operator.and_, [qcol(c).isNotNull() for c in self.non_null], F.col(STATUS) == VALID
         )
         rows = self.tagged.filter(cond)
-        types = dict(rows.dtypes)
+        if not self.non_null:
+            return rows.select(*[ref(c) for c in self.columns])
+        types = dict(self.tagged.dtypes)
         return rows.select(
-            *[_non_nullable(c, types[c]) if c in self.non_null else qcol(c) for c in self.columns]
+            *[_non_nullable(c, types[c]) if c in self.non_null else ref(c) for c in self.columns]
         )
 
     @property
@@ -257,7 +259,7 @@ class QualitySplit:
     @property
     def unknown(self) -> DataFrame:
         """Rows whose first undecided group evaluated to NULL (in neither output)."""
-        return self.tagged.filter(F.col(STATUS) == UNKNOWN).select(*[qcol(c) for c in self.columns])
+        return self.tagged.filter(F.col(STATUS) == UNKNOWN).select(*[ref(c) for c in self.columns])
 
     def counts(self) -> DataFrame:
         """One row per outcome: ``outcome``, ``row_count``, ``distinct_rows``.
@@ -267,7 +269,7 @@ class QualitySplit:
         ``row_count`` the copies removed. One shuffle over whole rows (with a
         map-side partial aggregate), then a tiny one over the outcome.
         """
-        per_row = self.tagged.groupBy(*[qcol(c) for c in self.columns], STATUS).agg(
+        per_row = self.tagged.groupBy(*[ref(c) for c in self.columns], STATUS).agg(
             F.count(F.lit(1)).alias("_n")
         )
         label = (
@@ -345,5 +347,5 @@ def key_check(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     A hash aggregate with a map-side partial step, so a key held by a third of all
     rows is counted per map task first and only partial counts are shuffled.
     """
-    counted = df.groupBy(*[qcol(k) for k in keys]).agg(F.count(F.lit(1)).alias("row_count"))
+    counted = df.groupBy(*[ref(k) for k in keys]).agg(F.count(F.lit(1)).alias("row_count"))
     return counted.filter((F.col("row_count") > 1) | any_null(keys))
