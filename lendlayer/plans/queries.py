@@ -284,7 +284,7 @@ def _streamed_borrowers(spark, sf) -> tuple[str, str]:
         checkpoint_path=f"{root}/_checkpoints",
         max_files_per_trigger=1,
     )
-    streams.await_termination()
+    streams.await_termination(timeout=1800)
     return f"{root}/silver", f"{root}/reject"
 
 

@@ -37,8 +37,14 @@ class QualityStreams:
     reject: StreamingQuery
 
     def await_termination(self, timeout: float | None = None) -> None:
+        """Wait for both queries (``available_now`` runs end by themselves); with a
+        ``timeout`` in seconds, queries still running then are stopped and an error raised."""
         for q in (self.silver, self.reject):
-            q.awaitTermination(timeout) if timeout is not None else q.awaitTermination()
+            if timeout is None:
+                q.awaitTermination()
+            elif not q.awaitTermination(timeout):
+                self.stop()
+                raise TimeoutError(f"streaming query {q.name or q.id} still running after {timeout}s")
 
     def stop(self) -> None:
         for q in (self.silver, self.reject):

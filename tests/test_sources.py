@@ -111,3 +111,14 @@ def test_failed_staged_write_keeps_previous_table(spark, layout):
         overwrite_table(broken, name, staged=True)  # fails inside the job (ANSI cast error)
     assert [r.x for r in spark.table(name).collect()] == [1]
     assert list_tables(spark, layout.database("silver")) == ["keep_cleaned"]
+
+
+def test_use_namespace(spark, layout):
+    from lendlayer.sources.catalog import use_namespace
+
+    before = spark.catalog.currentDatabase()
+    try:
+        use_namespace(spark, layout.database("gold"))
+        assert spark.catalog.currentDatabase() == layout.database("gold")
+    finally:
+        use_namespace(spark, before)
