@@ -11,10 +11,11 @@ Scale notes
   from runtime sizes (broadcast below the threshold, sort-merge join beyond it, and
   skewed fact partitions split by the skew-join rule).
 * Fact rows with a null key can never match, but a shuffled join would still send
-  all of them to one reducer. When the key is nullable they get a salt spread over
-  ``shuffle.partitions`` buckets (matched keys keep salt 0), so null-heavy facts stay
-  balanced. Keys known non-null (e.g. ids of clean rows) are joined directly, which
-  keeps an existing hash partitioning on the key usable (no extra exchange).
+  all of them to one reducer. When the key is nullable they join on a row-hash
+  stand-in (with ``key IS NOT NULL`` in the condition, so they still never match),
+  which spreads them over all partitions while the lookup keeps joining on its plain
+  key. Keys known non-null (ids of clean rows) are joined directly. Either way an
+  existing hash partitioning of the lookup on the key is reused (no extra exchange).
 """
 
 from __future__ import annotations
@@ -23,12 +24,15 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from typing import Any
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ByteType, IntegerType, LongType, ShortType, StringType
 
 from lendlayer.functions.names import qcol, ref
 
 SALT = "__null_key_salt"
+SPREAD_KEY = "__join_key"
+_INT_BOUNDS = {ByteType: 127, ShortType: 32767, IntegerType: 2147483647}
 
 
 @dataclass(frozen=True)
@@ -53,10 +57,33 @@ def fits_broadcast(frame: DataFrame, max_rows: int) -> bool:
     return frame.limit(max_rows + 1).count() <= max_rows
 
 
+def _row_hash_like(df: DataFrame, key: str) -> Column | None:
+    """A per-row hash of the key's type, to stand in for a null key (``None`` if the
+    type has no cheap exact stand-in)."""
+    dtype = df.schema[key].dataType
+    h = F.xxhash64(*[qcol(c) for c in df.columns])
+    if isinstance(dtype, StringType):
+        return h.cast("string")
+    if isinstance(dtype, LongType):
+        return h
+    for kind, bound in _INT_BOUNDS.items():
+        if isinstance(dtype, kind):
+            return F.pmod(h, F.lit(bound)).cast(dtype)
+    return None
+
+
 def left_join(
     df: DataFrame, lookup: DataFrame, key: str, broadcast_max_rows: int | None = None
 ) -> DataFrame:
-    """``df LEFT JOIN lookup USING (key)``: key first, then ``df``'s, then ``lookup``'s columns."""
+    """``df LEFT JOIN lookup USING (key)``: key first, then ``df``'s, then ``lookup``'s columns.
+
+    Null keys on the fact side never match, but hashed on the key they would all
+    land in one reducer. When the key is nullable the fact joins on
+    ``coalesce(key, row hash)`` — null-key rows spread over all partitions — with
+    ``key IS NOT NULL`` in the join condition, so they still never match. The lookup
+    joins on its plain key, so a partitioning it already has on the key (e.g. a
+    per-key aggregate) is reused without another exchange.
+    """
     left_type = df.schema[key].dataType
     right_type = lookup.schema[key].dataType
     if left_type != right_type:
@@ -64,12 +91,27 @@ def left_join(
             f"join key {key!r} is {left_type.simpleString()} on the left and "
             f"{right_type.simpleString()} in the lookup; normalise both sides first"
         )
-    names = [key] + [c for c in df.columns if c != key] + [c for c in lookup.columns if c != key]
-    out_cols = [ref(c) for c in names]
+    left_names = [c for c in df.columns if c != key]
+    right_names = [c for c in lookup.columns if c != key]
+    using_cols = [ref(c) for c in [key, *left_names, *right_names]]
     if broadcast_max_rows is not None and fits_broadcast(lookup, broadcast_max_rows):
-        return df.join(F.broadcast(lookup), on=key, how="left").select(*out_cols)
+        return df.join(F.broadcast(lookup), on=key, how="left").select(*using_cols)
     if not df.schema[key].nullable:
-        return df.join(lookup, on=key, how="left").select(*out_cols)
+        return df.join(lookup, on=key, how="left").select(*using_cols)
+    stand_in = _row_hash_like(df, key)
+    if stand_in is None:
+        return _salted_left_join(df, lookup, key, using_cols)
+    k = ref(key)
+    facts = df.withColumn(SPREAD_KEY, F.coalesce(qcol(key), stand_in)).alias("f")
+    cond = (F.col(f"f.{SPREAD_KEY}") == F.col(f"l.{k}")) & F.col(f"f.{k}").isNotNull()
+    return facts.join(lookup.alias("l"), cond, "left").select(
+        f"f.{k}", *[f"f.{ref(c)}" for c in left_names], *[f"l.{ref(c)}" for c in right_names]
+    )
+
+
+def _salted_left_join(df: DataFrame, lookup: DataFrame, key: str, out_cols: list[str]) -> DataFrame:
+    """Fallback for key types without a stand-in: join on ``(key, salt)``; null keys get
+    a salt spread over the shuffle partitions, matched keys keep salt 0."""
     buckets = _salt_buckets(df)
     salted = df.withColumn(
         SALT,

@@ -12,7 +12,7 @@ import pytest
 
 from conftest import SF_SMALL
 from lendlayer.functions.standardize import standardize
-from lendlayer.operators.enrich import SALT, standard_lookups, enrich
+from lendlayer.operators.enrich import SALT, SPREAD_KEY, enrich, standard_lookups
 from lendlayer.operators.quality import split_quality
 from lendlayer.plans import queries as Q
 from lendlayer.plans.flagship import gold_loans
@@ -71,13 +71,21 @@ def test_partial_aggregation_before_every_shuffle(at_scale):
     assert "partial_count(1)" in text
 
 
-def test_nullable_keys_are_salted(at_scale):
+def test_nullable_keys_are_spread(at_scale):
     text = plan_text(Q.QUERIES["enrich_borrower"](at_scale, SF_SMALL))
-    assert SALT in text
-    smj = re.search(r"SortMergeJoin.*?Left keys \[2\]: \[borrower_id#\d+, " + SALT, text, re.S)
+    assert SALT not in text and SPREAD_KEY in text
+    smj = re.search(r"SortMergeJoin.*?Left keys \[1\]: \[" + SPREAD_KEY + r"#\d+\].*?Join condition: isnotnull", text, re.S)
     assert smj is not None
 
 
+def test_nullable_fact_reuses_lookup_partitioning(at_scale):
+    text = plan_text(Q.QUERIES["enrich_repayment"](at_scale, SF_SMALL))
+    exchanges = [re.sub(r"#\d+L?", "", e).rsplit(",", 1)[0]
+                 for e in re.findall(r"Arguments: hashpartitioning\(([^)]*)\)", text)]
+    # loans shuffle on the spread key; the aggregate's own loan_id exchange feeds the join
+    assert exchanges.count("loan_id") == 1 and exchanges.count(SPREAD_KEY) == 1
+
+
 def test_single_pass_tagging(spark):
     split = split_quality(standardize(repayment_view(spark, SF_SMALL)), "repayment_summary")
     assert plan_text(split.reject, "simple").count("FileScan parquet") == 1

@@ -78,12 +78,34 @@ def test_fan_out_multiplies_by_key_multiplicity(spark):
     assert rows(out.select("loan_id", "borrower_name")) == [("L1", "Ann"), ("L1", "Anne"), ("L2", None)]
 
 
-def test_null_keys_salted_join_is_exact(spark):
+def test_null_keys_spread_join_is_exact(spark):
     facts = spark.createDataFrame([("L1", None, "BR1"), ("L2", None, "BR1"), ("L3", "B1", "BR2")], FACTS)
     lookup = spark.createDataFrame([("B1", "Ann"), (None, "Ghost")], "borrower_id string, borrower_name string")
     out = left_join(facts, lookup, "borrower_id")
     assert out.columns == ["borrower_id", "loan_id", "branch_id", "borrower_name"]
     assert rows(out.select("loan_id", "borrower_name")) == [("L1", None), ("L2", None), ("L3", "Ann")]
+    # a null key whose row-hash stand-in equals a real lookup key still does not match
+    from pyspark.sql import functions as F
+
+    stand_in = facts.filter("loan_id = 'L1'").select(
+        F.xxhash64(*[F.col(c) for c in facts.columns]).cast("string").alias("borrower_id")).first()[0]
+    trap = spark.createDataFrame([(stand_in, "Collision")], "borrower_id string, borrower_name string")
+    assert left_join(facts, trap, "borrower_id").filter("borrower_name IS NOT NULL").count() == 0
+
+
+def test_null_keys_int_and_fallback_types(spark):
+    facts = spark.createDataFrame([(1, None), (2, 7)], "loan int, officer_id int")
+    officers = spark.createDataFrame([(7, "Bob")], "officer_id int, officer_name string")
+    assert rows(left_join(facts, officers, "officer_id").select("loan", "officer_name")) == [(1, None), (2, "Bob")]
+    dated = spark.createDataFrame([(1, None), (2, dt.date(2025, 1, 1))], "n int, d date")
+    cal = spark.createDataFrame([(dt.date(2025, 1, 1), "Q1")], "d date, q string")
+    assert rows(left_join(dated, cal, "d").select("n", "q")) == [(1, None), (2, "Q1")]
+
+
+def test_self_derived_lookup(spark):
+    people = spark.createDataFrame([("B1", "Ann"), (None, "Ghost")], "borrower_id string, full_name string")
+    out = enrich(people, "borrower_profile_cleaned", standard_lookups(borrowers=people))
+    assert rows(out.select("full_name", "borrower_name")) == [("Ann", "Ann"), ("Ghost", None)]
 
 
 def test_join_key_types_must_agree(spark):
