@@ -46,6 +46,7 @@ class Lookup:
     skip_for: frozenset[str] = frozenset()
     fill: Mapping[str, Any] = field(default_factory=dict)
     broadcast_max_rows: int | None = None
+    keyed: bool = False  # the frame is already hash-partitioned on ``key`` (e.g. a per-key aggregate)
 
 
 def _salt_buckets(df: DataFrame) -> int:
@@ -207,6 +208,7 @@ def standard_lookups(
                 repayment_aggregates(repayment_summary),
                 skip_for=frozenset({REPAYMENT_SOURCE_TABLE}),
                 fill=REPAYMENT_FILL,
+                keyed=True,
             )
         )
     if branches is not None:

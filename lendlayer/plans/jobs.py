@@ -28,7 +28,6 @@ from lendlayer.layout import Layout, gold_name, reject_name, silver_name
 from lendlayer.operators.derive import derive_loan_columns, stamp_processing_date
 from lendlayer.operators.enrich import Lookup, enrich, standard_lookups
 from lendlayer.operators.quality import DEFAULT_RULES, Rule, split_quality
-from lendlayer.session import checkpoint_root
 from lendlayer.sources.catalog import list_tables
 from lendlayer.sources.files import read_csv, read_json
 from lendlayer.sources.sinks import overwrite_counted, overwrite_from_self, table_exists, write_split
@@ -158,7 +157,9 @@ class GoldSources:
 
 def _load_lookups(
     spark: SparkSession, layout: Layout, sources: GoldSources, materialize: bool
-) -> tuple[list[Lookup], list[ReportRow]]:
+) -> tuple[list[Lookup], list[ReportRow], list[str]]:
+    """The lookups for the gold joins, the report rows of missing sources, and the
+    work tables written for them (to drop after the run)."""
     frames, missing = {}, []
     for field in dataclasses.fields(sources):
         table = getattr(sources, field.name)
@@ -168,12 +169,26 @@ def _load_lookups(
         else:
             missing.append(ReportRow("gold", table, "missing_lookup", error=f"{name} not found; join skipped"))
     lookups = standard_lookups(**frames)
+    work: list[str] = []
     if materialize:
-        # Lookups are read by every gold table: compute each once, into the shared
-        # checkpoint folder (reliable storage; lineage cut, partitioning kept).
-        checkpoint_root(spark)
-        lookups = [dataclasses.replace(lk, frame=lk.frame.checkpoint(eager=True)) for lk in lookups]
-    return lookups, missing
+        # Lookups are read by every gold table: compute each once. Lookups joined by
+        # shuffle are written as tables bucketed on their key, so every gold join reads
+        # them already hash-partitioned the way the join needs — only the fact side is
+        # shuffled. Small lookups that will be broadcast are
+        # written as they are. Written tables live in the run's shared location, so a
+        # lost executor never loses them.
+        parts = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+        materialized = []
+        for lk in lookups:
+            name = layout.table("gold", f"_lookup_{lk.name}_{uuid.uuid4().hex[:8]}")
+            writer = lk.frame.write.format("parquet").mode("overwrite")
+            if not lk.broadcast_max_rows:
+                writer = writer.bucketBy(parts, lk.key)
+            writer.saveAsTable(name)
+            work.append(name)
+            materialized.append(dataclasses.replace(lk, frame=spark.table(name), keyed=not lk.broadcast_max_rows))
+        lookups = materialized
+    return lookups, missing, work
 
 
 def silver_to_gold(
@@ -196,7 +211,7 @@ def silver_to_gold(
     if materialize_lookups is None:
         materialize_lookups = len(tables) > 1
     try:
-        lookups, report = _load_lookups(spark, layout, sources, materialize_lookups)
+        lookups, report, work = _load_lookups(spark, layout, sources, materialize_lookups)
     except Exception as exc:  # noqa: BLE001
         return [_failed("gold", "lookups", exc)]
 
@@ -212,7 +227,11 @@ def silver_to_gold(
         except Exception as exc:  # noqa: BLE001
             return _failed("gold", table, exc)
 
-    return report + _each(tables, one, parallelism)
+    try:
+        return report + _each(tables, one, parallelism)
+    finally:
+        for name in work:
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
 def run_all(

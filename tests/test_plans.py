@@ -100,3 +100,33 @@ def test_branch_broadcast_only_after_size_check(at_scale):
     refused = enrich(loans, "t", standard_lookups(branches=branches, branch_broadcast_max_rows=5))
     text = plan_text(refused, "simple")  # 25 branches > 5: no hint, so a shuffled join
     assert "BroadcastHashJoin" not in text and "SortMergeJoin" in text
+
+
+def test_materialised_lookups_are_keyed(spark, tmp_dir):
+    """Gold jobs over silver tables: neither the borrower lookup nor the per-loan
+    aggregate is shuffled again by the joins (both are written as bucketed tables)."""
+    import uuid
+
+    from lendlayer.layout import Layout
+    from lendlayer.operators.derive import derive_loan_columns
+    from lendlayer.plans.jobs import GoldSources, _load_lookups, bronze_to_silver
+    from lendlayer.plans.queries import RUN_BRONZE
+    from lendlayer.sources.sinks import overwrite_table
+
+    lay = Layout(prefix=f"k{uuid.uuid4().hex[:6]}_", location=tmp_dir).create(spark)
+    for t, view in RUN_BRONZE.items():
+        overwrite_table(view(spark, SF_SMALL), lay.table("bronze", t))
+    bronze_to_silver(spark, lay, list(RUN_BRONZE))
+    lookups, _, _ = _load_lookups(spark, lay, GoldSources(), materialize=True)
+    facts = spark.table(lay.table("silver", "loan_history_cleaned"))
+    saved = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        text = plan_text(enrich(derive_loan_columns(facts), "loan_history_cleaned", lookups))
+    finally:
+        for k, v in saved.items():
+            spark.conf.set(k, v)
+    keys = [re.sub(r"#\d+L?", "", e).rsplit(",", 1)[0]
+            for e in re.findall(r"Arguments: hashpartitioning\(([^)]*)\)", text)]
+    assert keys == [SPREAD_KEY, SPREAD_KEY]  # only the fact side is shuffled, once per join key
