@@ -181,10 +181,18 @@ def _load_lookups(
         materialized = []
         for lk in lookups:
             name = layout.table("gold", f"_lookup_{lk.name}_{uuid.uuid4().hex[:8]}")
-            writer = lk.frame.write.format("parquet").mode("overwrite")
-            if not lk.broadcast_max_rows:
-                writer = writer.bucketBy(parts, lk.key)
-            writer.saveAsTable(name)
+            if lk.broadcast_max_rows:
+                lk.frame.write.format("parquet").mode("overwrite").saveAsTable(name)
+            else:
+                # one task per bucket, so each bucket is one file (bucketBy alone would
+                # let every write task emit a file for every bucket it holds rows of)
+                (
+                    lk.frame.repartition(parts, lk.key)
+                    .write.format("parquet")
+                    .mode("overwrite")
+                    .bucketBy(parts, lk.key)
+                    .saveAsTable(name)
+                )
             work.append(name)
             materialized.append(dataclasses.replace(lk, frame=spark.table(name), keyed=not lk.broadcast_max_rows))
         lookups = materialized
