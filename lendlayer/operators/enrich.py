@@ -16,6 +16,8 @@ Scale notes
   which spreads them over all partitions while the lookup keeps joining on its plain
   key. Keys known non-null (ids of clean rows) are joined directly. Either way an
   existing hash partitioning of the lookup on the key is reused (no extra exchange).
+  Exact copies of a null-key row share a stand-in; a pile of them, like a hot
+  non-null key, is a skewed fact partition that AQE's skew-join rule splits.
 """
 
 from __future__ import annotations
@@ -46,7 +48,6 @@ class Lookup:
     skip_for: frozenset[str] = frozenset()
     fill: Mapping[str, Any] = field(default_factory=dict)
     broadcast_max_rows: int | None = None
-    keyed: bool = False  # the frame is already hash-partitioned on ``key`` (e.g. a per-key aggregate)
 
 
 def _salt_buckets(df: DataFrame) -> int:
@@ -208,7 +209,6 @@ def standard_lookups(
                 repayment_aggregates(repayment_summary),
                 skip_for=frozenset({REPAYMENT_SOURCE_TABLE}),
                 fill=REPAYMENT_FILL,
-                keyed=True,
             )
         )
     if branches is not None:

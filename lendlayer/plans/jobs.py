@@ -173,10 +173,9 @@ def _load_lookups(
     if materialize:
         # Lookups are read by every gold table: compute each once. Lookups joined by
         # shuffle are written as tables bucketed on their key, so every gold join reads
-        # them already hash-partitioned the way the join needs — only the fact side is
-        # shuffled. Small lookups that will be broadcast are
-        # written as they are. Written tables live in the run's shared location, so a
-        # lost executor never loses them.
+        # them already hash-partitioned the way the join needs and only the fact side
+        # is shuffled. Small lookups that will be broadcast are written as they are.
+        # The tables live in the run's shared location: a lost executor loses nothing.
         parts = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
         materialized = []
         for lk in lookups:
@@ -194,7 +193,7 @@ def _load_lookups(
                     .saveAsTable(name)
                 )
             work.append(name)
-            materialized.append(dataclasses.replace(lk, frame=spark.table(name), keyed=not lk.broadcast_max_rows))
+            materialized.append(dataclasses.replace(lk, frame=spark.table(name)))
         lookups = materialized
     return lookups, missing, work
 
