@@ -48,6 +48,7 @@ HEADLINE = (
     "dq_valid",
     "dq_reject_all_reasons",
     "dq_summary",
+    "dq_summary_all",
     "dq_repayment_ranges",
     "repayment_by_loan",
     "enrich_borrower",

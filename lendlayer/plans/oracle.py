@@ -438,3 +438,34 @@ ORACLE.update(
         ),
     }
 )
+
+CTE_SQL["sof2"] = "SELECT " + ", ".join([t("officer_id"), t("full_name"), t("branch_id")]) + " FROM officer"
+CTE_SQL["tof2"] = f"SELECT *, {status_case(['officer_id', 'branch_id'], [FMT_BRANCH], [])} AS dq_status FROM sof2"
+DEPENDS.update({"sof2": ["officer"], "tof2": ["sof2"]})
+
+
+def summary_rows(table: str, tagged: str, cols: str) -> str:
+    return (
+        f"SELECT '{table}' AS table_name, "
+        "CASE dq_status WHEN 'VALID' THEN 'valid' WHEN 'UNKNOWN' THEN 'unknown' ELSE dq_status END AS outcome, "
+        "CAST(sum(n) AS BIGINT) AS row_count, count(*) AS distinct_rows "
+        f"FROM (SELECT dq_status, count(*) AS n FROM {tagged} GROUP BY {cols}, dq_status) GROUP BY 1, 2"
+    )
+
+
+ORACLE["dq_summary_all"] = q(
+    "\nUNION ALL\n".join(
+        [
+            summary_rows("borrower_profile", "tb", BORROWER_COLS),
+            summary_rows("loan_history", "tl", LOAN_COLS),
+            summary_rows("repayment_summary", "tr", REPAYMENT_COLS),
+            summary_rows("loan_officers", "tof2", OFFICER_COLS),
+            summary_rows("branch_master", "tbr", BRANCH_COLS),
+        ]
+    ),
+    "tb",
+    "tl",
+    "tr",
+    "tof2",
+    "tbr",
+)

@@ -96,6 +96,27 @@ def dq_summary(spark, sf):
     return split_quality(_borrowers(spark, sf)).counts()
 
 
+SUMMARY_TABLES = (
+    ("borrower_profile", borrower_view, "borrower_profile"),
+    ("loan_history", loan_view, "loan_history"),
+    ("repayment_summary", repayment_view, "repayment_summary"),
+    ("loan_officers", officer_view, "loan_officers"),
+    ("branch_master", branch_view, "branch_master"),
+)
+
+
+def dq_summary_all(spark, sf):
+    """Outcome counts of the split for all five tables, one result."""
+    parts = [
+        split_quality(standardize(view(spark, sf)), table).counts().select(F.lit(name).alias("table_name"), "*")
+        for name, view, table in SUMMARY_TABLES
+    ]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
 def split_critical_valid(spark, sf):
     return split_critical(loan_view(spark, sf))[0]
 
@@ -312,6 +333,7 @@ QUERIES: dict[str, Query] = {
     "dq_valid": dq_valid,
     "dq_unknown_rows": dq_unknown_rows,
     "dq_summary": dq_summary,
+    "dq_summary_all": dq_summary_all,
     "split_critical_valid": split_critical_valid,
     "split_critical_invalid": split_critical_invalid,
     "split_critical_none": split_critical_none,
