@@ -1,8 +1,9 @@
 """lendlayer: layered loan and repayment data quality and enrichment on Spark.
 
-Every public function takes and returns a ``DataFrame`` (use them with
-``df.transform``); only ``lendlayer.sources.sinks`` and ``lendlayer.plans.jobs``
-run Spark actions.
+The operators take and return lazy ``DataFrame`` plans (use them with
+``df.transform``). Spark actions run only in ``lendlayer.sources.sinks``,
+``lendlayer.plans.jobs`` and ``lendlayer.streaming``, plus one small bounded job:
+the row-count check before a lookup is broadcast (``enrich.fits_broadcast``).
 """
 
 from lendlayer.functions.names import normalize_column_names
