@@ -23,6 +23,7 @@ import sys
 from pyspark.sql import SparkSession
 
 from lendlayer.layout import Layout
+from lendlayer.operators.quality import DEFAULT_RULES, load_rules
 from lendlayer.plans import jobs
 from lendlayer.schemas import CLEANED_TABLES, RAW_TABLES, SCHEMA_DDL
 
@@ -42,6 +43,7 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--json-lines", action="store_true", help="ingest: JSON lines instead of one document per file")
     p.add_argument("--ingest", action="append", default=[], help="run: table=path to land first (repeatable)")
     p.add_argument("--hive", action="store_true", help="use a persistent (Hive) metastore")
+    p.add_argument("--rules", default=None, help="JSON file of data-quality rules (default: built-in registry)")
     return p
 
 
@@ -57,6 +59,7 @@ def main(argv: list[str] | None = None) -> int:
     tables = [t.strip() for t in args.tables.split(",") if t.strip()]
     as_of = dt.date.fromisoformat(args.as_of) if args.as_of else None
     aliases = dict(a.split("=", 1) for a in args.alias)
+    rules = load_rules(args.rules) if args.rules else DEFAULT_RULES
     if args.command == "ingest":
         if not (args.table and args.path):
             raise SystemExit("ingest needs --table and --path")
@@ -68,7 +71,9 @@ def main(argv: list[str] | None = None) -> int:
     elif args.command == "repair":
         rows = [jobs.repair_officer_ids(spark, layout)]
     elif args.command == "silver":
-        rows = jobs.bronze_to_silver(spark, layout, tables, aliases=aliases, parallelism=args.parallelism)
+        rows = jobs.bronze_to_silver(
+            spark, layout, tables, rules=rules, aliases=aliases, parallelism=args.parallelism
+        )
     elif args.command == "gold":
         rows = jobs.silver_to_gold(spark, layout, as_of=as_of, parallelism=args.parallelism)
     else:
@@ -78,7 +83,9 @@ def main(argv: list[str] | None = None) -> int:
             landed.append(
                 jobs.ingest_file(spark, layout, path, table, SCHEMA_DDL[table], args.format, not args.json_lines)
             )
-        report = jobs.run_all(spark, layout, tables, aliases=aliases, as_of=as_of, parallelism=args.parallelism)
+        report = jobs.run_all(
+            spark, layout, tables, aliases=aliases, as_of=as_of, parallelism=args.parallelism, rules=rules
+        )
         if landed:
             report = jobs.report_frame(spark, landed).unionByName(report)
         _show(report)

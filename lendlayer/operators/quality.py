@@ -22,6 +22,7 @@ import functools
 import operator
 from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
+from typing import Any
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -142,6 +143,52 @@ DEFAULT_RULES: tuple[Rule, ...] = (
 
 RULES_BY_NAME = {r.name: r for r in DEFAULT_RULES}
 
+# Rule kinds usable from configuration, and the parameters each takes.
+RULE_KINDS: dict[str, tuple[Callable[..., Callable[[Column], Column]], tuple[str, ...]]] = {
+    "outside": (outside, ("low", "high")),
+    "not_positive_or_above": (not_positive_or_above, ("high",)),
+    "longer_than": (longer_than, ("max_length",)),
+    "not_matching": (not_matching, ("pattern",)),
+}
+
+
+def rules_from_config(spec: Iterable[Mapping[str, Any]]) -> tuple[Rule, ...]:
+    """Rules from plain data, so new tables or limits need no code.
+
+    Each item: ``name``, ``group`` (1 null ids, 2 formats, 3 ranges), ``kind``
+    (``any_null_ids`` or one of :data:`RULE_KINDS`), ``column`` (not for
+    ``any_null_ids``), the kind's parameters, and optional ``tables``::
+
+        [{"name": "age_range", "group": 3, "kind": "outside", "column": "age", "low": 18, "high": 100},
+         {"name": "rate", "group": 3, "kind": "not_positive_or_above", "column": "exchange_rate",
+          "high": 200, "tables": ["repayment_summary"]}]
+    """
+    rules = []
+    for item in spec:
+        tables = frozenset(item["tables"]) if item.get("tables") is not None else None
+        kind = item["kind"]
+        if kind == "any_null_ids":
+            rules.append(AnyNullIdRule(item["name"], int(item["group"]), tables=tables,
+                                       suffix=item.get("suffix", "_id")))
+            continue
+        if kind not in RULE_KINDS:
+            raise ValueError(f"unknown rule kind {kind!r}; known: any_null_ids, {', '.join(RULE_KINDS)}")
+        make, params = RULE_KINDS[kind]
+        missing = [p for p in params if p not in item]
+        if missing or "column" not in item:
+            raise ValueError(f"rule {item.get('name')!r} needs column and {list(params)}")
+        check = make(*[item[p] for p in params])
+        rules.append(Rule(item["name"], int(item["group"]), (item["column"],), check, tables))
+    return tuple(rules)
+
+
+def load_rules(path: str) -> tuple[Rule, ...]:
+    """:func:`rules_from_config` over a JSON file (a list of rule objects)."""
+    import json
+
+    with open(path) as fh:
+        return rules_from_config(json.load(fh))
+
 
 def group_conditions(
     df: DataFrame, table: str | None, rules: Sequence[Rule] = DEFAULT_RULES

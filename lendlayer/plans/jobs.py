@@ -250,12 +250,13 @@ def run_all(
     repair_table: str | None = "loan_officers",
     sources: GoldSources = GoldSources(),
     parallelism: int = 1,
+    rules: Sequence[Rule] = DEFAULT_RULES,
 ) -> DataFrame:
     """Repair officer ids, clean every bronze table, enrich every clean one; the run report."""
     rows: list[ReportRow] = []
     if repair_table is not None and repair_table in tables:
         rows.append(repair_officer_ids(spark, layout, repair_table))
-    silver = bronze_to_silver(spark, layout, tables, aliases=aliases, parallelism=parallelism)
+    silver = bronze_to_silver(spark, layout, tables, rules=rules, aliases=aliases, parallelism=parallelism)
     rows += silver
     cleaned = [silver_name(r.table_name) for r in silver if r.status == "ok"]
     rows += silver_to_gold(spark, layout, cleaned, sources, as_of, parallelism=parallelism)

@@ -149,3 +149,38 @@ def test_dotted_and_spaced_names(spark):
     split = split_quality(df)
     assert split.valid.count() == 1 and split.valid.columns == df.columns
     assert key_check(df, ["borrower.id"]).first().row_count == 2
+
+
+def test_rules_from_config_match_the_registry(spark, tmp_dir):
+    import json
+    import os
+
+    from lendlayer.operators.quality import load_rules, rules_from_config
+
+    spec = [
+        {"name": "null_ids", "group": 1, "kind": "any_null_ids"},
+        {"name": "branch_id_format", "group": 2, "kind": "not_matching", "column": "branch_id", "pattern": "^BR[0-9]{3}$"},
+        {"name": "borrower_id_format", "group": 2, "kind": "not_matching", "column": "borrower_id",
+         "pattern": "^B[0-9]{3,6}$"},
+        {"name": "age_range", "group": 3, "kind": "outside", "column": "age", "low": 18, "high": 100},
+        {"name": "income_range", "group": 3, "kind": "outside", "column": "income", "low": 1000, "high": 1e7},
+        {"name": "credit_score_range", "group": 3, "kind": "outside", "column": "credit_score", "low": 300, "high": 900},
+        {"name": "industry_code_length", "group": 3, "kind": "longer_than", "column": "industry_code", "max_length": 6},
+        {"name": "rate", "group": 3, "kind": "not_positive_or_above", "column": "exchange_rate", "high": 200,
+         "tables": ["repayment_summary"]},
+    ]
+    path = os.path.join(tmp_dir, "rules.json")
+    with open(path, "w") as fh:
+        json.dump(spec, fh)
+    rules = load_rules(path)
+    data = [(None, "BR101", 30, 2000.0, 700, "1"), ("X1", "BR101", 30, 2000.0, 700, "1"),
+            ("B1001", "BR101", 5, 2000.0, 700, "1"), ("B1002", "BR101", None, 2000.0, 700, "1"),
+            ("B1003", "BR101", 30, 2000.0, 700, "1")]
+    df = frame(spark, data)
+    ours, builtin = split_quality(df, rules=rules), split_quality(df)
+    assert rows(ours.reject) == rows(builtin.reject)
+    assert rows(ours.valid) == rows(builtin.valid) and rows(ours.unknown) == rows(builtin.unknown)
+    with pytest.raises(ValueError, match="unknown rule kind"):
+        rules_from_config([{"name": "x", "group": 3, "kind": "between", "column": "age"}])
+    with pytest.raises(ValueError, match="needs column"):
+        rules_from_config([{"name": "x", "group": 3, "kind": "outside", "column": "age"}])
