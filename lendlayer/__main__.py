@@ -26,6 +26,7 @@ from lendlayer.layout import Layout
 from lendlayer.operators.quality import DEFAULT_RULES, load_rules
 from lendlayer.plans import jobs
 from lendlayer.schemas import CLEANED_TABLES, RAW_TABLES, SCHEMA_DDL
+from lendlayer.sources.catalog import tables_frame
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -89,6 +90,7 @@ def main(argv: list[str] | None = None) -> int:
         if landed:
             report = jobs.report_frame(spark, landed).unionByName(report)
         _show(report)
+        _show(tables_frame(spark, layout.database("gold")))  # the written gold tables
         return 1 if report.filter("status = 'failed'").limit(1).count() else 0
     _show(jobs.report_frame(spark, rows))
     return 1 if any(r.status == "failed" for r in rows) else 0

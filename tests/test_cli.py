@@ -17,5 +17,6 @@ def test_cli_run_with_ingest(spark, tmp_dir, capsys):
     assert code == 0
     out = capsys.readouterr().out
     assert "customer_metadata_cleaned" in out and "failed" not in out
+    assert "customer_metadata_cleaned_gold" in out  # the gold table listing
     assert spark.table(f"{prefix}gold.customer_metadata_cleaned_gold").count() == 4
     assert main(["silver", "--prefix", prefix, "--location", f"{tmp_dir}/lake", "--tables", "nope"]) == 1
