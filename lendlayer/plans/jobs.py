@@ -115,12 +115,14 @@ def bronze_to_silver(
     normalize_officers: bool = True,
     partition_by: Mapping[str, Sequence[str]] | None = None,
     parallelism: int = 1,
+    keep_tagged: bool = False,
 ) -> list[ReportRow]:
     """For each bronze table: standardise, split by the rules, write silver + reject.
 
     Officer ids are normalised to integers in every table that has them, so the
     officer join later compares like with like. ``partition_by`` maps a table to the
-    columns its silver and reject tables are partitioned by.
+    columns its silver and reject tables are partitioned by; ``keep_tagged`` reads each
+    source once for both sinks (see :func:`~lendlayer.sources.sinks.write_split`).
     """
 
     def one(table: str) -> ReportRow:
@@ -134,6 +136,7 @@ def bronze_to_silver(
                 layout.table("silver", silver_name(table)),
                 layout.table("reject", reject_name(table)),
                 (partition_by or {}).get(table),
+                keep_tagged=keep_tagged,
             )
             return ReportRow(
                 "silver", table, "ok", c.rows_in, c.rows_valid, c.rows_duplicate, c.rows_reject,

@@ -6,10 +6,13 @@ recomputes the joins just to count what was written.
 
 from __future__ import annotations
 
+import dataclasses
 import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -85,6 +88,7 @@ def write_split(
     partition_by: Sequence[str] | None = None,
     staged: bool = True,
     rebalance_reject: bool = True,
+    keep_tagged: bool = False,
 ) -> SplitCounts:
     """Write clean rows to ``silver_table`` and rejects (with reason) to ``reject_table``.
 
@@ -105,16 +109,22 @@ def write_split(
         F.count(F.when(status == VALID, 1)).alias("valid_with_copies"),
         F.count(F.when(status == UNKNOWN, 1)).alias("unknown"),
     ]
+    tagged = split.tagged.persist(StorageLevel.MEMORY_AND_DISK) if keep_tagged else split.tagged
     observed = QualitySplit(
-        tagged=split.tagged.observe(tag_obs, *metrics),
+        tagged=tagged.observe(tag_obs, *metrics),
         columns=split.columns,
         dedup=split.dedup,
         non_null=split.non_null,
     )
-    reject = observed.reject.hint("rebalance") if rebalance_reject else observed.reject
-    overwrite_table(reject, reject_table, partition_by, staged)
-    m = tag_obs.get
-    rows_valid = overwrite_counted(split.valid, silver_table, partition_by, staged)
+    try:
+        reject = observed.reject.hint("rebalance") if rebalance_reject else observed.reject
+        overwrite_table(reject, reject_table, partition_by, staged)
+        m = tag_obs.get
+        clean = dataclasses.replace(split, tagged=tagged).valid
+        rows_valid = overwrite_counted(clean, silver_table, partition_by, staged)
+    finally:
+        if keep_tagged:
+            tagged.unpersist()
     return SplitCounts(
         rows_in=int(m["rows_in"]),
         rows_valid=rows_valid,

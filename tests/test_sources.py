@@ -122,3 +122,15 @@ def test_use_namespace(spark, layout):
         assert spark.catalog.currentDatabase() == layout.database("gold")
     finally:
         use_namespace(spark, before)
+
+
+def test_write_split_keep_tagged_same_result(spark, layout):
+    from lendlayer.operators.quality import split_quality
+    from lendlayer.sources.sinks import write_split
+
+    data = [("B1001", "BR101", 30), ("B1001", "BR101", 30), (None, "BR1", 5), ("X1", "BR101", 5)]
+    df = spark.createDataFrame(data, "borrower_id string, branch_id string, age int")
+    a = write_split(split_quality(df), layout.table("silver", "a_cleaned"), layout.table("reject", "a"))
+    b = write_split(split_quality(df), layout.table("silver", "b_cleaned"), layout.table("reject", "b"),
+                    keep_tagged=True)
+    assert a == b and (a.rows_valid, a.rows_duplicate, a.rows_reject) == (1, 1, 2)
