@@ -130,3 +130,40 @@ def test_materialised_lookups_are_keyed(spark, tmp_dir):
     keys = [re.sub(r"#\d+L?", "", e).rsplit(",", 1)[0]
             for e in re.findall(r"Arguments: hashpartitioning\(([^)]*)\)", text)]
     assert keys == [SPREAD_KEY, SPREAD_KEY]  # only the fact side is shuffled, once per join key
+
+
+def test_hot_fact_key_is_split_by_aqe(spark):
+    """A third of the fact rows on one key: AQE's skew-join rule splits that partition
+    of the enrichment join (thresholds lowered so it triggers at test size)."""
+    from pyspark.sql import functions as F
+
+    keys = ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.adaptive.coalescePartitions.enabled")
+    saved = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        for k, v in zip(keys, ("true", "-1", "-1", "1k", "2", "1k", "false")):
+            spark.conf.set(k, v)
+        n = 30_000
+        facts = spark.range(n).select(
+            F.concat(F.lit("L"), F.col("id").cast("string")).alias("loan_id"),
+            F.when(F.col("id") % 3 == 0, F.lit("B000001"))  # the hot borrower: a third of all rows
+            .otherwise(F.concat(F.lit("B"), (F.col("id") % 5000).cast("string"))).alias("borrower_id"),
+        )
+        people = spark.range(5000).select(
+            F.concat(F.lit("B"), F.col("id").cast("string")).alias("borrower_id"),
+            F.concat(F.lit("name"), F.col("id").cast("string")).alias("full_name"),
+        ).union(spark.createDataFrame([("B000001", "Hot")], "borrower_id string, full_name string"))
+        out = enrich(facts, "loans", standard_lookups(borrowers=people))
+        got = out.collect()  # runs this plan itself, so its adaptive plan becomes final
+        assert len(got) == n
+        assert sum(r.borrower_name == "Hot" for r in got) == n // 3
+        assert "skew=true" in plan_text(out, "simple")
+    finally:
+        for k, v in saved.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
