@@ -69,6 +69,15 @@ def test_partial_aggregation_before_every_shuffle(at_scale):
     assert "partial_count(1)" in text and "partial_sum(" in text
     text = plan_text(Q.QUERIES["key_check"](at_scale, SF_SMALL), "simple")
     assert "partial_count(1)" in text
+    # whole-row dedup: a hash aggregate on each side of the exchange (map-side combine)
+    text = plan_text(Q.QUERIES["dq_valid"](at_scale, SF_SMALL), "simple")
+    lines = [re.sub(r"^[\s:+\-*|]*(\(\d+\)\s*)?", "", ln) for ln in text.splitlines()]
+    agg_exchange_agg = [
+        i for i in range(1, len(lines) - 1)
+        if lines[i].startswith("Exchange hashpartitioning")
+        and lines[i - 1].startswith("HashAggregate") and lines[i + 1].startswith("HashAggregate")
+    ]
+    assert agg_exchange_agg
 
 
 def test_nullable_keys_are_spread(at_scale):
