@@ -12,7 +12,6 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
-
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -110,12 +109,7 @@ def write_split(
         F.count(F.when(status == UNKNOWN, 1)).alias("unknown"),
     ]
     tagged = split.tagged.persist(StorageLevel.MEMORY_AND_DISK) if keep_tagged else split.tagged
-    observed = QualitySplit(
-        tagged=tagged.observe(tag_obs, *metrics),
-        columns=split.columns,
-        dedup=split.dedup,
-        non_null=split.non_null,
-    )
+    observed = dataclasses.replace(split, tagged=tagged.observe(tag_obs, *metrics))
     try:
         reject = observed.reject.hint("rebalance") if rebalance_reject else observed.reject
         overwrite_table(reject, reject_table, partition_by, staged)
