@@ -19,6 +19,7 @@ copied a million times is collapsed before the shuffle.
 from __future__ import annotations
 
 import functools
+import itertools
 import operator
 from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
@@ -202,28 +203,41 @@ def group_conditions(
     return out
 
 
+def _label(digits: Sequence[int], reasons: Sequence[str], on_unknown: str) -> str:
+    """The status of one combination of group outcomes (0 pass, 1 fail, 2 NULL)."""
+    for digit, reason in zip(digits, reasons):
+        if digit == 1 or (digit == 2 and on_unknown == "reject"):
+            return reason
+        if digit == 2 and on_unknown == "drop":
+            return UNKNOWN
+    return VALID
+
+
 def status_column(groups: Sequence[tuple[str, Column]], on_unknown: str = "drop") -> Column:
     """First failing group's reason, ``UNKNOWN`` for a NULL group result, else ``VALID``.
 
     ``on_unknown``: ``"drop"`` tags NULL results ``UNKNOWN`` (they reach neither output),
     ``"reject"`` treats NULL as a failure of that group, ``"keep"`` treats it as a pass.
+
+    Each group condition is evaluated exactly once per row: it becomes a digit
+    (``coalesce(int(cond), 2)``: 0 pass, 1 fail, 2 NULL), the digits form one base-3
+    number, and that number indexes a constant array holding the label of every
+    combination (3^groups entries, at most 27). A ``CASE WHEN cond … WHEN cond IS
+    NULL …`` chain would evaluate a condition twice for every row reaching it, and
+    Spark does not share sub-expressions across later ``CASE`` branches — the id-format
+    group's regexes would run twice per row.
     """
     if on_unknown not in UNKNOWN_POLICIES:
         raise ValueError(f"on_unknown must be one of {UNKNOWN_POLICIES}, got {on_unknown!r}")
-    branches: list[tuple[Column, str]] = []
-    for reason, cond in groups:
-        if on_unknown == "drop":
-            branches += [(cond, reason), (cond.isNull(), UNKNOWN)]
-        elif on_unknown == "reject":
-            branches.append((F.coalesce(cond, F.lit(True)), reason))
-        else:
-            branches.append((F.coalesce(cond, F.lit(False)), reason))
-    if not branches:
+    if not groups:
         return F.lit(VALID)
-    expr = F.when(branches[0][0], branches[0][1])
-    for cond, label in branches[1:]:
-        expr = expr.when(cond, label)
-    return expr.otherwise(VALID)
+    reasons = [reason for reason, _ in groups]
+    code = None
+    for _, cond in groups:
+        digit = F.coalesce(cond.cast("int"), F.lit(2))
+        code = digit if code is None else code * 3 + digit
+    labels = [_label(digits, reasons, on_unknown) for digits in itertools.product((0, 1, 2), repeat=len(groups))]
+    return F.element_at(F.array(*[F.lit(x) for x in labels]), code + 1)
 
 
 def resolve_table(table: str | None, aliases: Mapping[str, str] | None) -> str | None:
