@@ -237,7 +237,9 @@ def status_column(groups: Sequence[tuple[str, Column]], on_unknown: str = "drop"
         digit = F.coalesce(cond.cast("int"), F.lit(2))
         code = digit if code is None else code * 3 + digit
     labels = [_label(digits, reasons, on_unknown) for digits in itertools.product((0, 1, 2), repeat=len(groups))]
-    return F.element_at(F.array(*[F.lit(x) for x in labels]), code + 1)
+    # one constant built from SQL text: a single call, not one literal per label
+    table = F.expr("array(" + ", ".join("'" + x.replace("'", "''") + "'" for x in labels) + ")")
+    return F.element_at(table, code + 1)
 
 
 def resolve_table(table: str | None, aliases: Mapping[str, str] | None) -> str | None:
