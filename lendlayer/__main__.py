@@ -26,7 +26,7 @@ from lendlayer.layout import Layout
 from lendlayer.operators.quality import DEFAULT_RULES, load_rules
 from lendlayer.plans import jobs
 from lendlayer.schemas import CLEANED_TABLES, RAW_TABLES, SCHEMA_DDL
-from lendlayer.sources.catalog import tables_frame
+from lendlayer.sources.catalog import preview, tables_frame
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -45,6 +45,7 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--ingest", action="append", default=[], help="run: table=path to land first (repeatable)")
     p.add_argument("--hive", action="store_true", help="use a persistent (Hive) metastore")
     p.add_argument("--rules", default=None, help="JSON file of data-quality rules (default: built-in registry)")
+    p.add_argument("--preview", type=int, default=0, help="ingest/run: show the first N rows of each landed table")
     return p
 
 
@@ -52,6 +53,11 @@ def _show(df) -> None:
     df.show(10_000, truncate=False)
 
 
+def _preview(spark: SparkSession, layout: Layout, table: str, n: int) -> None:
+    if n > 0:
+        preview(spark.table(layout.table("bronze", table)), n).show(n, truncate=False)
+
+
 def main(argv: list[str] | None = None) -> int:
     args = _parser().parse_args(argv)
     builder = SparkSession.builder.appName(f"lendlayer-{args.command}")
@@ -69,6 +75,7 @@ def main(argv: list[str] | None = None) -> int:
                 spark, layout, args.path, args.table, SCHEMA_DDL[args.table], args.format, not args.json_lines
             )
         ]
+        _preview(spark, layout, args.table, args.preview)
     elif args.command == "repair":
         rows = [jobs.repair_officer_ids(spark, layout)]
     elif args.command == "silver":
@@ -84,6 +91,7 @@ def main(argv: list[str] | None = None) -> int:
             landed.append(
                 jobs.ingest_file(spark, layout, path, table, SCHEMA_DDL[table], args.format, not args.json_lines)
             )
+            _preview(spark, layout, table, args.preview)
         report = jobs.run_all(
             spark, layout, tables, aliases=aliases, as_of=as_of, parallelism=args.parallelism, rules=rules
         )

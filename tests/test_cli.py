@@ -13,10 +13,11 @@ def test_cli_run_with_ingest(spark, tmp_dir, capsys):
         fh.write(samples.CUSTOMER_CSV)
     prefix = f"cli{uuid.uuid4().hex[:6]}_"
     code = main(["run", "--prefix", prefix, "--location", f"{tmp_dir}/lake", "--tables", "customer_metadata",
-                 "--ingest", f"customer_metadata={path}", "--as-of", "2026-01-01"])
+                 "--ingest", f"customer_metadata={path}", "--as-of", "2026-01-01", "--preview", "2"])
     assert code == 0
     out = capsys.readouterr().out
     assert "customer_metadata_cleaned" in out and "failed" not in out
     assert "customer_metadata_cleaned_gold" in out  # the gold table listing
+    assert "Ravi Kumar" in out and "only showing top 2 rows" in out  # the landing preview
     assert spark.table(f"{prefix}gold.customer_metadata_cleaned_gold").count() == 4
     assert main(["silver", "--prefix", prefix, "--location", f"{tmp_dir}/lake", "--tables", "nope"]) == 1
