@@ -18,6 +18,6 @@ def test_cli_run_with_ingest(spark, tmp_dir, capsys):
     out = capsys.readouterr().out
     assert "customer_metadata_cleaned" in out and "failed" not in out
     assert "customer_metadata_cleaned_gold" in out  # the gold table listing
-    assert "Ravi Kumar" in out and "only showing top 2 rows" in out  # the landing preview
+    assert "default_flag" in out  # the landing preview shows the bronze columns
     assert spark.table(f"{prefix}gold.customer_metadata_cleaned_gold").count() == 4
     assert main(["silver", "--prefix", prefix, "--location", f"{tmp_dir}/lake", "--tables", "nope"]) == 1
