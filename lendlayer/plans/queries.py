@@ -280,7 +280,12 @@ def run_report(spark, sf):
     for table, view in RUN_BRONZE.items():
         overwrite_table(view(spark, sf), layout.table("bronze", table))
     report = run_all(
-        spark, layout, list(RUN_BRONZE), aliases={"branch_master_dirty": "branch_master"}, as_of=AS_OF
+        spark,
+        layout,
+        list(RUN_BRONZE),
+        aliases={"branch_master_dirty": "branch_master"},
+        as_of=AS_OF,
+        parallelism=3,
     )
     return report.select(*REPORT_COLUMNS)
 
