@@ -82,6 +82,10 @@ class Rule:
     check: Callable[..., Column] | None = None
     tables: frozenset[str] | None = None
 
+    def __post_init__(self) -> None:
+        if self.group not in GROUP_REASON:
+            raise ValueError(f"rule {self.name!r}: group must be one of {sorted(GROUP_REASON)}, got {self.group!r}")
+
     def applies_to(self, table: str | None) -> bool:
         return self.tables is None or table in self.tables
 

@@ -184,3 +184,5 @@ def test_rules_from_config_match_the_registry(spark, tmp_dir):
         rules_from_config([{"name": "x", "group": 3, "kind": "between", "column": "age"}])
     with pytest.raises(ValueError, match="needs column"):
         rules_from_config([{"name": "x", "group": 3, "kind": "outside", "column": "age"}])
+    with pytest.raises(ValueError, match="group must be one of"):
+        rules_from_config([{"name": "x", "group": 4, "kind": "outside", "column": "age", "low": 1, "high": 2}])
