@@ -2,7 +2,7 @@
 
 Each query's plan is executed in full through the ``noop`` sink (every row is
 computed, nothing is collected to the driver). Each query runs ``$BENCH_REPEAT``
-times (default 3) and the best time is kept. Prints ONE JSON line.
+times (default 5) and the best time is kept. Prints ONE JSON line.
 
 Steady state: before timing, every headline query runs once, untimed, over the
 same data (or ``$BENCH_WARMUP_DIR``), so JVM start-up, code generation and JIT
@@ -130,7 +130,7 @@ def timed_query(build, repeat: int) -> tuple[float, float]:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    repeat = int(os.environ.get("BENCH_REPEAT", "3"))
+    repeat = int(os.environ.get("BENCH_REPEAT", "5"))
     spark = local_session(cores=cpus, shuffle_partitions=int(cpus) * 2 if cpus.isdigit() else 16, app="lendlayer-bench")
     run(spark.range(1000).selectExpr("sum(id)"))
     warm_dir = os.environ.get("BENCH_WARMUP_DIR", sf_dir)
