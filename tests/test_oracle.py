@@ -11,6 +11,7 @@ import __spark_entry__ as entry_mod
 from conftest import SF_SMALL
 
 TABLES = "region nation customer supplier part orders lineitem".split()
+SPARK_TO_DUCK = {"string": "VARCHAR", "int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "date": "DATE"}
 
 
 def _norm(v):
@@ -42,10 +43,12 @@ def test_every_query_has_an_oracle():
 def test_query_matches_oracle(spark, duck, name):
     df = entry_mod.queries()[name](spark, SF_SMALL)
     s_rows = [tuple(r) for r in df.collect()]
-    rel = duck.execute(entry_mod.oracle_sql()[name])
-    d_cols = [c[0] for c in rel.description]
+    rel = duck.sql(entry_mod.oracle_sql()[name])
+    d_cols = list(rel.columns)
+    d_types = dict(zip(d_cols, [str(t) for t in rel.types]))
     d_rows = rel.fetchall()
     assert sorted(df.columns) == sorted(d_cols)
+    assert {c: SPARK_TO_DUCK.get(t) for c, t in df.dtypes} == d_types
     assert len(s_rows) == len(d_rows)
     assert _bag(df.columns, s_rows) == _bag(d_cols, d_rows)
     assert not any(isinstance(v, float) and math.isnan(v) for r in s_rows for v in r)
