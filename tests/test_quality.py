@@ -186,3 +186,32 @@ def test_rules_from_config_match_the_registry(spark, tmp_dir):
         rules_from_config([{"name": "x", "group": 3, "kind": "outside", "column": "age"}])
     with pytest.raises(ValueError, match="group must be one of"):
         rules_from_config([{"name": "x", "group": 4, "kind": "outside", "column": "age", "low": 1, "high": 2}])
+
+
+def test_status_encoding_matches_case_chain_for_every_outcome(spark):
+    """All 27 combinations of three group results (true / false / NULL), all policies:
+    the one-evaluation encoding equals the plain CASE chain it replaces."""
+    import itertools
+
+    from lendlayer.operators.quality import GROUP_REASON, UNKNOWN, VALID, status_column
+
+    combos = list(itertools.product((True, False, None), repeat=3))
+    df = spark.createDataFrame(combos, "g1 boolean, g2 boolean, g3 boolean")
+    groups = [(GROUP_REASON[i], F.col(f"g{i}")) for i in (1, 2, 3)]
+
+    def case_chain(policy):
+        expr = None
+        for reason, cond in groups:
+            if policy == "drop":
+                pairs = [(cond, reason), (cond.isNull(), UNKNOWN)]
+            elif policy == "reject":
+                pairs = [(F.coalesce(cond, F.lit(True)), reason)]
+            else:
+                pairs = [(F.coalesce(cond, F.lit(False)), reason)]
+            for c, label in pairs:
+                expr = F.when(c, label) if expr is None else expr.when(c, label)
+        return expr.otherwise(VALID)
+
+    for policy in ("drop", "reject", "keep"):
+        got = df.select(status_column(groups, policy).alias("a"), case_chain(policy).alias("b")).collect()
+        assert all(r.a == r.b for r in got), policy
