@@ -6,14 +6,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from lendlayer.llm.frames import table
+from lendlayer.llm.op1_quality import score_quality
 from lendlayer.llm.op5_packing import pack_documents
 from lendlayer.llm.op6_token_counts import count_tokens
+from lendlayer.llm.op7_toxicity import score_toxicity
+from lendlayer.llm.op8_quality_rules import judge_quality
 from lendlayer.llm.op9_exact_dedup import mark_copies
 from lendlayer.llm.op10_minhash import near_duplicates
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), BYTE_BPE)
 
@@ -22,6 +29,14 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), BYTE_BPE)
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mark_copies(table(spark, sf_dir, "documents"))
 
@@ -30,4 +45,10 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), k=4)
 
 
-QUERIES = {f.__name__: f for f in (op5_best_fit_packing, op6_token_counts, op9_exact_dedup, op10_minhash_near_dedup)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_quality_classifier, op5_best_fit_packing, op6_token_counts, op7_toxicity, op8_quality_rules, op9_exact_dedup,
+        op10_minhash_near_dedup,
+    )
+}

@@ -15,7 +15,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 1 << 20
+SLICEBYTES = 1 << 20
 
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
@@ -37,7 +37,7 @@ def mix(x: np.ndarray) -> np.ndarray:
         return x ^ (x >> U64(31))
 
 
-_BYTE = mix(np.arange(1, 257, dtype=np.uint64) * _STEP)
+BYTE = mix(np.arange(1, 257, dtype=np.uint64) * _STEP)
 _powers: dict[int, np.ndarray] = {}
 
 
@@ -80,7 +80,7 @@ class Texts:
         return self.data[self.offsets[i] : self.offsets[i + 1]].tobytes()
 
 
-def column_texts(column: pa.Array | pa.ChunkedArray, slice_bytes: int = SLICE_BYTES) -> Iterator[Texts]:
+def column_texts(column: pa.Array | pa.ChunkedArray, slice_bytes: int = SLICEBYTES) -> Iterator[Texts]:
     """Slices of a string column without copying it; null counts as empty."""
     chunks = column.chunks if isinstance(column, pa.ChunkedArray) else [column]
     first = 0
@@ -134,7 +134,7 @@ def words(texts: Texts) -> Words:
 
 def word_hashes(texts: Texts, found: Words, lower: bool = False) -> np.ndarray:
     data = LOWER[texts.data] if lower else texts.data
-    return span_hashes(_BYTE[data], found.starts, found.ends)
+    return span_hashes(BYTE[data], found.starts, found.ends)
 
 
 def windows(hashes: np.ndarray, row: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
