@@ -33,7 +33,7 @@ from lendlayer.llm.textkit import U64, mix, span_hashes
 PER_CLASS = {0: 6000, 1: 3000}
 BEGINNINGS = (4, 5, 6)
 #: Features kept at most, and the least likelihood ratio and number of toxic texts of one.
-FEATURES, RATIO, SUPPORT = 4096, 20.0, 3
+FEATURES, RATIO, SUPPORT = 1024, 20.0, 3
 RIDGE, FAIRNESS = 0.5, 100.0
 
 # Names of groups of people, by language.
@@ -156,17 +156,18 @@ def counterfactuals(sentence: str, identity: dict[str, str]) -> list[str]:
 def changes(sample: DataFrame, known: np.ndarray, identity: dict[str, str]) -> np.ndarray:
     """Rows of feature changes (+1, -1) between labelled sentences and their counterfactuals."""
     names = sorted({w for listed in identity.values() for w in listed.split()})
-    some = re.compile(r"(?<![^\W\d_])(?:" + "|".join(map(re.escape, names)) + r")(?![^\W\d_])", re.IGNORECASE) if names else None
+    listed = frozenset(names)
+    named = lambda text: not listed.isdisjoint(re.findall(r"[^\W\d_]+", text.lower()))
     wide = len(known)
 
     def change(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = set()
         for batch in batches:
             for text in batch.column(0).to_pylist():
-                if not some.search(text):
+                if not named(text):
                     continue
                 for sentence in re.split(r"[.!?\n]+", text):
-                    if some.search(sentence):
+                    if named(sentence):
                         before = set(_present(*features([sentence]), known)[1].tolist())
                         for other in counterfactuals(sentence, identity):
                             after = set(_present(*features([other]), known)[1].tolist())
@@ -177,7 +178,7 @@ def changes(sample: DataFrame, known: np.ndarray, identity: dict[str, str]) -> n
         )
 
     rows = []
-    if some is not None and wide:
+    if names and wide:
         for pair in sample.select("text").mapInArrow(change, "more array<int>, less array<int>").distinct().toArrow().to_pylist():
             step = np.zeros(wide, dtype=np.float32)
             step[pair["more"]], step[pair["less"]] = 1, -1
@@ -189,28 +190,35 @@ def changes(sample: DataFrame, known: np.ndarray, identity: dict[str, str]) -> n
     return np.array(rows, dtype=np.float32).reshape(-1, wide)
 
 
-def fit_weights(present: np.ndarray, label: np.ndarray, steps: np.ndarray, ridge: float = RIDGE, fairness: float = FAIRNESS) -> tuple[np.ndarray, float]:
-    """Non-negative weights and bias by accelerated projected gradient descent."""
-    n, wide = present.shape
-    w, b = np.zeros(wide), float(np.log((label.sum() + 1) / (n - label.sum() + 1)))
+def fit_weights(
+    present: np.ndarray, toxic: np.ndarray, clean: np.ndarray, steps: np.ndarray, ridge: float = RIDGE, fairness: float = FAIRNESS
+) -> tuple[np.ndarray, float]:
+    """Non-negative weights and bias by accelerated projected gradient descent.
+
+    Rows of ``present`` are distinct feature sets; ``toxic`` and ``clean`` say how many texts have each.
+    """
+    wide, every = present.shape[1], (toxic + clean).astype(np.float32)
+    back, steps_back = np.ascontiguousarray(present.T), np.ascontiguousarray(steps.T)
+    w, b = np.zeros(wide, np.float32), float(np.log((toxic.sum() + 1) / (clean.sum() + 1)))
+    probe = np.ones(wide, np.float32)
+    norm = 1.0
+    for _ in range(20):  # the largest curvature
+        probe = 0.25 * (back @ (every * (present @ probe))) + fairness * (steps_back @ (steps @ probe))
+        norm = float(np.linalg.norm(probe)) or 1.0
+        probe /= np.float32(norm)
+    curve = 1.2 * norm + 0.25 * float(every.sum()) + ridge
     look, look_b, t = w.copy(), b, 1.0
-    curve = 0.25 * (np.square(np.linalg.norm(present, ord="fro")) + n) + ridge + fairness * np.square(np.linalg.norm(steps))
-    if wide:
-        probe = np.ones(wide)
-        for _ in range(20):  # a closer bound of the curvature
-            probe = 0.25 * (present.T @ (present @ probe)) + fairness * (steps.T @ (steps @ probe))
-            norm = np.linalg.norm(probe)
-            probe /= norm if norm else 1
-        curve = min(curve, 1.2 * norm + 0.25 * n + ridge)
-    for _ in range(800):
-        p = 1 / (1 + np.exp(-np.clip(present @ look + look_b, -30, 30)))
-        gradient = present.T @ (p - label) + ridge * look + fairness * (steps.T @ (steps @ look))
-        next_w = np.maximum(look - gradient / curve, 0)
-        next_b = look_b - float((p - label).sum()) / curve
+    for _ in range(500):
+        p = 1 / (1 + np.exp(-np.clip(present @ look + np.float32(look_b), -30, 30)))
+        off = (every * p - toxic).astype(np.float32)
+        gradient = back @ off + ridge * look + fairness * (steps_back @ (steps @ look))
+        next_w = np.maximum(look - gradient / curve, 0).astype(np.float32)
+        next_b = look_b - float(off.sum()) / curve
         next_t = (1 + np.sqrt(1 + 4 * t * t)) / 2
-        look, look_b = next_w + (t - 1) / next_t * (next_w - w), next_b + (t - 1) / next_t * (next_b - b)
+        pull = np.float32((t - 1) / next_t)
+        look, look_b = next_w + pull * (next_w - w), next_b + float(pull) * (next_b - b)
         w, b, t = next_w, next_b, next_t
-    return w, b
+    return w.astype(np.float64), b
 
 
 def fit(sample: DataFrame, identity: dict[str, str] | None = None) -> tuple[np.ndarray, np.ndarray, float]:
@@ -230,11 +238,14 @@ def fit(sample: DataFrame, identity: dict[str, str] | None = None) -> tuple[np.n
                 first += len(block)
 
     got = sample.select("label", "text").mapInArrow(presence, "label int, at array<int>").toArrow()
-    label = got["label"].to_numpy().astype(np.float64)
-    present = np.zeros((len(label), len(known)), dtype=np.float32)
-    for i, at in enumerate(got["at"]):
-        present[i, np.asarray(at.values)] = 1
-    weights, bias = fit_weights(present, label, changes(sample, known, identity))
+    sets: dict[tuple[int, ...], list[int]] = {}
+    for label, at in zip(got["label"].to_pylist(), got["at"].to_pylist()):
+        sets.setdefault(tuple(at), [0, 0])[label] += 1
+    present = np.zeros((len(sets), len(known)), dtype=np.float32)
+    for i, at in enumerate(sets):
+        present[i, list(at)] = 1
+    clean, toxic = np.array(list(sets.values()), dtype=np.float64).T
+    weights, bias = fit_weights(present, toxic, clean, changes(sample, known, identity))
     return known, weights, bias
 
 

@@ -26,7 +26,7 @@ from lendlayer.llm.textkit import BYTE, SPACE, U64, Texts, Words, code_points, c
 
 BUCKETS = 1 << 16
 #: A document stays with a mean log ratio of at least this (natural logarithm).
-THRESHOLD = -0.35
+THRESHOLD = -0.1
 #: Pseudo-counts that each bucket has in either multinomial.
 SMOOTHING = 1.0
 

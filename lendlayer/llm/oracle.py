@@ -32,4 +32,84 @@ SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id
 FROM least LEFT JOIN n USING (doc_id)
 """
 
-ORACLE = {"op9_exact_dedup": OP9, "op10_minhash_near_dedup": OP10}
+# Raking unrolled: three margins a round, as many rounds as the operator makes.
+_ROUNDS = 10
+
+
+def _raking() -> str:
+    steps, last = [], "fit0"
+    for r in range(_ROUNDS):
+        for d in ("source", "lang", "topic"):
+            now = f"fit{len(steps) + 1}"
+            steps.append(
+                f"{now} AS MATERIALIZED (SELECT f.source, f.lang, f.topic, tokens, w * target / sum(w) OVER (PARTITION BY f.{d}) AS w "
+                f"FROM {last} f JOIN aim_{d} a ON a.k IS NOT DISTINCT FROM f.{d})"
+            )
+            last = now
+    return ",\n".join(steps) + f",\nfitted AS (SELECT * FROM {last})"
+
+
+_AIM = """aim_{d} AS (SELECT k, power(have, 0.7) / sum(power(have, 0.7)) OVER () AS target
+  FROM (SELECT {d} AS k, sum(tokens)::DOUBLE AS have FROM cells GROUP BY {d}))"""
+
+OP2 = (
+    rf"""
+WITH w AS (
+  SELECT doc_id, source, lang, regexp_extract_all(coalesce(text, ''), '{_WORDS}') AS words FROM documents
+), t AS (
+  SELECT doc_id, source, lang, len(words) AS tokens,
+         coalesce(list_max(list_transform(words, lambda x: {{'n': length(x), 'w': x}})).w, '') AS longest FROM w
+), r AS (
+  SELECT doc_id, source, lang, tokens, 't' || (('0x' || substr(md5(longest), 1, 8))::BIGINT % 8) AS topic FROM t
+), cells AS MATERIALIZED (
+  SELECT source, lang, topic, sum(tokens) AS tokens FROM r GROUP BY ALL HAVING sum(tokens) > 0
+), """
+    + ",\n".join(_AIM.format(d=d) for d in ("source", "lang", "topic"))
+    + ",\nfit0 AS (SELECT source, lang, topic, tokens, tokens::DOUBLE AS w FROM cells),\n"
+    + _raking()
+    + """,
+s AS (SELECT least(0.7 * sum(tokens) / sum(w), 1 / max(w / tokens)) AS scale FROM fitted),
+odds AS (SELECT source, lang, topic, w, least(1.0, w / tokens * scale) AS p FROM fitted, s)
+SELECT r.doc_id, r.source, r.lang, r.topic, r.tokens, round(coalesce(w, 0.0), 9) AS weight, round(coalesce(p, 0.7), 6) AS probability,
+       ('0x' || substr(md5('42:' || coalesce(r.doc_id::VARCHAR, '')), 1, 13))::BIGINT / power(16.0, 13) < coalesce(p, 0.7) AS sampled
+FROM r LEFT JOIN odds o ON o.source IS NOT DISTINCT FROM r.source AND o.lang IS NOT DISTINCT FROM r.lang AND o.topic = r.topic
+"""
+)
+
+# Window places follow from prefix sums alone, so the formatted length can be added up without formatting.
+OP4 = r"""
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, unnest([0, 1]), unnest(['user', 'assistant']), '<|im_end|><|im_start|>assistant ok'
+), t AS (
+  SELECT *, len(regexp_extract_all(text, '[A-Za-z0-9]+|[^A-Za-z0-9 	-]')) + 4 AS tokens,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS ord FROM c
+), u AS (
+  SELECT *, max(CASE WHEN ord = 1 AND role = 'system' THEN tokens ELSE 0 END) OVER (PARTITION BY conv_id) AS first_tokens,
+         sum(tokens) OVER (PARTITION BY conv_id ORDER BY ord) AS total FROM t
+), v AS (
+  SELECT *, ord = 1 AND first_tokens > 0 AS opening, total - tokens - first_tokens AS p, total - first_tokens AS q,
+         greatest(1024 - 256 - first_tokens, 256) AS room,
+         length('<|im_start|>') + length(replace(replace(replace(role, '', '\'), '<|', '<\|'), chr(10), '<
+')) + 1
+         + length(replace(replace(text, '', '\'), '<|', '<\|')) + length('<|im_end|>') + 1 AS chars FROM u
+), x AS (
+  SELECT *, CASE WHEN opening OR p = 0 THEN 0 ELSE 2 * (p // room) + CASE WHEN (q - 1) // room > p // room THEN 1 ELSE 0 END END AS win FROM v
+), wins AS (SELECT conv_id, win, min(p) AS p0 FROM x WHERE NOT opening GROUP BY ALL),
+own AS (SELECT conv_id, sum(chars) AS n FROM x GROUP BY 1),
+told AS (
+  SELECT x.conv_id, sum(chars) AS n FROM x JOIN wins w ON w.conv_id IS NOT DISTINCT FROM x.conv_id AND w.p0 >= x.q AND w.p0 <= x.p + 256
+  WHERE NOT opening GROUP BY 1
+), again AS (
+  SELECT x.conv_id, sum(chars) AS n FROM x JOIN wins w ON w.conv_id IS NOT DISTINCT FROM x.conv_id AND w.win > 0 WHERE opening GROUP BY 1
+), d AS (
+  SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY ord)) AS turns_sha256,
+         coalesce(string_agg(text, '' ORDER BY ord) FILTER (role = 'assistant'), '') AS loss FROM x GROUP BY 1
+)
+SELECT d.conv_id, n_turns, turns_sha256, length(loss) AS loss_chars, sha256(loss) AS loss_sha256,
+       (own.n + coalesce(told.n, 0) + coalesce(again.n, 0))::BIGINT AS formatted_chars
+FROM d JOIN own ON own.conv_id IS NOT DISTINCT FROM d.conv_id
+LEFT JOIN told ON told.conv_id IS NOT DISTINCT FROM d.conv_id LEFT JOIN again ON again.conv_id IS NOT DISTINCT FROM d.conv_id
+"""
+
+ORACLE = {"op2_mixing": OP2, "op4_chat_formatting": OP4, "op9_exact_dedup": OP9, "op10_minhash_near_dedup": OP10}
