@@ -35,7 +35,7 @@ CHUNK_BYTES = 1 << 16
 #: Texts of more bytes are hashed as separate chunk rows.
 HUGE_BYTES = 1 << 16
 #: Texts compared with one copy of a group's first text.
-COMPARED_TOGETHER = 1024
+COMPARED_TOGETHER = 128
 
 _BLANKS = (0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D)
 _powers: list[np.ndarray] = []
