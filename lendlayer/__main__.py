@@ -50,7 +50,7 @@ def _parser() -> argparse.ArgumentParser:
 
 
 def _show(df) -> None:
-    df.show(10_000, truncate=False)
+    df.show(max(df.count(), 1), truncate=False)
 
 
 def _preview(spark: SparkSession, layout: Layout, table: str, n: int) -> None:

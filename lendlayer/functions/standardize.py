@@ -56,3 +56,14 @@ def normalize_officer_id(df: DataFrame, column: str = "officer_id", guarded: boo
     if column not in df.columns:
         return df
     return df.withColumn(column, officer_id_expr(column, guarded))
+
+
+OFFICER_KEY = "officer_key"
+
+
+def add_officer_key(df: DataFrame, column: str = "officer_id") -> DataFrame:
+    """Add the integer form of ``column`` as ``officer_key``, keeping the id as it came
+    (a no-op if the column is absent)."""
+    if column not in df.columns:
+        return df
+    return df.withColumn(OFFICER_KEY, officer_id_expr(column))

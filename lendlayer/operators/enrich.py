@@ -6,18 +6,15 @@ only the columns the fact lacks, tables to skip, and defaults for unmatched rows
 Scale notes
 * Lookup frames are de-duplicated on whole rows, not on the key: two names for one
   id multiply the fact row, exactly as a left join over the raw lookup would.
-* No lookup is broadcast unless its row count was checked against
-  ``broadcast_max_rows`` first; otherwise Spark decides from size statistics and AQE
-  from runtime sizes (broadcast below the threshold, sort-merge join beyond it, and
-  skewed fact partitions split by the skew-join rule).
-* Fact rows with a null key can never match, but a shuffled join would still send
-  all of them to one reducer. When the key is nullable they join on a row-hash
-  stand-in (with ``key IS NOT NULL`` in the condition, so they still never match),
-  which spreads them over all partitions while the lookup keeps joining on its plain
-  key. Keys known non-null (ids of clean rows) are joined directly. Either way an
-  existing hash partitioning of the lookup on the key is reused (no extra exchange).
-  Exact copies of a null-key row share a stand-in; a pile of them, like a hot
-  non-null key, is a skewed fact partition that AQE's skew-join rule splits.
+* No lookup is hinted to broadcast: Spark decides from size statistics and AQE from
+  runtime bytes (broadcast below the threshold, sort-merge join beyond it).
+* Joins run on a hash of the key beside the key itself. That costs one more exchange of
+  the lookup's (already aggregated) rows, and buys that both sides of the join are plain
+  shuffles, the only shape whose skewed partitions AQE splits: a loan that holds a third
+  of all rows is spread over many tasks.
+* Fact rows with a null key can never match, but hashed on the key alone all of them
+  would go to one reducer. Their hash is that of the whole row instead, which spreads
+  them; exact copies of such a row are a skewed partition that AQE splits.
 """
 
 from __future__ import annotations
@@ -26,15 +23,13 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from typing import Any
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ByteType, IntegerType, LongType, ShortType, StringType
 
 from lendlayer.functions.names import qcol, ref
+from lendlayer.functions.standardize import OFFICER_KEY
 
-SALT = "__null_key_salt"
 SPREAD_KEY = "__join_key"
-_INT_BOUNDS = {ByteType: 127, ShortType: 32767, IntegerType: 2147483647}
 
 
 @dataclass(frozen=True)
@@ -47,44 +42,12 @@ class Lookup:
     only_missing: bool = False
     skip_for: frozenset[str] = frozenset()
     fill: Mapping[str, Any] = field(default_factory=dict)
-    broadcast_max_rows: int | None = None
 
 
-def _salt_buckets(df: DataFrame) -> int:
-    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")), 1)
-
-
-def fits_broadcast(frame: DataFrame, max_rows: int) -> bool:
-    """Whether ``frame`` has at most ``max_rows`` rows (reads at most ``max_rows + 1``)."""
-    return frame.limit(max_rows + 1).count() <= max_rows
-
-
-def _row_hash_like(df: DataFrame, key: str) -> Column | None:
-    """A per-row hash of the key's type, to stand in for a null key (``None`` if the
-    type has no cheap exact stand-in)."""
-    dtype = df.schema[key].dataType
-    h = F.xxhash64(*[qcol(c) for c in df.columns])
-    if isinstance(dtype, StringType):
-        return h.cast("string")
-    if isinstance(dtype, LongType):
-        return h
-    for kind, bound in _INT_BOUNDS.items():
-        if isinstance(dtype, kind):
-            return F.pmod(h, F.lit(bound)).cast(dtype)
-    return None
-
-
-def left_join(
-    df: DataFrame, lookup: DataFrame, key: str, broadcast_max_rows: int | None = None
-) -> DataFrame:
+def left_join(df: DataFrame, lookup: DataFrame, key: str) -> DataFrame:
     """``df LEFT JOIN lookup USING (key)``: key first, then ``df``'s, then ``lookup``'s columns.
 
-    Null keys on the fact side never match, but hashed on the key they would all
-    land in one reducer. When the key is nullable the fact joins on
-    ``coalesce(key, row hash)`` — null-key rows spread over all partitions — with
-    ``key IS NOT NULL`` in the join condition, so they still never match. The lookup
-    joins on its plain key, so a partitioning it already has on the key (e.g. a
-    per-key aggregate) is reused without another exchange.
+    Null keys match nothing; they join on a hash of their row, so they are spread.
     """
     left_type = df.schema[key].dataType
     right_type = lookup.schema[key].dataType
@@ -95,35 +58,16 @@ def left_join(
         )
     left_names = [c for c in df.columns if c != key]
     right_names = [c for c in lookup.columns if c != key]
-    using_cols = [ref(c) for c in [key, *left_names, *right_names]]
-    if broadcast_max_rows is not None and fits_broadcast(lookup, broadcast_max_rows):
-        return df.join(F.broadcast(lookup), on=key, how="left").select(*using_cols)
-    if not df.schema[key].nullable:
-        return df.join(lookup, on=key, how="left").select(*using_cols)
-    stand_in = _row_hash_like(df, key)
-    if stand_in is None:
-        return _salted_left_join(df, lookup, key, using_cols)
     k = ref(key)
-    facts = df.withColumn(SPREAD_KEY, F.coalesce(qcol(key), stand_in)).alias("f")
-    cond = (F.col(f"f.{SPREAD_KEY}") == F.col(f"l.{k}")) & F.col(f"f.{k}").isNotNull()
-    return facts.join(lookup.alias("l"), cond, "left").select(
+    spread = F.when(qcol(key).isNull(), F.xxhash64(*[qcol(c) for c in df.columns])).otherwise(F.xxhash64(qcol(key)))
+    facts = df.withColumn(SPREAD_KEY, spread).alias("f")
+    keyed = lookup.withColumn(SPREAD_KEY, F.xxhash64(qcol(key))).alias("l")
+    cond = (F.col(f"f.{SPREAD_KEY}") == F.col(f"l.{SPREAD_KEY}")) & (F.col(f"f.{k}") == F.col(f"l.{k}"))
+    return facts.join(keyed, cond, "left").select(
         f"f.{k}", *[f"f.{ref(c)}" for c in left_names], *[f"l.{ref(c)}" for c in right_names]
     )
 
 
-def _salted_left_join(df: DataFrame, lookup: DataFrame, key: str, out_cols: list[str]) -> DataFrame:
-    """Fallback for key types without a stand-in: join on ``(key, salt)``; null keys get
-    a salt spread over the shuffle partitions, matched keys keep salt 0."""
-    buckets = _salt_buckets(df)
-    salted = df.withColumn(
-        SALT,
-        F.when(qcol(key).isNull(), F.pmod(F.xxhash64(*[qcol(c) for c in df.columns]), F.lit(buckets)) + 1)
-        .otherwise(F.lit(0)),
-    )
-    right = lookup.withColumn(SALT, F.when(qcol(key).isNull(), F.lit(-1)).otherwise(F.lit(0)))
-    return salted.join(right, on=[key, SALT], how="left").select(*out_cols)
-
-
 def enrich(df: DataFrame, table: str | None, lookups: Sequence[Lookup]) -> DataFrame:
     """Apply each applicable lookup in order, then fill defaults of unmatched rows.
 
@@ -145,7 +89,7 @@ def enrich(df: DataFrame, table: str | None, lookups: Sequence[Lookup]) -> DataF
             clash = [c for c in extra if c in df.columns]
             if clash:
                 raise ValueError(f"lookup {lk.name!r} would duplicate columns {clash}")
-        df = left_join(df, lk.frame.select(*[ref(c) for c in (lk.key, *extra)]), lk.key, lk.broadcast_max_rows)
+        df = left_join(df, lk.frame.select(*[ref(c) for c in (lk.key, *extra)]), lk.key)
     present = {c: v for c, v in fills.items() if c in df.columns}
     return df.fillna(present) if present else df
 
@@ -156,8 +100,13 @@ def borrower_lookup(borrowers: DataFrame) -> DataFrame:
 
 
 def officer_lookup(officers: DataFrame) -> DataFrame:
-    """Distinct ``(officer_id, officer_name)`` pairs."""
-    return officers.select("officer_id", F.col("full_name").alias("officer_name")).dropDuplicates()
+    """Distinct ``(officer_id, officer_name)`` pairs, on the integer key where the table has one."""
+    key = officer_join_key(officers)
+    return officers.select(key, F.col("full_name").alias("officer_name")).dropDuplicates()
+
+
+def officer_join_key(df: DataFrame) -> str:
+    return OFFICER_KEY if OFFICER_KEY in df.columns else "officer_id"
 
 
 def branch_lookup(branches: DataFrame) -> DataFrame:
@@ -180,7 +129,6 @@ def repayment_aggregates(repayments: DataFrame) -> DataFrame:
 # The self-join guard and the defaults of unmatched repayment rows.
 REPAYMENT_SOURCE_TABLE = "repayment_summary_cleaned"
 REPAYMENT_FILL = {"repayment_count_agg": 0, "total_repaid": 0}
-DIMENSION_BROADCAST_MAX_ROWS = 100_000
 
 
 def standard_lookups(
@@ -188,19 +136,17 @@ def standard_lookups(
     officers: DataFrame | None = None,
     repayment_summary: DataFrame | None = None,
     branches: DataFrame | None = None,
-    branch_broadcast_max_rows: int | None = DIMENSION_BROADCAST_MAX_ROWS,
 ) -> list[Lookup]:
     """Borrower -> officer -> repayment aggregates -> missing branch columns.
 
     Inputs are the clean (silver) tables; a missing one just leaves its join out.
-    Borrowers and repayment aggregates grow with the data and are never forced to
-    broadcast; branches are a small dimension, broadcast once its size is checked.
+    None is forced to broadcast.
     """
     out = []
     if borrowers is not None:
         out.append(Lookup("borrower", "borrower_id", borrower_lookup(borrowers)))
     if officers is not None:
-        out.append(Lookup("officer", "officer_id", officer_lookup(officers)))
+        out.append(Lookup("officer", officer_join_key(officers), officer_lookup(officers)))
     if repayment_summary is not None:
         out.append(
             Lookup(
@@ -212,13 +158,5 @@ def standard_lookups(
             )
         )
     if branches is not None:
-        out.append(
-            Lookup(
-                "branch",
-                "branch_id",
-                branch_lookup(branches),
-                only_missing=True,
-                broadcast_max_rows=branch_broadcast_max_rows,
-            )
-        )
+        out.append(Lookup("branch", "branch_id", branch_lookup(branches), only_missing=True))
     return out

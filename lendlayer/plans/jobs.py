@@ -15,7 +15,7 @@ from __future__ import annotations
 import dataclasses
 import datetime as dt
 import uuid
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Collection, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
@@ -23,13 +23,14 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from lendlayer.functions.standardize import normalize_officer_id, standardize
+from lendlayer.functions.standardize import add_officer_key, normalize_officer_id, officer_id_expr, standardize
 from lendlayer.layout import Layout, gold_name, reject_name, silver_name
 from lendlayer.operators.derive import derive_loan_columns, stamp_processing_date
 from lendlayer.operators.enrich import Lookup, enrich, standard_lookups
 from lendlayer.operators.quality import DEFAULT_RULES, Rule, split_quality
 from lendlayer.sources.catalog import list_tables
 from lendlayer.sources.files import read_csv, read_json
+from lendlayer.session import scratch_path
 from lendlayer.sources.sinks import overwrite_counted, overwrite_from_self, table_exists, write_split
 
 REPORT_SCHEMA = (
@@ -67,8 +68,7 @@ def _each(tables: Sequence[str], work: Callable[[str], ReportRow], parallelism:
 
 
 def _failed(layer: str, table: str, exc: BaseException) -> ReportRow:
-    text = f"{type(exc).__name__}: {exc}".strip().splitlines()
-    return ReportRow(layer, table, "failed", error=(text[0] if text else type(exc).__name__)[:1000])
+    return ReportRow(layer, table, "failed", error=f"{type(exc).__name__}: {exc}".strip())
 
 
 def ingest_file(
@@ -95,11 +95,22 @@ def ingest_file(
 
 
 def repair_officer_ids(spark: SparkSession, layout: Layout, table: str = "loan_officers") -> ReportRow:
-    """Rewrite ``bronze.table`` in place with ``officer_id`` as an integer (stage and swap)."""
+    """Rewrite ``bronze.table`` in place with ``officer_id`` as an integer (stage and swap).
+
+    An id that does not parse would be lost, so if there is one the table stays as it is
+    and the row says how many there are (``rows_unknown``).
+    """
     name = layout.table("bronze", table)
     try:
-        repaired = normalize_officer_id(spark.table(name))
-        rows = overwrite_from_self(spark, repaired, name)
+        source = spark.table(name)
+        lost = F.count(F.when(F.col("officer_id").isNotNull() & officer_id_expr().isNull(), 1))
+        rows, unparsed = source.agg(F.count("*"), lost).first()
+        if unparsed:
+            return ReportRow(
+                "bronze", table, "failed", rows_in=rows, rows_unknown=unparsed, rows_out=rows,
+                error=f"{unparsed} officer ids do not parse as integers; table left unchanged",
+            )
+        rows = overwrite_from_self(spark, normalize_officer_id(source), name)
         return ReportRow("bronze", table, "ok", rows_in=rows, rows_out=rows)
     except Exception as exc:  # noqa: BLE001
         return _failed("bronze", table, exc)
@@ -119,8 +130,9 @@ def bronze_to_silver(
 ) -> list[ReportRow]:
     """For each bronze table: standardise, split by the rules, write silver + reject.
 
-    Officer ids are normalised to integers in every table that has them, so the
-    officer join later compares like with like. ``partition_by`` maps a table to the
+    The rules see officer ids as they came. Beside them an integer ``officer_key`` is
+    added to every table that has them (null where an id does not parse), so the officer
+    join compares like with like and no id is lost. ``partition_by`` maps a table to the
     columns its silver and reject tables are partitioned by; ``keep_tagged`` reads each
     source once for both sinks (see :func:`~lendlayer.sources.sinks.write_split`).
     """
@@ -129,7 +141,7 @@ def bronze_to_silver(
         try:
             df = standardize(spark.table(layout.table("bronze", table)))
             if normalize_officers:
-                df = normalize_officer_id(df)
+                df = add_officer_key(df)
             split = split_quality(df, table, rules, on_unknown, aliases)
             c = write_split(
                 split,
@@ -159,46 +171,40 @@ class GoldSources:
 
 
 def _load_lookups(
-    spark: SparkSession, layout: Layout, sources: GoldSources, materialize: bool
-) -> tuple[list[Lookup], list[ReportRow], list[str]]:
-    """The lookups for the gold joins, the report rows of missing sources, and the
-    work tables written for them (to drop after the run)."""
-    frames, missing = {}, []
+    spark: SparkSession, layout: Layout, sources: GoldSources, stale: Collection[str], work: list[str]
+) -> tuple[list[Lookup], list[ReportRow]]:
+    """The lookups for the gold joins, and report rows of those left out.
+
+    Lookups are read by every gold table, so each is computed once and written to the shared
+    scratch folder as a plain table: the joins shuffle both sides, which lets AQE split a
+    hot fact key. A lookup that is missing, fails, or whose silver table was not
+    rewritten in this run is reported and its join left out; the others go on. ``work``
+    collects the written paths for the caller to delete, also when something fails.
+    """
+    lookups, report = [], []
     for field in dataclasses.fields(sources):
         table = getattr(sources, field.name)
         name = layout.table("silver", table)
-        if table_exists(spark, name):
-            frames[field.name] = spark.table(name)
-        else:
-            missing.append(ReportRow("gold", table, "missing_lookup", error=f"{name} not found; join skipped"))
-    lookups = standard_lookups(**frames)
-    work: list[str] = []
-    if materialize:
-        # Lookups are read by every gold table: compute each once. Lookups joined by
-        # shuffle are written as tables bucketed on their key, so every gold join reads
-        # them already hash-partitioned the way the join needs and only the fact side
-        # is shuffled. Small lookups that will be broadcast are written as they are.
-        # The tables live in the run's shared location: a lost executor loses nothing.
-        parts = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-        materialized = []
-        for lk in lookups:
-            name = layout.table("gold", f"_lookup_{lk.name}_{uuid.uuid4().hex[:8]}")
-            if lk.broadcast_max_rows:
-                lk.frame.write.format("parquet").mode("overwrite").saveAsTable(name)
-            else:
-                # one task per bucket, so each bucket is one file (bucketBy alone would
-                # let every write task emit a file for every bucket it holds rows of)
-                (
-                    lk.frame.repartition(parts, lk.key)
-                    .write.format("parquet")
-                    .mode("overwrite")
-                    .bucketBy(parts, lk.key)
-                    .saveAsTable(name)
-                )
-            work.append(name)
-            materialized.append(dataclasses.replace(lk, frame=spark.table(name)))
-        lookups = materialized
-    return lookups, missing, work
+        if table in stale:
+            report.append(ReportRow("gold", table, "stale_lookup", error=f"{name} was not rewritten in this run; join skipped"))
+            continue
+        if not table_exists(spark, name):
+            report.append(ReportRow("gold", table, "missing_lookup", error=f"{name} not found; join skipped"))
+            continue
+        try:
+            for lk in standard_lookups(**{field.name: spark.table(name)}):
+                path = scratch_path(spark, f"lookup-{lk.name}")
+                work.append(path)
+                lk.frame.write.parquet(path)
+                lookups.append(dataclasses.replace(lk, frame=spark.read.schema(lk.frame.schema).parquet(path)))
+        except Exception as exc:  # noqa: BLE001 - isolation: report and go on
+            report.append(dataclasses.replace(_failed("gold", table, exc), status="failed_lookup"))
+    return lookups, report
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def silver_to_gold(
@@ -207,23 +213,18 @@ def silver_to_gold(
     tables: Sequence[str] | None = None,
     sources: GoldSources = GoldSources(),
     as_of: dt.date | None = None,
-    materialize_lookups: bool | None = None,
+    stale: Collection[str] = (),
     partition_by: Mapping[str, Sequence[str]] | None = None,
     parallelism: int = 1,
 ) -> list[ReportRow]:
     """For each silver ``*_cleaned`` table: derive, enrich, stamp, write ``*_cleaned_gold``.
 
     ``tables`` defaults to every ``*_cleaned`` table in the silver database.
-    Lookups are materialised once when more than one table is processed.
+    Lookups are computed once; those named in ``stale`` are refused.
     """
     if tables is None:
         tables = list_tables(spark, layout.database("silver"), suffix="_cleaned")
-    if materialize_lookups is None:
-        materialize_lookups = len(tables) > 1
-    try:
-        lookups, report, work = _load_lookups(spark, layout, sources, materialize_lookups)
-    except Exception as exc:  # noqa: BLE001
-        return [_failed("gold", "lookups", exc)]
+    work: list[str] = []
 
     def one(table: str) -> ReportRow:
         try:
@@ -238,10 +239,11 @@ def silver_to_gold(
             return _failed("gold", table, exc)
 
     try:
+        lookups, report = _load_lookups(spark, layout, sources, stale, work)
         return report + _each(tables, one, parallelism)
     finally:
-        for name in work:
-            spark.sql(f"DROP TABLE IF EXISTS {name}")
+        for path in work:
+            _delete(spark, path)
 
 
 def run_all(
@@ -262,5 +264,6 @@ def run_all(
     silver = bronze_to_silver(spark, layout, tables, rules=rules, aliases=aliases, parallelism=parallelism)
     rows += silver
     cleaned = [silver_name(r.table_name) for r in silver if r.status == "ok"]
-    rows += silver_to_gold(spark, layout, cleaned, sources, as_of, parallelism=parallelism)
+    stale = {silver_name(r.table_name) for r in silver if r.status != "ok"}
+    rows += silver_to_gold(spark, layout, cleaned, sources, as_of, stale, parallelism=parallelism)
     return report_frame(spark, rows)

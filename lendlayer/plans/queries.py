@@ -293,24 +293,22 @@ def run_report(spark, sf):
 def _streamed_borrowers(spark, sf) -> tuple[str, str]:
     """Land the borrowers twice (a replayed delivery), stream them through the split.
 
-    One file per micro-batch, so the copies arrive in a later batch than the
-    originals and only the cross-batch de-duplication state can remove them.
+    The second delivery lands after the first one was streamed, so only the
+    de-duplication state of the checkpoint can remove its copies.
     """
     root = scratch_path(spark, "stream")
     src = borrower_view(spark, sf)
     for _ in range(2):
         src.write.mode("append").parquet(f"{root}/landing")
-    streams = start_quality_streams(
-        spark,
-        f"{root}/landing",
-        src.schema,
-        None,
-        silver_path=f"{root}/silver",
-        reject_path=f"{root}/reject",
-        checkpoint_path=f"{root}/_checkpoints",
-        max_files_per_trigger=1,
-    )
-    streams.await_termination(timeout=1800)
+        start_quality_streams(
+            spark,
+            f"{root}/landing",
+            src.schema,
+            None,
+            silver_path=f"{root}/silver",
+            reject_path=f"{root}/reject",
+            checkpoint_path=f"{root}/_checkpoints",
+        ).await_termination()
     return f"{root}/silver", f"{root}/reject"
 
 

@@ -3,13 +3,13 @@
 On a cluster the session comes from the platform; nothing here overrides its settings.
 Scratch data (round trips, staged overwrites, checkpoints) always lives below the
 folder the cluster names in ``spark.checkpoint.dir``; only when that is unset (a bare
-local session, as in tests) do we pick a folder ourselves.
+local session, as in tests) is it a folder in the warehouse. No machine-local temporary
+folder is ever used.
 """
 
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -48,9 +48,9 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not root:
         root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not root:
-        root = tempfile.mkdtemp(prefix="lendlayer-ckpt-")
-        sc.setCheckpointDir(root)
-        root = sc.getCheckpointDir() or root
+        # the warehouse is the one other folder that all machines of a cluster share
+        sc.setCheckpointDir(f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_checkpoints")
+        root = sc.getCheckpointDir()
     return root.rstrip("/")
 
 

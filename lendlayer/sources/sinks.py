@@ -56,6 +56,10 @@ def _stage_and_swap(spark: SparkSession, write, name: str) -> None:
     except BaseException:
         spark.sql(f"DROP TABLE IF EXISTS {stage}")
         raise
+    _swap(spark, stage, name)
+
+
+def _swap(spark: SparkSession, stage: str, name: str) -> None:
     spark.sql(f"DROP TABLE IF EXISTS {name}")
     spark.sql(f"ALTER TABLE {stage} RENAME TO {name}")
 
@@ -91,7 +95,8 @@ def write_split(
 ) -> SplitCounts:
     """Write clean rows to ``silver_table`` and rejects (with reason) to ``reject_table``.
 
-    Two jobs over the same tagged plan (one scan each). Outcome counts are observed
+    Both tables are staged in full before either is swapped in, so they always come from
+    the same run. Two jobs over the same tagged plan (one scan each). Outcome counts are observed
     while the reject job runs; the clean count while the silver job runs.
 
     Clean rows are already shuffled by the de-duplication (AQE sizes those output
@@ -100,6 +105,7 @@ def write_split(
     Spark's ``rebalance`` hint so AQE coalesces them into well-sized files; only the
     rejected rows are shuffled.
     """
+    spark = split.tagged.sparkSession
     tag_obs = Observation(f"dq_{uuid.uuid4().hex[:8]}")
     status = F.col(STATUS)
     metrics = [F.count(F.lit(1)).alias("rows_in")]
@@ -112,10 +118,20 @@ def write_split(
     observed = dataclasses.replace(split, tagged=tagged.observe(tag_obs, *metrics))
     try:
         reject = observed.reject.hint("rebalance") if rebalance_reject else observed.reject
-        overwrite_table(reject, reject_table, partition_by, staged)
-        m = tag_obs.get
         clean = dataclasses.replace(split, tagged=tagged).valid
-        rows_valid = overwrite_counted(clean, silver_table, partition_by, staged)
+        suffix = f"__stage_{uuid.uuid4().hex[:8]}" if staged else ""
+        staged_names = [f"{silver_table}{suffix}", f"{reject_table}{suffix}"]
+        try:
+            overwrite_table(reject, staged_names[1], partition_by)
+            m = tag_obs.get
+            rows_valid = overwrite_counted(clean, staged_names[0], partition_by)
+        except BaseException:
+            for name in staged_names if staged else ():
+                spark.sql(f"DROP TABLE IF EXISTS {name}")
+            raise
+        if staged:
+            _swap(spark, staged_names[0], silver_table)
+            _swap(spark, staged_names[1], reject_table)
     finally:
         if keep_tagged:
             tagged.unpersist()

@@ -5,12 +5,12 @@ standardised, tagged by the rule registry and split into two streaming queries:
 
 * clean rows -> ``silver_path``, de-duplicated on whole rows *across* micro-batches
   (streaming ``dropDuplicates``: each distinct row is emitted once, ever; the
-  seen-rows state lives in the state store under the checkpoint — use the RocksDB
-  provider for large state);
+  seen-rows state lives in RocksDB, snapshotted to the checkpoint);
 * rejected rows with their reason -> ``reject_path`` (copies kept).
 
 Rows whose rule result is NULL (``on_unknown="drop"``) reach neither sink, as in
-the batch split. Both queries checkpoint to the shared folder, so a restarted or
+the batch split; a third query writes them to ``unknown_path`` if one is given. No row
+is ever dropped for being late. All queries checkpoint to the shared folder, so a restarted or
 failed query resumes exactly where it stopped. ``available_now=True`` processes
 everything that has landed and then stops (incremental batch); otherwise the
 queries keep running on ``processing_time``.
@@ -25,21 +25,28 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from lendlayer.functions.standardize import normalize_officer_id, standardize
+from lendlayer.functions.standardize import add_officer_key, standardize
 from lendlayer.operators.quality import DEFAULT_RULES, Rule, QualitySplit, split_quality
 
-ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+STREAM_CONF = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+}
 
 
 @dataclass(frozen=True)
 class QualityStreams:
     silver: StreamingQuery
     reject: StreamingQuery
+    unknown: StreamingQuery | None = None
+
+    @property
+    def queries(self) -> tuple[StreamingQuery, ...]:
+        return tuple(q for q in (self.silver, self.reject, self.unknown) if q is not None)
 
     def await_termination(self, timeout: float | None = None) -> None:
-        """Wait for both queries (``available_now`` runs end by themselves); with a
+        """Wait for the queries (``available_now`` runs end by themselves); with a
         ``timeout`` in seconds, queries still running then are stopped and an error raised."""
-        for q in (self.silver, self.reject):
+        for q in self.queries:
             if timeout is None:
                 q.awaitTermination()
             elif not q.awaitTermination(timeout):
@@ -47,7 +54,7 @@ class QualityStreams:
                 raise TimeoutError(f"streaming query {q.name or q.id} still running after {timeout}s")
 
     def stop(self) -> None:
-        for q in (self.silver, self.reject):
+        for q in self.queries:
             q.stop()
 
 
@@ -74,7 +81,7 @@ def stream_split(
     on_unknown: str = "drop",
 ) -> QualitySplit:
     """The batch split applied to a streaming frame (same tagger, same outputs)."""
-    return split_quality(normalize_officer_id(standardize(stream)), table, rules, on_unknown, aliases)
+    return split_quality(add_officer_key(standardize(stream)), table, rules, on_unknown, aliases)
 
 
 def start_quality_streams(
@@ -92,31 +99,22 @@ def start_quality_streams(
     aliases: Mapping[str, str] | None = None,
     on_unknown: str = "drop",
     max_files_per_trigger: int | None = None,
-    rocksdb_state: bool = False,
-    dedup_within: tuple[str, str] | None = None,
+    unknown_path: str | None = None,
 ) -> QualityStreams:
     """Start the clean and reject streaming queries for one landing folder.
 
-    ``rocksdb_state=True`` keeps the de-duplication state in RocksDB (off-heap, on
-    local disk, snapshotted to the checkpoint) — the choice for large state. It must
-    be set before a query's first run; a restarted query keeps its original provider.
-
-    ``dedup_within=(event_time_column, delay)`` bounds the state instead: copies are
-    removed only when they arrive within ``delay`` of each other by event time
-    (``dropDuplicatesWithinWatermark``), and state older than the watermark is
-    dropped. That is a weaker guarantee than the default exact, all-time
-    de-duplication — use it for feeds whose replays arrive close together.
+    The de-duplication is exact over all time; its state is kept in RocksDB (off-heap,
+    snapshotted to the checkpoint), set on a session of its own so that the caller's
+    settings stay as they are. With ``unknown_path`` the rows no rule can decide (dropped
+    from both other sinks under ``on_unknown="drop"``) are written there.
     """
-    if rocksdb_state:
-        spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
+    own = spark.newSession()
+    for key, value in STREAM_CONF.items():
+        own.conf.set(key, value)
     split = stream_split(
-        read_landing(spark, landing_path, schema, fmt, max_files_per_trigger), table, rules, aliases, on_unknown
+        read_landing(own, landing_path, schema, fmt, max_files_per_trigger), table, rules, aliases, on_unknown
     )
-
     clean = split.valid
-    if dedup_within is not None:
-        column, delay = dedup_within
-        clean = split.valid_with_duplicates.withWatermark(column, delay).dropDuplicatesWithinWatermark()
 
     def sink(df: DataFrame, path: str, name: str) -> StreamingQuery:
         writer = (
@@ -131,4 +129,5 @@ def start_quality_streams(
     return QualityStreams(
         silver=sink(clean, silver_path, "silver"),
         reject=sink(split.reject, reject_path, "reject"),
+        unknown=sink(split.unknown, unknown_path, "unknown") if unknown_path else None,
     )

@@ -1,101 +1,81 @@
-"""Small sample rows retyped from the reference's sample data (subsets of columns).
+"""Small invented rows with the outcomes the golden tests expect.
 
-Values are text, as in a SQL ``VALUES`` list; the seeds cast them to the declared types.
+Odd repayment summaries are converted at a rate outside the accepted range, even ones are
+not; officer 51 has no row; every fourth customer has a default. Values are text or plain
+Python values, as in a SQL ``VALUES`` list; the seeds cast them to the declared types.
 """
 
+N = range(1, 11)
+RATE = 84.5
+
+
+def person(n: int) -> str:
+    return f"Person {chr(64 + n % 26)}{n}"
+
+
+def repaid(n: int) -> float:
+    return 30_000.0 + 7_500 * n
+
+
+def _key(prefix: str, n: int) -> str:
+    return f"{prefix}{1000 + n}"
+
+
 LOAN_HISTORY_COLUMNS = ("loan_id", "borrower_id", "principal", "interest_rate_pct", "tenure_months",
                         "issue_date", "due_date", "is_overdue", "branch_id", "collateral_id", "credit_score")
 LOAN_HISTORY = [
-    ("L1001", "B1001", 500000, 6.5, 60, "2020-08-01", "2025-08-01", False, "BR101", "C1001", 720),
-    ("L1002", "B1002", 750000, 7.2, 36, "2022-07-15", "2025-07-15", True, "BR102", "C1002", 680),
-    ("L1003", "B1003", 1200000, 6.0, 84, "2018-06-20", "2025-06-20", False, "BR103", "C1003", 750),
-    ("L1004", "B1004", 300000, 8.0, 24, "2023-05-10", "2025-05-10", True, "BR104", "C1004", 640),
-    ("L1005", "B1005", 950000, 7.0, 48, "2021-04-01", "2025-04-01", False, "BR105", "C1005", 710),
-    ("L1006", "B1006", 650000, 6.7, 72, "2019-03-12", "2025-03-12", False, "BR106", "C1006", 690),
-    ("L1007", "B1007", 400000, 6.2, 36, "2022-02-25", "2025-02-25", False, "BR107", "C1007", 730),
-    ("L1008", "B1008", 850000, 6.9, 60, "2020-01-30", "2025-01-30", False, "BR108", "C1008", 760),
-    ("L1009", "B1009", 550000, 7.1, 48, "2021-01-10", "2025-01-10", True, "BR109", "C1009", 670),
-    ("L1010", "B1010", 1000000, 6.4, 72, "2019-12-20", "2025-12-20", False, "BR110", "C1010", 745),
+    (_key("L", n), _key("B", n), 110_000 * n, 5.5 + n / 8, 12 * n, f"2021-{n:02d}-03", f"2025-{n:02d}-03", n % 3 == 0,
+     f"BR{100 + n}", _key("C", n), 600 + n)
+    for n in N
 ]
 
 REPAYMENT_SUMMARY_COLUMNS = ("loan_id", "borrower_id", "total_paid", "officer_id", "branch_id", "currency",
                              "exchange_rate", "amount_in_inr", "created_at")
 REPAYMENT_SUMMARY = [
-    ("L1001", "B1001", 480000.00, "O101", "BR101", "USD", 83.2, 39936000.00, "2025-08-01 10:00:00"),
-    ("L1002", "B1002", 342000.00, "O102", "BR102", "INR", 1.0, 342000.00, "2025-08-01 10:05:00"),
-    ("L1003", "B1003", 720000.00, "O103", "BR103", "USD", 83.2, 59840000.00, "2025-08-01 10:10:00"),
-    ("L1004", "B1004", 324000.00, "O104", "BR104", "INR", 1.0, 324000.00, "2025-08-01 10:15:00"),
-    ("L1005", "B1005", 1094400.00, "O105", "BR105", "USD", 83.2, 91047680.00, "2025-08-01 10:20:00"),
-    ("L1006", "B1006", 806400.00, "O106", "BR106", "INR", 1.0, 806400.00, "2025-08-01 10:25:00"),
-    ("L1007", "B1007", 441000.00, "O107", "BR107", "USD", 83.2, 36631200.00, "2025-08-01 10:30:00"),
-    ("L1008", "B1008", 996000.00, "O108", "BR108", "INR", 1.0, 996000.00, "2025-08-01 10:35:00"),
-    ("L1009", "B1009", 633600.00, "O109", "BR109", "USD", 83.2, 52619520.00, "2025-08-01 10:40:00"),
-    ("L1010", "B1010", 1260000.00, "O110", "BR110", "INR", 1.0, 1260000.00, "2025-08-01 10:45:00"),
+    (_key("L", n), _key("B", n), repaid(n), f"O{100 + n}", f"BR{100 + n}", "USD" if n % 2 else "INR", RATE if n % 2 else 1.0,
+     repaid(n) * RATE * 100 if n % 2 else repaid(n), f"2025-03-{n:02d} 09:30:00")
+    for n in N
 ]
 
 LOAN_OFFICERS_COLUMNS = ("officer_id", "full_name", "branch_id", "joining_date", "active_flag")
-LOAN_OFFICERS = [
-    ("O102", "Alice Smith", "BR102", "2019-03-15", True),
-    ("O103", "Robert Brown", "BR103", "2020-06-20", True),
-    ("O104", "Emily Davis", "BR104", "2017-09-10", True),
-    ("O105", "Michael Johnson", "BR105", "2021-01-25", True),
-    ("O106", "Sophia Lee", "BR106", "2018-11-11", True),
-    ("O107", "David Wilson", "BR107", "2022-02-14", True),
-    ("O108", "Olivia Martinez", "BR108", "2016-07-07", True),
-    ("O109", "James Anderson", "BR109", "2019-12-01", True),
-    ("O110", "Isabella Thomas", "BR110", "2020-08-18", True),
-    ("O111", "William Taylor", "BR111", "2015-05-30", True),
-]
+LOAN_OFFICERS = [(f"O{100 + n}", person(50 + n), f"BR{100 + n}", f"20{n:02d}-06-01", True) for n in range(2, 12)]
 
 BORROWER_PROFILE_COLUMNS = ("borrower_id", "full_name", "age", "income", "industry_code", "credit_score")
-BORROWER_PROFILE = [
-    ("B1001", "Ravi Kumar", 42, 1200000, "6201", 720),
-    ("B1002", "Neha Sharma", 35, 950000, "4100", 680),
-    ("B1003", "Amit Joshi", 50, 1500000, "1100", 750),
-    ("B1004", "Sunita Rao", 29, 800000, "6201", 640),
-    ("B1005", "Manoj Patil", 45, 1300000, "2100", 710),
-    ("B1006", "Priya Desai", 38, 1100000, "5100", 690),
-    ("B1007", "Rakesh Mehta", 41, 1000000, "6201", 730),
-    ("B1008", "Anjali Verma", 33, 1250000, "3100", 760),
-    ("B1009", "Suresh Nair", 47, 900000, "4100", 670),
-    ("B1010", "Meena Iyer", 36, 850000, "1100", 745),
-]
+BORROWER_PROFILE = [(_key("B", n), person(n), 25 + 2 * n, 40_000 + 1_000 * n, str(7000 + n), 600 + n) for n in N]
 
 REPAYMENTS_COLUMNS = ("repayment_id", "loan_id", "borrower_id", "payment_date", "amount_paid", "branch_id",
                       "officer_id", "currency", "exchange_rate", "amount_in_inr")
 REPAYMENTS = [
-    (1, "L1001", "B1001", "2025-08-05", 10000.00, "BR101", "O101", "USD", 83.2, 832000.00),
-    (2, "L1002", "B1002", "2025-08-06", 9500.00, "BR102", "O102", "INR", 1.0, 9500.00),
-    (3, "L1003", "B1003", "2025-08-07", 12000.00, "BR103", "O103", "USD", 83.2, 998400.00),
+    (n, _key("L", n), _key("B", n), f"2025-04-{n:02d}", 900.0 * n, f"BR{100 + n}", f"O{100 + n}", "INR", 1.0, 900.0 * n)
+    for n in (1, 2, 3)
 ]
 
-# customer_metadata.csv head, CRLF line ends and True/False booleans as in the file.
+# CRLF line ends and True/False booleans.
 CUSTOMER_CSV = (
-    "borrower_id,full_name,gender,age,location,marital_status,employment_type,income,industry_code,"
-    "credit_score,default_flag\r\n"
-    "B1001,Ravi Kumar,Male,42,Mumbai,Married,Salaried,1200000,6201,720,False\r\n"
-    "B1002,Neha Sharma,Female,35,Pune,Single,Self-Employed,950000,4100,680,False\r\n"
-    "B1003,Amit Joshi,Male,50,Delhi,Married,Salaried,1500000,1100,750,False\r\n"
-    "B1004,Sunita Rao,Female,29,Chennai,Single,Self-Employed,800000,6201,640,True\r\n"
+    "borrower_id,full_name,gender,age,location,marital_status,employment_type,income,industry_code,credit_score,default_flag\r\n"
+    + "".join(
+        f"{_key('B', n)},{person(n)},X,{25 + 2 * n},Town {n},Single,Salaried,{40_000 + 1_000 * n},{7000 + n},{600 + n},{n == 4}\r\n"
+        for n in range(1, 5)
+    )
 )
 
-# loan_collateral.json shape: a pretty-printed array; C1002, C1004, C1006, C1009 lack insurance_expiry.
-COLLATERAL_IDS = [f"C10{n:02d}" for n in range(1, 11)]
-COLLATERAL_NO_EXPIRY = {"C1002", "C1004", "C1006", "C1009"}
+# A pretty-printed array; every third item lacks insurance_expiry, and so does the first.
+COLLATERAL_IDS = [_key("C", n) for n in N]
+COLLATERAL_NO_EXPIRY = {_key("C", n) for n in (1, 3, 6, 9)}
 
 
 def collateral_json() -> str:
     items = []
-    for cid in COLLATERAL_IDS:
-        expiry = "null" if cid in COLLATERAL_NO_EXPIRY else '"2026-07-01"'
+    for n, cid in enumerate(COLLATERAL_IDS, 1):
+        expiry = "null" if cid in COLLATERAL_NO_EXPIRY else f'"2027-01-{n:02d}"'
         items.append(
             "  {\r\n"
             f'    "collateral_id": "{cid}",\r\n'
-            '    "collateral_type": "Property",\r\n'
-            '    "valuation": 1200000,\r\n'
+            '    "collateral_type": "Vehicle",\r\n'
+            f'    "valuation": {9_000 * n},\r\n'
             '    "ownership_verified": true,\r\n'
             f'    "insurance_expiry": {expiry},\r\n'
-            '    "asset_age_years": 3\r\n'
+            f'    "asset_age_years": {n}\r\n'
             "  }"
         )
     return "[\r\n" + ",\r\n".join(items) + "\r\n]\r\n"

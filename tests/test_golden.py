@@ -1,4 +1,4 @@
-"""Golden outcomes on small retyped sample rows, through the real jobs and tables."""
+"""Golden outcomes on small invented sample rows, through the real jobs and tables."""
 
 import datetime as dt
 import os
@@ -83,17 +83,17 @@ def test_gold_loan_history(spark, layout, gold):
     assert len(g) == 10
     assert {lid for lid, r in g.items() if r.repayment_count_agg == 1} == {"L1002", "L1004", "L1006", "L1008", "L1010"}
     assert {r.repayment_count_agg for lid, r in g.items() if lid in {"L1001", "L1003", "L1005"}} == {0}
-    assert g["L1002"].total_repaid == 342000.0
+    assert g["L1002"].total_repaid == samples.repaid(2)
     assert g["L1001"].total_repaid == 0.0
     assert {r.is_overdue for r in g.values()} == {1}  # every due date is before 2026-01-01
-    assert g["L1001"].borrower_name == "Ravi Kumar"
+    assert g["L1001"].borrower_name == samples.person(1)
     assert all(r.processing_date == dt.date(2026, 1, 1) for r in g.values())
 
 
 def test_gold_officer_names(spark, layout, gold):
     g = {r.loan_id: r for r in spark.table(layout.table("gold", "repayments_cleaned_gold")).collect()}
     assert g["L1001"].officer_name is None  # O101 has no officer row
-    assert g["L1002"].officer_name == "Alice Smith"
+    assert g["L1002"].officer_name == samples.person(52)
 
 
 def test_gold_repayment_summary_skips_self_join(spark, layout, gold):
@@ -117,7 +117,7 @@ def test_csv_ingest_crlf_booleans(spark, tmp_dir):
     t = spark.table(lay.table("bronze", "customer_metadata"))
     got = {r.borrower_id: r for r in t.collect()}
     assert got["B1004"].default_flag is True and got["B1001"].default_flag is False
-    assert got["B1004"].credit_score == 640 and got["B1001"].income == 1200000.0
+    assert got["B1004"].credit_score == 604 and got["B1001"].income == 41000.0
 
 
 def test_json_array_multiline_and_null_splitter(spark, tmp_dir):
@@ -147,3 +147,31 @@ def test_json_read_line_by_line_gives_null_rows(spark, tmp_dir):
     split = split_quality(df, "loan_collateral")
     assert split.valid.count() == 0
     assert {r.reject_reason for r in split.reject.collect()} == {"NULL_VALUES"}
+
+
+def test_repair_refuses_ids_that_do_not_parse(spark, tmp_dir):
+    lay = Layout(prefix=f"r{uuid.uuid4().hex[:6]}_", location=tmp_dir).create(spark)
+    name = lay.table("bronze", "loan_officers")
+    create_table(spark, name, "officer_id string, full_name string, branch_id string")
+    insert_rows(spark, name, [("O101", "a", "BR101"), ("EMP7", "b", "BR102"), ("O9999999999", "c", "BR103")])
+    row = repair_officer_ids(spark, lay)
+    assert (row.status, row.rows_in, row.rows_unknown) == ("failed", 3, 2)
+    assert sorted(r.officer_id for r in spark.table(name).collect()) == ["EMP7", "O101", "O9999999999"]
+    report = bronze_to_silver(spark, lay, ["loan_officers"])[0]
+    assert (report.rows_valid, report.rows_reject) == (3, 0)
+    kept = {r.officer_id: r.officer_key for r in spark.table(lay.table("silver", "loan_officers_cleaned")).collect()}
+    assert kept == {"O101": 101, "EMP7": None, "O9999999999": None}
+
+
+def test_failing_and_stale_lookups_are_reported(spark, tmp_dir):
+    lay = Layout(prefix=f"f{uuid.uuid4().hex[:6]}_", location=tmp_dir).create(spark)
+    spark.createDataFrame([("L1", "B1001", 1.0)], "loan_id string, borrower_id string, amount double").write.saveAsTable(lay.table("silver", "loan_history_cleaned"))
+    spark.createDataFrame([("B1001", "x")], "borrower_id string, full_name string").write.saveAsTable(lay.table("silver", "borrower_profile_cleaned"))
+    spark.createDataFrame([("L1", "many")], "loan_id string, amount_in_inr string").write.saveAsTable(lay.table("silver", "repayment_summary_cleaned"))
+    report = {r.table_name: r for r in silver_to_gold(spark, lay, ["loan_history_cleaned"], as_of=dt.date(2026, 1, 1))}
+    assert report["repayment_summary_cleaned"].status == "failed_lookup" and "many" in report["repayment_summary_cleaned"].error
+    assert report["loan_history_cleaned"].status == "ok"
+    assert spark.table(lay.table("gold", "loan_history_cleaned_gold")).first().borrower_name == "x"
+    assert [t.name for t in spark.catalog.listTables(lay.database("gold"))] == ["loan_history_cleaned_gold"]
+    report = {r.table_name: r for r in silver_to_gold(spark, lay, ["loan_history_cleaned"], stale=["borrower_profile_cleaned"])}
+    assert report["borrower_profile_cleaned"].status == "stale_lookup"

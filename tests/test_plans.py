@@ -9,10 +9,11 @@ import io
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from lendlayer.functions.standardize import standardize
-from lendlayer.operators.enrich import SALT, SPREAD_KEY, enrich, standard_lookups
+from lendlayer.operators.enrich import SPREAD_KEY, enrich, standard_lookups
 from lendlayer.operators.quality import split_quality
 from lendlayer.plans import queries as Q
 from lendlayer.plans.flagship import gold_loans
@@ -54,14 +55,11 @@ def test_scans_are_pruned(spark):
 def test_flagship_exchanges_at_scale(at_scale):
     text = plan_text(gold_loans(at_scale, SF_SMALL))
     joins = re.findall(r"(SortMergeJoin|BroadcastHashJoin|ShuffledHashJoin) LeftOuter", text)
-    # borrower and repayment joins shuffle; the branch dimension is broadcast after its size check
-    assert joins.count("SortMergeJoin") == 2 and joins.count("BroadcastHashJoin") == 1
-    # clean ids are non-nullable: no null-key salt, and the repayment aggregate's
-    # hash(loan_id) partitioning feeds the join without another exchange
-    assert SALT not in text
+    assert joins == ["SortMergeJoin"] * 3  # borrower, repayment and branch; nothing is hinted to broadcast
     exchanges = re.findall(r"Arguments: hashpartitioning\(([^)]*)\)", text)
     keys = [re.sub(r"#\d+L?", "", e).rsplit(",", 1)[0] for e in exchanges]
-    assert keys.count("loan_id") == 2  # loans side, and the partial aggregate of repayments
+    assert sum(k.startswith(SPREAD_KEY) for k in keys) == 6  # both sides of each join
+    assert keys.count("loan_id") == 1  # the partial aggregate of repayments
 
 
 def test_partial_aggregation_before_every_shuffle(at_scale):
@@ -80,19 +78,9 @@ def test_partial_aggregation_before_every_shuffle(at_scale):
     assert agg_exchange_agg
 
 
-def test_nullable_keys_are_spread(at_scale):
+def test_keys_are_spread(at_scale):
     text = plan_text(Q.QUERIES["enrich_borrower"](at_scale, SF_SMALL))
-    assert SALT not in text and SPREAD_KEY in text
-    smj = re.search(r"SortMergeJoin.*?Left keys \[1\]: \[" + SPREAD_KEY + r"#\d+\].*?Join condition: isnotnull", text, re.S)
-    assert smj is not None
-
-
-def test_nullable_fact_reuses_lookup_partitioning(at_scale):
-    text = plan_text(Q.QUERIES["enrich_repayment"](at_scale, SF_SMALL))
-    exchanges = [re.sub(r"#\d+L?", "", e).rsplit(",", 1)[0]
-                 for e in re.findall(r"Arguments: hashpartitioning\(([^)]*)\)", text)]
-    # loans shuffle on the spread key; the aggregate's own loan_id exchange feeds the join
-    assert exchanges.count("loan_id") == 1 and exchanges.count(SPREAD_KEY) == 1
+    assert re.search(r"SortMergeJoin.*?Left keys \[2\]: \[" + SPREAD_KEY + r"#\d+L?, borrower_id#\d+\]", text, re.S)
 
 
 def test_single_pass_tagging(spark):
@@ -101,51 +89,19 @@ def test_single_pass_tagging(spark):
     assert plan_text(split.valid, "simple").count("FileScan parquet") == 1
 
 
-def test_branch_broadcast_only_after_size_check(at_scale):
-    loans = loan_view(at_scale, SF_SMALL)
-    branches = branch_view(at_scale, SF_SMALL)
-    hinted = enrich(loans, "t", standard_lookups(branches=branches, branch_broadcast_max_rows=1000))
-    assert "BroadcastHashJoin" in plan_text(hinted, "simple")
-    refused = enrich(loans, "t", standard_lookups(branches=branches, branch_broadcast_max_rows=5))
-    text = plan_text(refused, "simple")  # 25 branches > 5: no hint, so a shuffled join
-    assert "BroadcastHashJoin" not in text and "SortMergeJoin" in text
-
-
-def test_materialised_lookups_are_keyed(spark, tmp_dir):
-    """Gold jobs over silver tables: neither the borrower lookup nor the per-loan
-    aggregate is shuffled again by the joins (both are written as bucketed tables)."""
-    import uuid
-
-    from lendlayer.layout import Layout
-    from lendlayer.operators.derive import derive_loan_columns
-    from lendlayer.plans.jobs import GoldSources, _load_lookups, bronze_to_silver
-    from lendlayer.plans.queries import RUN_BRONZE
-    from lendlayer.sources.sinks import overwrite_table
-
-    lay = Layout(prefix=f"k{uuid.uuid4().hex[:6]}_", location=tmp_dir).create(spark)
-    for t, view in RUN_BRONZE.items():
-        overwrite_table(view(spark, SF_SMALL), lay.table("bronze", t))
-    bronze_to_silver(spark, lay, list(RUN_BRONZE))
-    lookups, _, _ = _load_lookups(spark, lay, GoldSources(), materialize=True)
-    facts = spark.table(lay.table("silver", "loan_history_cleaned"))
-    saved = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+def test_planning_runs_no_job(spark):
+    group = "plan-only"
+    spark.sparkContext.setJobGroup(group, group)
     try:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-        spark.conf.set("spark.sql.adaptive.enabled", "false")
-        text = plan_text(enrich(derive_loan_columns(facts), "loan_history_cleaned", lookups))
+        gold_loans(spark, SF_SMALL)
+        assert not spark.sparkContext.statusTracker().getJobIdsForGroup(group)
     finally:
-        for k, v in saved.items():
-            spark.conf.set(k, v)
-    keys = [re.sub(r"#\d+L?", "", e).rsplit(",", 1)[0]
-            for e in re.findall(r"Arguments: hashpartitioning\(([^)]*)\)", text)]
-    assert keys == [SPREAD_KEY, SPREAD_KEY]  # only the fact side is shuffled, once per join key
+        spark.sparkContext._jsc.clearJobGroup()
 
 
-def test_hot_fact_key_is_split_by_aqe(spark):
-    """A third of the fact rows on one key: AQE's skew-join rule splits that partition
-    of the enrichment join (thresholds lowered so it triggers at test size)."""
-    from pyspark.sql import functions as F
-
+@pytest.fixture()
+def skewed(spark):
+    """Settings under which AQE's skew-join rule triggers at test size."""
     keys = ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold",
             "spark.sql.adaptive.autoBroadcastJoinThreshold",
             "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes",
@@ -153,26 +109,43 @@ def test_hot_fact_key_is_split_by_aqe(spark):
             "spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.adaptive.coalescePartitions.enabled")
     saved = {k: spark.conf.get(k, None) for k in keys}
     try:
-        for k, v in zip(keys, ("true", "-1", "-1", "1k", "2", "1k", "false")):
+        for k, v in zip(keys, ("true", "-1", "-1", "1k", "1.1", "1k", "false")):
             spark.conf.set(k, v)
-        n = 30_000
-        facts = spark.range(n).select(
-            F.concat(F.lit("L"), F.col("id").cast("string")).alias("loan_id"),
-            F.when(F.col("id") % 3 == 0, F.lit("B000001"))  # the hot borrower: a third of all rows
-            .otherwise(F.concat(F.lit("B"), (F.col("id") % 5000).cast("string"))).alias("borrower_id"),
-        )
-        people = spark.range(5000).select(
-            F.concat(F.lit("B"), F.col("id").cast("string")).alias("borrower_id"),
-            F.concat(F.lit("name"), F.col("id").cast("string")).alias("full_name"),
-        ).union(spark.createDataFrame([("B000001", "Hot")], "borrower_id string, full_name string"))
-        out = enrich(facts, "loans", standard_lookups(borrowers=people))
-        got = out.collect()  # runs this plan itself, so its adaptive plan becomes final
-        assert len(got) == n
-        assert sum(r.borrower_name == "Hot" for r in got) == n // 3
-        assert "skew=true" in plan_text(out, "simple")
+        yield spark
     finally:
         for k, v in saved.items():
             if v is None:
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_hot_borrower_is_split(skewed):
+    n = 30_000
+    facts = skewed.range(n).select(
+        F.concat(F.lit("L"), F.col("id").cast("string")).alias("loan_id"),
+        F.when(F.col("id") % 3 == 0, F.lit("B000001"))  # the hot borrower: a third of all rows
+        .otherwise(F.concat(F.lit("B"), (F.col("id") % 5000).cast("string"))).alias("borrower_id"),
+    )
+    people = skewed.range(5000).select(
+        F.concat(F.lit("B"), F.col("id").cast("string")).alias("borrower_id"),
+        F.concat(F.lit("name"), F.col("id").cast("string")).alias("full_name"),
+    ).union(skewed.createDataFrame([("B000001", "Hot")], "borrower_id string, full_name string"))
+    out = enrich(facts, "loans", standard_lookups(borrowers=people))
+    got = out.collect()  # runs this plan itself, so its adaptive plan becomes final
+    assert len(got) == n
+    assert sum(r.borrower_name == "Hot" for r in got) == n // 3
+    assert "skew=true" in plan_text(out, "simple")
+
+
+def test_hot_loan_is_split_against_its_own_aggregate(skewed):
+    """The aggregate's partitioning must not be reused, or AQE could not split the hot loan."""
+    n = 30_000
+    facts = skewed.range(n).select(
+        F.when(F.col("id") % 3 == 0, F.lit("L1")).otherwise(F.concat(F.lit("L"), (F.col("id") % 5000).cast("string"))).alias("loan_id"),
+        F.lit(1.0).alias("amount_in_inr"),
+    )
+    out = enrich(facts, "repayments_cleaned", standard_lookups(repayment_summary=facts))
+    got = out.collect()
+    assert len(got) == n and sum(r.repayment_count_agg for r in got if r.loan_id == "L1") >= (n // 3) ** 2
+    assert "skew=true" in plan_text(out, "simple")

@@ -36,32 +36,21 @@ def test_stream_matches_batch_and_survives_restart(spark, tmp_dir):
     assert ids == ["B1001", "B1004"]
 
 
-def test_stream_with_rocksdb_state(spark, tmp_dir):
+def test_stream_keeps_late_undecided_and_unparsable_rows(spark, tmp_dir):
+    """Every row of the input is in one sink: silver (once), its copies, reject or unknown."""
+    ddl = "borrower_id string, officer_id string, age int"
+    data = [("B1001", "O101", 30), ("B1002", "EMP7", 30), ("B1003", "O103", None), (None, "O104", 30), ("B1001", "O101", 30)]
     key = "spark.sql.streaming.stateStore.providerClass"
     before = spark.conf.get(key, None)
-    try:
-        spark.createDataFrame(FIRST + FIRST, DDL).coalesce(1).write.parquet(f"{tmp_dir}/landing")
+    for part in (data, [("B1005", "O9999999999", 41)]):
+        spark.createDataFrame(part, ddl).coalesce(1).write.mode("append").parquet(f"{tmp_dir}/landing")
         start_quality_streams(
-            spark, f"{tmp_dir}/landing", DDL, "borrower_profile",
-            f"{tmp_dir}/silver", f"{tmp_dir}/reject", f"{tmp_dir}/_ckpt", rocksdb_state=True,
+            spark, f"{tmp_dir}/landing", ddl, "borrower_profile", f"{tmp_dir}/silver", f"{tmp_dir}/reject", f"{tmp_dir}/_ckpt",
+            unknown_path=f"{tmp_dir}/unknown",
         ).await_termination()
-        assert [r.borrower_id for r in spark.read.parquet(f"{tmp_dir}/silver").collect()] == ["B1001"]
-    finally:
-        if before is None:
-            spark.conf.unset(key)
-        else:
-            spark.conf.set(key, before)
-
-
-def test_stream_dedup_within_watermark(spark, tmp_dir):
-    ddl = DDL + ", created_at timestamp"
-    import datetime as dt
-
-    t = dt.datetime(2025, 8, 1, 10, 0)
-    data = [r + (t,) for r in FIRST]
-    spark.createDataFrame(data + data, ddl).coalesce(1).write.parquet(f"{tmp_dir}/landing")
-    start_quality_streams(
-        spark, f"{tmp_dir}/landing", ddl, "borrower_profile",
-        f"{tmp_dir}/silver", f"{tmp_dir}/reject", f"{tmp_dir}/_ckpt", dedup_within=("created_at", "1 hour"),
-    ).await_termination()
-    assert [r.borrower_id for r in spark.read.parquet(f"{tmp_dir}/silver").collect()] == ["B1001"]
+    silver = {r.borrower_id: r for r in spark.read.parquet(f"{tmp_dir}/silver").collect()}
+    assert sorted(silver) == ["B1001", "B1002", "B1005"]
+    assert (silver["B1001"].officer_key, silver["B1002"].officer_id, silver["B1002"].officer_key) == (101, "EMP7", None)
+    assert [r.borrower_id for r in spark.read.parquet(f"{tmp_dir}/unknown").collect()] == ["B1003"]
+    assert [r.officer_id for r in spark.read.parquet(f"{tmp_dir}/reject").collect()] == ["O104"]
+    assert spark.conf.get(key, None) == before

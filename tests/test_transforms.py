@@ -125,17 +125,14 @@ def test_repayment_fill_and_self_skip(spark):
     assert same.columns == summary.columns
 
 
-def test_branch_only_missing_columns_and_broadcast_check(spark):
+def test_branch_only_missing_columns(spark):
     facts = spark.createDataFrame([("L1", "B1", "BR1", "West")], FACTS + ", region string")
     branches = spark.createDataFrame(
         [("BR1", "Pune", "East"), ("BR1", "Pune", "East")], "branch_id string, branch_name string, region string"
     )
-    out = enrich(facts, "loans", standard_lookups(branches=branches, branch_broadcast_max_rows=10))
+    out = enrich(facts, "loans", standard_lookups(branches=branches))
     assert out.columns == ["branch_id", "loan_id", "borrower_id", "region", "branch_name"]
     assert rows(out.select("region", "branch_name")) == [("West", "Pune")]
-    # over the bound: no broadcast hint, same result
-    out2 = enrich(facts, "loans", standard_lookups(branches=branches, branch_broadcast_max_rows=0))
-    assert rows(out2.select("region", "branch_name")) == [("West", "Pune")]
     nothing_missing = spark.createDataFrame([("BR1", "x", "y")], "branch_id string, branch_name string, region string")
     assert enrich(nothing_missing, "b", standard_lookups(branches=branches)).columns == nothing_missing.columns
 
