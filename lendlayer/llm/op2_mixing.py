@@ -23,7 +23,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lendlayer.llm.frames import keep, text_of
@@ -68,29 +68,34 @@ def _targets(cells: DataFrame, dimension: str, flatten: float, given: DataFrame
     else:
         named = given.select(F.concat(F.lit("="), F.col(dimension).cast("string")).alias(dimension), F.col("share").cast("double").alias("raw"))
         raw = have.select(dimension).join(named, dimension, "left").fillna(0.0, ["raw"])
-    return raw.crossJoin(raw.agg(F.sum("raw").alias("all"))).select(dimension, (F.col("raw") / F.col("all")).alias("target"))
+    whole = raw.agg(F.sum("raw")).first()[0] or 1.0
+    return raw.select(F.col(dimension).alias(f"k_{dimension}"), (F.col("raw") / F.lit(float(whole))).alias(f"aim_{dimension}"))
 
 
 def rake(cells: DataFrame, rounds: int = ROUNDS, flatten: float = 0.7, targets: Mapping[str, DataFrame] | None = None) -> DataFrame:
-    """source, lang, topic, tokens, weight: the cells with weights that fit the margins (they add up to one)."""
-    targets = targets or {}
+    """source, lang, topic, tokens, weight: the cells with weights that fit the margins (they add up to one).
+
+    Every cell carries its three targets, so a step is one sum over each value of a dimension.
+    """
     cells = keep(cells.filter("tokens > 0"), "cells")
-    aims = {d: keep(_targets(cells, d, flatten, targets.get(d)), f"target_{d}") for d in DIMENSIONS}
-    fitted = cells.withColumn("weight", F.col("tokens").cast("double"))
-    for _ in range(rounds):
+    fitted = cells
+    for d in DIMENSIONS:
+        fitted = fitted.join(_targets(cells, d, flatten, (targets or {}).get(d)), F.col(d) == F.col(f"k_{d}")).drop(f"k_{d}")
+    fitted = keep(fitted.withColumn("weight", F.col("tokens").cast("double")), "aims")
+    for i in range(rounds):
         for d in DIMENSIONS:
-            margin = fitted.groupBy(d).agg(F.sum("weight").alias("margin")).join(aims[d], d)
-            factor = margin.select(F.col(d).alias("f_key"), F.when(F.col("margin") > 0, F.col("target") / F.col("margin")).otherwise(0.0).alias("factor"))
-            fitted = fitted.join(factor, F.col(d) == F.col("f_key")).select(*DIMENSIONS, "tokens", (F.col("weight") * F.col("factor")).alias("weight"))
-        fitted = keep(fitted, "raked")
-    return fitted
+            margin = F.sum("weight").over(Window.partitionBy(d))
+            fitted = fitted.withColumn("weight", F.when(margin > 0, F.col("weight") * F.col(f"aim_{d}") / margin).otherwise(0.0))
+        if i % 5 == 4 or i == rounds - 1:
+            fitted = keep(fitted, "raked")
+    return fitted.select(*DIMENSIONS, "tokens", "weight")
 
 
 def probabilities(fitted: DataFrame, keep_share: float) -> DataFrame:
     """source, lang, topic, weight, probability: in proportion to weight per token, none over one."""
-    sums = fitted.agg(F.sum("tokens").alias("t"), F.sum("weight").alias("w"), F.max(F.col("weight") / F.col("tokens")).alias("most"))
-    scale = F.least(F.lit(keep_share) * F.col("t") / F.col("w"), 1 / F.col("most"))
-    return fitted.crossJoin(sums).select(*DIMENSIONS, "weight", F.least(F.lit(1.0), F.col("weight") / F.col("tokens") * scale).alias("probability"))
+    t, w, most = fitted.agg(F.sum("tokens"), F.sum("weight"), F.max(F.col("weight") / F.col("tokens"))).first()
+    scale = min(keep_share * t / w, 1 / most) if t and w else 0.0
+    return fitted.select(*DIMENSIONS, "weight", F.least(F.lit(1.0), F.col("weight") / F.col("tokens") * F.lit(scale)).alias("probability"))
 
 
 def draw(id_col: Column, seed: int) -> Column:
