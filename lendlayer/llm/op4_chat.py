@@ -27,6 +27,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lendlayer.llm.frames import keep
+
 START, END = "<|im_start|>", "<|im_end|>\n"
 #: Tokens a turn's marks count for.
 MARKS = 4
@@ -95,7 +97,7 @@ def number_turns(turns: DataFrame, budget: int, history: int) -> DataFrame:
 
 def format_windows(turns: DataFrame, budget: int = 1024, history: int = 256) -> DataFrame:
     """conv_id, window, formatted, loss (spans of code points), turns, n_tokens, over_budget."""
-    rows = number_turns(turns, budget, history)
+    rows = keep(number_turns(turns, budget, history), "numbered")
     cell = F.floor(F.col("start") / F.col("room"))
     crosses = F.floor((F.col("end") - 1) / F.col("room")) > cell
     place = F.when(F.col("lead") | (F.col("start") == 0), F.lit(0).cast("long")).otherwise(2 * cell + crosses.cast("long"))
