@@ -33,7 +33,7 @@ _ROLL = U64(0x2545F4914F6CDD1D)
 _BYTES = mix(np.arange(1, 257, dtype=np.uint64) * U64(0xD1342543DE82EF95))
 
 #: Pieces that a worker remembers at most; beyond it starts anew (results are the same).
-REMEMBER = 1_500_000
+REMEMBER = 600_000
 
 _tables: list[np.ndarray] = []
 

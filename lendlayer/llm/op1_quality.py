@@ -29,7 +29,7 @@ from lendlayer.llm.textkit import U64, Texts, column_texts, mix, span_hashes, wi
 TERMS = 1 << 13
 DIMENSIONS = 48
 NEIGHBOURS = 15
-PER_CLASS = 2500
+PER_CLASS = 2000
 #: Documents multiplied with the labelled vectors at a time.
 BLOCK = 512
 
