@@ -2,8 +2,7 @@
 
 The operators take and return lazy ``DataFrame`` plans (use them with
 ``df.transform``). Spark actions run only in ``lendlayer.sources.sinks``,
-``lendlayer.plans.jobs`` and ``lendlayer.streaming``, plus one small bounded job:
-the row-count check before a lookup is broadcast (``enrich.fits_broadcast``).
+``lendlayer.plans.jobs`` and ``lendlayer.streaming``.
 """
 
 from lendlayer.functions.names import normalize_column_names
