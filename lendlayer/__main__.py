@@ -4,7 +4,8 @@
         --ingest customer_metadata=landing/customer_metadata.csv --tables customer_metadata
     python -m lendlayer silver --hive --location /shared/lake --tables loan_history
 
-Subcommands: ``ingest`` (file -> bronze), ``repair`` (officer ids in place),
+Subcommands: ``ingest`` (file -> bronze), ``seed`` (CSV of literal values -> bronze table of
+fixed schema), ``nulls`` (bronze split on critical columns), ``repair`` (officer ids in place),
 ``silver`` (bronze -> silver + reject), ``gold`` (silver -> gold), ``run`` (optional
 ingests, then repair, silver and gold for the manifest). Each prints the run report
 and exits non-zero when a table failed.
@@ -27,14 +28,17 @@ from lendlayer.operators.quality import DEFAULT_RULES, load_rules
 from lendlayer.plans import jobs
 from lendlayer.schemas import CLEANED_TABLES, RAW_TABLES, SCHEMA_DDL
 from lendlayer.sources.catalog import preview, tables_frame
+from lendlayer.sources.files import read_manifest
 
 
 def _parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="lendlayer", description=__doc__.split("\n")[0])
-    p.add_argument("command", choices=["ingest", "repair", "silver", "gold", "run"])
+    p.add_argument("command", choices=["ingest", "seed", "nulls", "repair", "silver", "gold", "run"])
     p.add_argument("--prefix", default="", help="database name prefix")
     p.add_argument("--location", default=None, help="shared folder for the layer databases")
+    p.add_argument("--catalog", default=None, help="catalog of the layer databases")
     p.add_argument("--tables", default=",".join(RAW_TABLES + CLEANED_TABLES), help="comma-separated tables")
+    p.add_argument("--manifest", default=None, help="INI file with a [tables] section of table lists (instead of --tables)")
     p.add_argument("--as-of", default=None, help="load / overdue reference date (YYYY-MM-DD); default today")
     p.add_argument("--alias", action="append", default=[], help="table=rules_name, e.g. branch_master_dirty=branch_master")
     p.add_argument("--parallelism", type=int, default=1, help="tables processed concurrently")
@@ -62,8 +66,10 @@ def main(argv: list[str] | None = None) -> int:
     args = _parser().parse_args(argv)
     builder = SparkSession.builder.appName(f"lendlayer-{args.command}")
     spark = (builder.enableHiveSupport() if args.hive else builder).getOrCreate()
-    layout = Layout(prefix=args.prefix, location=args.location).create(spark)
+    layout = Layout(prefix=args.prefix, location=args.location, catalog=args.catalog).create(spark)
     tables = [t.strip() for t in args.tables.split(",") if t.strip()]
+    if args.manifest:
+        tables = [t for listed in read_manifest(spark, args.manifest).values() for t in listed]
     as_of = dt.date.fromisoformat(args.as_of) if args.as_of else None
     aliases = dict(a.split("=", 1) for a in args.alias)
     rules = load_rules(args.rules) if args.rules else DEFAULT_RULES
@@ -76,6 +82,12 @@ def main(argv: list[str] | None = None) -> int:
             )
         ]
         _preview(spark, layout, args.table, args.preview)
+    elif args.command == "seed":
+        if not (args.table and args.path):
+            raise SystemExit("seed needs --table and --path")
+        rows = [jobs.seed_file(spark, layout, args.path, args.table, SCHEMA_DDL[args.table])]
+    elif args.command == "nulls":
+        rows = jobs.split_nulls(spark, layout, tables, parallelism=args.parallelism)
     elif args.command == "repair":
         rows = [jobs.repair_officer_ids(spark, layout)]
     elif args.command == "silver":

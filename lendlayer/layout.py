@@ -31,16 +31,18 @@ class Layout:
 
     ``prefix`` namespaces the four databases (``{prefix}bronze`` …) so several runs
     can share a catalog; ``location`` puts each database under a shared folder
-    (``{location}/{layer}``) instead of the warehouse default.
+    (``{location}/{layer}``) instead of the warehouse default; ``catalog`` names the catalog
+    that holds them (default: the current one).
     """
 
     prefix: str = ""
     location: str | None = None
+    catalog: str | None = None
 
     def database(self, layer: str) -> str:
         if layer not in LAYERS:
             raise ValueError(f"unknown layer {layer!r}; expected one of {LAYERS}")
-        return f"{self.prefix}{layer}"
+        return f"{self.catalog}.{self.prefix}{layer}" if self.catalog else f"{self.prefix}{layer}"
 
     def table(self, layer: str, name: str) -> str:
         return f"{self.database(layer)}.{name}"

@@ -27,10 +27,11 @@ from lendlayer.functions.standardize import add_officer_key, normalize_officer_i
 from lendlayer.layout import Layout, gold_name, reject_name, silver_name
 from lendlayer.operators.derive import derive_loan_columns, stamp_processing_date
 from lendlayer.operators.enrich import Lookup, enrich, standard_lookups
-from lendlayer.operators.quality import DEFAULT_RULES, Rule, split_quality
+from lendlayer.operators.quality import CRITICAL_COLUMNS, DEFAULT_RULES, Rule, split_critical, split_quality
 from lendlayer.sources.catalog import list_tables
 from lendlayer.sources.files import read_csv, read_json
 from lendlayer.session import scratch_path
+from lendlayer.sources.seeds import conform
 from lendlayer.sources.sinks import overwrite_counted, overwrite_from_self, table_exists, write_split
 
 REPORT_SCHEMA = (
@@ -94,6 +95,39 @@ def ingest_file(
         return _failed("bronze", table, exc)
 
 
+def seed_file(spark: SparkSession, layout: Layout, path: str, table: str, schema: StructType | str) -> ReportRow:
+    """Fill ``bronze.table``, with its fixed schema, from a CSV of literal values.
+
+    The header is the column list: its texts are cast to the declared types, and columns
+    it does not name become typed nulls. The table is replaced.
+    """
+    try:
+        target = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+        text = spark.read.option("header", True).csv(path)
+        rows = overwrite_counted(conform(text, target, text.columns), layout.table("bronze", table), staged=True)
+        return ReportRow("bronze", table, "ok", rows_out=rows)
+    except Exception as exc:  # noqa: BLE001 - isolation: report and go on
+        return _failed("bronze", table, exc)
+
+
+def split_nulls(
+    spark: SparkSession, layout: Layout, tables: Sequence[str], critical: Sequence[str] = CRITICAL_COLUMNS, parallelism: int = 1
+) -> list[ReportRow]:
+    """For each bronze table: rows whose critical columns are all filled go to silver
+    ``{t}_complete``, the others to reject ``{t}_incomplete``."""
+
+    def one(table: str) -> ReportRow:
+        try:
+            valid, invalid = split_critical(spark.table(layout.table("bronze", table)), critical)
+            filled = overwrite_counted(valid, layout.table("silver", f"{table}_complete"), staged=True)
+            gaps = overwrite_counted(invalid, layout.table("reject", f"{table}_incomplete"), staged=True)
+            return ReportRow("silver", table, "ok", filled + gaps, filled, rows_reject=gaps, rows_out=filled)
+        except Exception as exc:  # noqa: BLE001
+            return _failed("silver", table, exc)
+
+    return _each(tables, one, parallelism)
+
+
 def repair_officer_ids(spark: SparkSession, layout: Layout, table: str = "loan_officers") -> ReportRow:
     """Rewrite ``bronze.table`` in place with ``officer_id`` as an integer (stage and swap).
 

@@ -469,3 +469,44 @@ ORACLE["dq_summary_all"] = q(
     "tof2",
     "tbr",
 )
+
+_UNPARSED_OFFICERS = (
+    "SELECT CASE WHEN s_suppkey % 10 = 3 THEN concat('EMP', CAST(s_suppkey AS STRING)) "
+    "WHEN s_suppkey % 10 = 7 THEN concat('O99999', CAST(10000 + s_suppkey AS STRING)) "
+    "ELSE concat('O', CAST(100 + s_suppkey AS STRING)) END AS officer_id, s_name AS full_name, "
+    "concat('BR', CAST(100 + s_nationkey AS STRING)) AS branch_id FROM supplier"
+)
+_HOT_LOAN = (
+    "SELECT CASE WHEN l_orderkey % 3 = 0 THEN 'L0' ELSE concat('L', CAST(l_orderkey AS STRING)) END AS loan_id, "
+    "l_linenumber AS emi_number, CAST(l_extendedprice AS DOUBLE) AS amount_in_inr FROM lineitem"
+)
+
+ORACLE.update(
+    {
+        "dq_officer_ids": f"SELECT DISTINCT *, {OFFICER_INT} AS officer_key FROM ({_UNPARSED_OFFICERS})",
+        "repair_report": (
+            "SELECT 'loan_officers' AS table_name, 'failed' AS status, count(*) AS rows_in, "
+            f"count(*) FILTER (WHERE {OFFICER_INT} IS NULL) AS rows_unknown, count(*) AS rows_out FROM ({_UNPARSED_OFFICERS})"
+        ),
+        "positional_insert": q("SELECT *, 'seeded' AS remarks FROM repayment", "repayment"),
+        "seed_job": ORACLE["seed_insert"],
+        "split_critical_none_invalid": q("SELECT * FROM branch WHERE false", "branch"),
+        "null_split_job": q(
+            "SELECT 'loan_history' AS table_name, 'ok' AS status, count(*) AS rows_in, "
+            "count(borrower_id) AS rows_valid, count(*) - count(borrower_id) AS rows_reject FROM loan "
+            "UNION ALL SELECT 'branch_master_dirty', 'ok', count(*), count(*), 0 FROM branch",
+            "loan",
+            "branch",
+        ),
+        "gold_hot_loan": (
+            f"WITH f AS ({_HOT_LOAN}) SELECT *, count(*) OVER (PARTITION BY loan_id) AS repayment_count_agg, "
+            "round(sum(amount_in_inr) OVER (PARTITION BY loan_id), 2) AS total_repaid FROM f"
+        ),
+        "amount_candidates": q(
+            "SELECT loan_id, loan_amount AS sanction_amount, loan_amount * 2 AS loan_amount_usd, exchange_rate, due_date, "
+            f"CASE WHEN due_date < {AS_OF_SQL} THEN 1 ELSE 0 END AS is_overdue, "
+            "CAST(loan_amount * 2 AS DOUBLE) * exchange_rate AS loan_amount_inr FROM loan",
+            "loan",
+        ),
+    }
+)

@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lendlayer.functions.standardize import normalize_officer_id, standardize
+from lendlayer.functions.standardize import add_officer_key, normalize_officer_id, standardize
 from lendlayer.layout import Layout
 from lendlayer.operators.derive import derive_loan_columns
 from lendlayer.operators.enrich import (
@@ -26,8 +26,16 @@ from lendlayer.operators.enrich import (
 )
 from lendlayer.operators.quality import key_check, rule_violations, split_critical, split_quality
 from lendlayer.plans.flagship import AS_OF, gold_borrowers, gold_loans, gold_repayments
-from lendlayer.plans.jobs import ingest_file, repair_officer_ids, run_all
-from lendlayer.plans.views import borrower_view, branch_view, loan_view, officer_view, repayment_view
+from lendlayer.plans.jobs import ingest_file, repair_officer_ids, report_frame, run_all, seed_file, split_nulls
+from lendlayer.plans.views import (
+    borrower_view,
+    branch_view,
+    hot_loan_view,
+    loan_view,
+    officer_view,
+    repayment_view,
+    unparsed_officer_view,
+)
 from lendlayer.session import scratch_path
 from lendlayer.sources.files import write_csv, write_json
 from lendlayer.sources.seeds import create_table, insert_frame
@@ -254,6 +262,66 @@ def overwrite_self(spark, sf):
     return spark.table(layout.table("bronze", "loan_officers"))
 
 
+def dq_officer_ids(spark, sf):
+    """Officers whose ids don't parse keep them; only the integer key beside is null."""
+    return split_quality(add_officer_key(standardize(unparsed_officer_view(spark, sf))), "loan_officers").valid
+
+
+def repair_report(spark, sf):
+    """The repair job on ids that don't parse: refused, counted, table left as it is."""
+    layout = _layout(spark, "unparsed")
+    overwrite_table(unparsed_officer_view(spark, sf), layout.table("bronze", "loan_officers"))
+    report = report_frame(spark, [repair_officer_ids(spark, layout, "loan_officers")])
+    return report.select("table_name", "status", "rows_in", "rows_unknown", "rows_out")
+
+
+def positional_insert(spark, sf):
+    """Text values inserted by position into a fixed-schema table."""
+    name = _layout(spark, "positional").table("bronze", "repayments_seed")
+    create_table(spark, name, SEED_DDL)
+    text = repayment_view(spark, sf)
+    insert_frame(text.select(*[text[c].cast("string") for c in text.columns], F.lit("seeded")), name)
+    return spark.table(name)
+
+
+def seed_job(spark, sf):
+    """Repayments as a CSV of literal values, seeded into a table of fixed schema."""
+    layout = _layout(spark, "seedjob")
+    path = f"{layout.location}/landing/repayments_csv"
+    write_csv(repayment_view(spark, sf), path)
+    seed_file(spark, layout, path, "repayments_seed", SEED_DDL)
+    return spark.table(layout.table("bronze", "repayments_seed"))
+
+
+def split_critical_none_invalid(spark, sf):
+    return split_critical(branch_view(spark, sf))[1]
+
+
+def null_split_job(spark, sf):
+    """Loans and branches landed, then split on their critical columns; the report."""
+    layout = _layout(spark, "nulls")
+    overwrite_table(loan_view(spark, sf), layout.table("bronze", "loan_history"))
+    overwrite_table(branch_view(spark, sf), layout.table("bronze", "branch_master_dirty"))
+    report = report_frame(spark, split_nulls(spark, layout, ["loan_history", "branch_master_dirty"]))
+    return report.select("table_name", "status", "rows_in", "rows_valid", "rows_reject")
+
+
+def gold_hot_loan(spark, sf):
+    """Repayments, a third of them of one loan, with their loan's own aggregate."""
+    facts = hot_loan_view(spark, sf)
+    return _round_total(enrich(facts, "repayments_cleaned", standard_lookups(repayment_summary=facts)))
+
+
+def amount_candidates(spark, sf):
+    """Two amount columns, of which the first candidate counts, and an overdue flag that is replaced."""
+    loans = loan_view(spark, sf)
+    amount = F.col("loan_amount")
+    given = loans.select(
+        "loan_id", amount.alias("sanction_amount"), (amount * 2).alias("loan_amount_usd"), "exchange_rate", "due_date", F.lit(True).alias("is_overdue")
+    )
+    return derive_loan_columns(given, AS_OF)
+
+
 RUN_BRONZE = {
     "borrower_profile": borrower_view,
     "loan_history": loan_view,
@@ -361,6 +429,14 @@ QUERIES: dict[str, Query] = {
     "seed_insert": seed_insert,
     "overwrite_self": overwrite_self,
     "run_report": run_report,
+    "dq_officer_ids": dq_officer_ids,
+    "repair_report": repair_report,
+    "positional_insert": positional_insert,
+    "seed_job": seed_job,
+    "split_critical_none_invalid": split_critical_none_invalid,
+    "null_split_job": null_split_job,
+    "gold_hot_loan": gold_hot_loan,
+    "amount_candidates": amount_candidates,
     "stream_dq_valid": stream_dq_valid,
     "stream_dq_reject": stream_dq_reject,
 }

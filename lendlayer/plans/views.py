@@ -15,40 +15,12 @@ Each view reads only the columns it needs (the scan's ReadSchema is pruned).
 
 from __future__ import annotations
 
-import functools
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-_SCANS: dict[tuple[str, str], DataFrame] = {}
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The scan plan of one test table, built once per session and path.
-
-    Building a parquet scan lists the files and reads a footer on the driver; the
-    test tables are read-only, so one lazy plan per path is reused by every query.
-    """
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (spark.sparkContext.applicationId, path)
-    if key not in _SCANS:
-        _SCANS[key] = spark.read.parquet(path)
-    return _SCANS[key]
-
-
-def _per_session(build):
-    """Build a view's lazy plan once per session and ``sf_dir`` (plans are immutable)."""
-    plans: dict[tuple[str, str], DataFrame] = {}
-
-    @functools.wraps(build)
-    def view(spark: SparkSession, sf_dir: str) -> DataFrame:
-        key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
-        if key not in plans:
-            plans[key] = build(spark, sf_dir)
-        return plans[key]
-
-    return view
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _s(c: Column | str) -> Column:
@@ -59,7 +31,6 @@ def _code(prefix: str, number: Column) -> Column:
     return F.concat(F.lit(prefix), _s(number))
 
 
-@_per_session
 def branch_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
     region = read_table(spark, sf_dir, "region").select("r_regionkey", "r_name")
@@ -77,7 +48,6 @@ def branch_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@_per_session
 def borrower_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = F.col("c_custkey")
     return read_table(spark, sf_dir, "customer").select(
@@ -96,7 +66,6 @@ def borrower_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@_per_session
 def officer_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, sf_dir, "supplier").select(
         _code("O", 100 + F.col("s_suppkey")).alias("officer_id"),
@@ -105,7 +74,6 @@ def officer_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@_per_session
 def loan_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = F.col("o_orderkey")
     issue = F.col("o_orderdate").cast("date")
@@ -126,7 +94,6 @@ def loan_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@_per_session
 def repayment_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One scan of lineitem; the copies come from a generator, not a second scan."""
     line = F.col("l_linenumber")
@@ -152,6 +119,24 @@ def repayment_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def unparsed_officer_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Officers of whom some have ids that are no integers, or none that fits."""
+    k = F.col("s_suppkey")
+    officer_id = F.when(k % 10 == 3, _code("EMP", k)).when(k % 10 == 7, _code("O99999", 10000 + k)).otherwise(_code("O", 100 + k))
+    return read_table(spark, sf_dir, "supplier").select(
+        officer_id.alias("officer_id"), F.col("s_name").alias("full_name"), _code("BR", 100 + F.col("s_nationkey")).alias("branch_id")
+    )
+
+
+def hot_loan_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Repayments of which a third belong to one loan."""
+    hot = F.col("l_orderkey") % 3 == 0
+    return read_table(spark, sf_dir, "lineitem").select(
+        F.when(hot, F.lit("L0")).otherwise(_code("L", "l_orderkey")).alias("loan_id"),
+        F.col("l_linenumber").alias("emi_number"), F.col("l_extendedprice").cast("double").alias("amount_in_inr"),
+    )
+
+
 VIEWS = {
     "branch": branch_view,
     "borrower": borrower_view,

@@ -20,7 +20,9 @@ def tables_frame(spark: SparkSession, database: str, suffix: str | None = None)
     return shown if suffix is None else shown.filter(shown.tableName.endswith(suffix))
 
 
-def use_namespace(spark: SparkSession, database: str) -> None:
+def use_namespace(spark: SparkSession, database: str, catalog: str | None = None) -> None:
+    if catalog:
+        spark.catalog.setCurrentCatalog(catalog)
     spark.catalog.setCurrentDatabase(database)
 
 

@@ -10,6 +10,8 @@
 
 from __future__ import annotations
 
+import configparser
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
@@ -41,3 +43,10 @@ def write_csv(df: DataFrame, path: str, header: bool = True) -> None:
 def write_json(df: DataFrame, path: str) -> None:
     """JSON lines (one object per line); null fields are omitted as Spark does."""
     df.write.mode("overwrite").json(path)
+
+
+def read_manifest(spark: SparkSession, path: str) -> dict[str, list[str]]:
+    """The table lists of an INI manifest: ``[tables]`` with comma-separated lists by name."""
+    config = configparser.ConfigParser()
+    config.read_string(spark.read.text(path, wholetext=True).first()["value"])
+    return {name: [t.strip() for t in value.split(",") if t.strip()] for name, value in config["tables"].items()}

@@ -17,10 +17,10 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 
 def create_table(spark: SparkSession, name: str, ddl: str, location: str | None = None) -> None:
-    """``CREATE TABLE name (ddl) USING parquet``, replacing an existing one."""
+    """``CREATE TABLE name (ddl)`` in the session's ``spark.sql.sources.default`` format, replacing an existing one."""
     spark.sql(f"DROP TABLE IF EXISTS {name}")
     where = f" LOCATION '{location}'" if location else ""
-    spark.sql(f"CREATE TABLE {name} ({ddl}) USING parquet{where}")
+    spark.sql(f"CREATE TABLE {name} ({ddl}){where}")
 
 
 def conform(df: DataFrame, target: StructType, columns: Sequence[str] | None = None) -> DataFrame:

@@ -15,13 +15,19 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from lendlayer.functions.names import qcol
 from lendlayer.operators.quality import REASONS, STATUS, UNKNOWN, VALID, QualitySplit
 
 
 def overwrite_table(
     df: DataFrame, name: str, partition_by: Sequence[str] | None = None, staged: bool = False
 ) -> None:
-    """Replace table ``name`` (data and schema) with ``df``, as parquet.
+    """Replace table ``name`` (data and schema) with ``df``, in the session's
+    ``spark.sql.sources.default`` format (parquet unless set otherwise).
+
+    With ``partition_by`` the rows are first brought together by those columns (Spark's
+    ``rebalance``, which splits a hot value again), so a value gets a few files and not one
+    per task.
 
     ``staged=True`` writes the full result to a staging table first and swaps it in
     only after that write committed, so a failed job never leaves ``name`` empty or
@@ -30,7 +36,9 @@ def overwrite_table(
     if staged:
         _stage_and_swap(df.sparkSession, lambda stage: overwrite_table(df, stage, partition_by), name)
         return
-    writer = df.write.format("parquet").mode("overwrite")
+    if partition_by:
+        df = df.hint("rebalance", *[qcol(c) for c in partition_by])
+    writer = df.write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.saveAsTable(name)
@@ -61,7 +69,8 @@ def _stage_and_swap(spark: SparkSession, write, name: str) -> None:
 
 def _swap(spark: SparkSession, stage: str, name: str) -> None:
     spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.sql(f"ALTER TABLE {stage} RENAME TO {name}")
+    # the new name goes without the catalog, which a rename cannot change
+    spark.sql(f"ALTER TABLE {stage} RENAME TO {'.'.join(name.split('.')[-2:])}")
 
 
 def overwrite_from_self(spark: SparkSession, df: DataFrame, name: str) -> int:
@@ -117,7 +126,7 @@ def write_split(
     tagged = split.tagged.persist(StorageLevel.MEMORY_AND_DISK) if keep_tagged else split.tagged
     observed = dataclasses.replace(split, tagged=tagged.observe(tag_obs, *metrics))
     try:
-        reject = observed.reject.hint("rebalance") if rebalance_reject else observed.reject
+        reject = observed.reject.hint("rebalance") if rebalance_reject and not partition_by else observed.reject
         clean = dataclasses.replace(split, tagged=tagged).valid
         suffix = f"__stage_{uuid.uuid4().hex[:8]}" if staged else ""
         staged_names = [f"{silver_table}{suffix}", f"{reject_table}{suffix}"]
