@@ -21,3 +21,22 @@ def test_cli_run_with_ingest(spark, tmp_dir, capsys):
     assert "default_flag" in out  # the landing preview shows the bronze columns
     assert spark.table(f"{prefix}gold.customer_metadata_cleaned_gold").count() == 4
     assert main(["silver", "--prefix", prefix, "--location", f"{tmp_dir}/lake", "--tables", "nope"]) == 1
+
+
+def test_cli_seed_nulls_and_manifest(spark, tmp_dir, capsys):
+    rows = os.path.join(tmp_dir, "collateral.csv")
+    with open(rows, "w") as fh:
+        fh.write("collateral_id,valuation,insurance_expiry\nC1,1200.5,2027-01-01\nC2,88,\n")
+    manifest = os.path.join(tmp_dir, "tables.ini")
+    with open(manifest, "w") as fh:
+        fh.write("[tables]\nraw = loan_collateral\ncleaned=\n")
+    prefix = f"seed{uuid.uuid4().hex[:6]}_"
+    common = ["--prefix", prefix, "--location", f"{tmp_dir}/seedlake", "--catalog", "spark_catalog"]
+    assert main(["seed", *common, "--table", "loan_collateral", "--path", rows]) == 0
+    seeded = spark.table(f"{prefix}bronze.loan_collateral")
+    assert [r.valuation for r in seeded.orderBy("collateral_id").collect()] == [1200.5, 88.0] and len(seeded.columns) == 11
+    assert main(["nulls", *common, "--manifest", manifest]) == 0
+    assert spark.table(f"{prefix}silver.loan_collateral_complete").count() == 1
+    assert main(["silver", *common, "--manifest", manifest]) == 0
+    assert spark.table(f"{prefix}silver.loan_collateral_cleaned").count() == 2
+    assert main(["seed", *common, "--table", "loan_collateral", "--path", f"{tmp_dir}/none.csv"]) == 1

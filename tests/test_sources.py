@@ -134,3 +134,44 @@ def test_write_split_keep_tagged_same_result(spark, layout):
     b = write_split(split_quality(df), layout.table("silver", "b_cleaned"), layout.table("reject", "b"),
                     keep_tagged=True)
     assert a == b and (a.rows_valid, a.rows_duplicate, a.rows_reject) == (1, 1, 2)
+
+
+def test_partitioned_write_has_few_files_a_value(spark, layout):
+    name = layout.table("silver", "parts")
+    overwrite_table(spark.range(4000, numPartitions=40).selectExpr("id", "id % 5 AS v"), name, ["v"])
+    files = [r.f for r in spark.table(name).selectExpr("_metadata.file_path AS f").distinct().collect()]
+    assert 5 <= len(files) <= 10  # written as they came: 40 tasks x 5 values
+
+
+def test_named_catalog(spark, tmp_dir):
+    lay = Layout(prefix=f"c{uuid.uuid4().hex[:6]}_", location=tmp_dir, catalog="spark_catalog").create(spark)
+    name = lay.table("silver", "x_cleaned")
+    assert name.startswith("spark_catalog.")
+    for n in (2, 3):
+        assert overwrite_counted(spark.range(n), name, staged=True) == n
+    assert spark.table(name).count() == 3
+    assert list_tables(spark, lay.database("silver")) == ["x_cleaned"]
+
+
+def test_table_format_follows_the_session(spark, layout):
+    name = layout.table("bronze", "as_orc")
+    before = spark.conf.get("spark.sql.sources.default")
+    try:
+        spark.conf.set("spark.sql.sources.default", "orc")
+        seed_table(spark, name, "id INT", [(1,), (2,)])
+        overwrite_from_self(spark, spark.table(name), name)
+    finally:
+        spark.conf.set("spark.sql.sources.default", before)
+    provider = spark.sql(f"DESCRIBE EXTENDED {name}").filter("col_name = 'Provider'").first().data_type
+    assert provider.lower() == "orc" and spark.table(name).count() == 2
+
+
+def test_null_splitter_job_isolates_tables(spark, layout):
+    from lendlayer.plans.jobs import split_nulls
+
+    data = [("L1", "B1"), (None, "B2"), ("L3", None)]
+    overwrite_table(spark.createDataFrame(data, "loan_id string, borrower_id string"), layout.table("bronze", "loans"))
+    report = split_nulls(spark, layout, ["loans", "missing"])
+    assert [(r.status, r.rows_in, r.rows_valid, r.rows_reject) for r in report] == [("ok", 3, 1, 2), ("failed", None, None, None)]
+    assert [r.loan_id for r in spark.table(layout.table("silver", "loans_complete")).collect()] == ["L1"]
+    assert spark.table(layout.table("reject", "loans_incomplete")).count() == 2
