@@ -3,8 +3,12 @@
 Documents fall into cells of source, language and topic. Iterative proportional fitting
 scales the cells' token weights to the target shares of one dimension after the other until
 all three margins fit. A document is then sampled with a probability in proportion to its
-cell's weight per token: the largest probability that keeps every one at most
-``keep_share``-fold calibrated, so the expected token shares of the sample are the targets.
+cell's weight per token, scaled so that ``keep_share`` of all tokens are expected to stay. If
+a cell would need more than it has, it is kept whole and the raking goes on with the cells
+held at what they have: the others of its source, language and topic make up for it, so a
+rare cell never shrinks the sample. The expected token shares of the sample are the targets
+unless a source, language or topic has too little; then it is kept whole and the rest share
+what it lacks.
 
 Without explicit targets a dimension's target is its own token share raised to ``flatten`` and
 normalised, which lifts small sources and damps large ones. Without a topic column, a text's
@@ -21,7 +25,8 @@ share a draw; an empty table gives an empty one. Other columns are not looked at
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import logging
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -31,8 +36,14 @@ from lendlayer.llm.frames import keep, text_of
 WORD = r"[^\x20\x09-\x0D]+"
 TOPICS = 8
 ROUNDS = 10
+#: Rounds between two writes of the cells, and such blocks at most.
+BLOCK, MOST_BLOCKS = 5, 40
+#: Relative error of a margin that counts as fitting.
+TOLERANCE = 1e-4
 DIMENSIONS = ("source", "lang", "topic")
 
+_log = logging.getLogger(__name__)
+
 
 def hash_number(value: Column, digits: int) -> Column:
     """The first ``digits`` hexadecimal digits of a text's MD5 as a number."""
@@ -72,30 +83,114 @@ def _targets(cells: DataFrame, dimension: str, flatten: float, given: DataFrame
     return raw.select(F.col(dimension).alias(f"k_{dimension}"), (F.col("raw") / F.lit(float(whole))).alias(f"aim_{dimension}"))
 
 
-def rake(cells: DataFrame, rounds: int = ROUNDS, flatten: float = 0.7, targets: Mapping[str, DataFrame] | None = None) -> DataFrame:
-    """source, lang, topic, tokens, weight: the cells with weights that fit the margins (they add up to one).
-
-    Every cell carries its three targets, so a step is one sum over each value of a dimension.
-    """
+def _aims(cells: DataFrame, flatten: float, targets: Mapping[str, DataFrame] | None) -> DataFrame:
+    """The cells with tokens, each with its three targets and its tokens as first weight."""
     cells = keep(cells.filter("tokens > 0"), "cells")
     fitted = cells
     for d in DIMENSIONS:
         fitted = fitted.join(_targets(cells, d, flatten, (targets or {}).get(d)), F.col(d) == F.col(f"k_{d}")).drop(f"k_{d}")
-    fitted = keep(fitted.withColumn("weight", F.col("tokens").cast("double")), "aims")
+    return keep(fitted.withColumn("weight", F.col("tokens").cast("double")), "aims")
+
+
+def _rake_plain(fitted: DataFrame, d: str) -> DataFrame:
+    margin = F.sum("weight").over(Window.partitionBy(d))
+    return fitted.withColumn("weight", F.when(margin > 0, F.col("weight") * F.col(f"aim_{d}") / margin).otherwise(0.0))
+
+
+def _rake_capped(fitted: DataFrame, d: str) -> DataFrame:
+    """One step for the parts ``least(weight, cap)``: the factor never overshoots, as a margin is concave in it."""
+    whole = Window.partitionBy(d)
+    full, aim = F.col("weight") >= F.col("cap"), F.col(f"aim_{d}")
+    margin = F.sum(F.least("weight", "cap")).over(whole)
+    stuck, free = F.sum(F.when(full, F.col("cap")).otherwise(0.0)).over(whole), F.sum(F.when(full, 0.0).otherwise(F.col("weight"))).over(whole)
+    factor = F.when((margin < aim) & (free > 0), (aim - stuck) / free).when(margin > aim, aim / margin).otherwise(1.0)
+    return fitted.withColumn("weight", F.col("weight") * factor)
+
+
+def margin_error(fitted: DataFrame) -> float:
+    """The largest relative difference of a margin's share from its target (of the parts under ``cap``, if there is one)."""
+    part = F.least("weight", "cap") if "cap" in fitted.columns else F.col("weight")
+    worst = None
+    for d in DIMENSIONS:
+        off = fitted.groupBy(d).agg(F.sum(part).alias("got"), F.first(f"aim_{d}").alias("aim")).filter("aim > 0").select(F.abs(F.col("got") / F.col("aim") - 1).alias("off"))
+        worst = off if worst is None else worst.union(off)
+    return float(worst.agg(F.max("off")).first()[0] or 0.0)
+
+
+def _until_fit(fitted: DataFrame, step: Callable[[DataFrame, str], DataFrame], tag: str) -> tuple[DataFrame, float]:
+    """Rounds of ``step`` until all margins fit or a block of rounds brings them no nearer, and the error that is left."""
+    error = margin_error(fitted)
+    for _ in range(MOST_BLOCKS):
+        if error <= TOLERANCE:
+            break
+        for _ in range(BLOCK):
+            for d in DIMENSIONS:
+                fitted = step(fitted, d)
+        fitted, before = keep(fitted, tag), error
+        error = margin_error(fitted)
+        if error > 0.99 * before:
+            break
+    return fitted, error
+
+
+def _rake(aims: DataFrame, rounds: int) -> DataFrame:
+    fitted = aims
     for i in range(rounds):
         for d in DIMENSIONS:
-            margin = F.sum("weight").over(Window.partitionBy(d))
-            fitted = fitted.withColumn("weight", F.when(margin > 0, F.col("weight") * F.col(f"aim_{d}") / margin).otherwise(0.0))
-        if i % 5 == 4 or i == rounds - 1:
+            fitted = _rake_plain(fitted, d)
+        if i % BLOCK == BLOCK - 1 or i == rounds - 1:
             fitted = keep(fitted, "raked")
-    return fitted.select(*DIMENSIONS, "tokens", "weight")
+    return fitted
+
+
+def rake(cells: DataFrame, rounds: int = ROUNDS, flatten: float = 0.7, targets: Mapping[str, DataFrame] | None = None) -> DataFrame:
+    """source, lang, topic, tokens, weight, aim_*: the cells with weights that fit the margins (they add up to one).
+
+    Every cell carries its three targets, so a step is one sum over each value of a dimension.
+    """
+    return _rake(_aims(cells, flatten, targets), rounds)
+
+
+def saturated_scale(fitted: DataFrame, keep_share: float) -> float:
+    """The scale at which the expected tokens are ``keep_share`` of all, cells that reach probability 1 kept whole.
+
+    Kept tokens are a concave function of the scale, so Newton's steps rise to the solution from
+    below: the cells that the last scale fills are taken out and the rest of the budget is spread
+    over the others. Ends when no further cell fills up, or when all that have weight are full.
+    """
+    t, w = fitted.agg(F.sum("tokens"), F.sum("weight")).first()
+    if not t or not w:
+        return 0.0
+    budget, scale = keep_share * t, keep_share * t / w
+    while True:
+        full = F.col("weight") * F.lit(scale) >= F.col("tokens")
+        whole, rest = fitted.agg(F.sum(F.when(full, F.col("tokens"))), F.sum(F.when(~full, F.col("weight")))).first()
+        if not rest:
+            return scale
+        raised = (budget - (whole or 0)) / rest
+        if raised <= scale * (1 + 1e-12):
+            return scale
+        scale = raised
 
 
 def probabilities(fitted: DataFrame, keep_share: float) -> DataFrame:
-    """source, lang, topic, weight, probability: in proportion to weight per token, none over one."""
+    """source, lang, topic, weight, probability: in proportion to weight per token where no cell exceeds 1.
+
+    Otherwise the raking goes on with every cell held at the tokens it has, so the other cells
+    of a full cell's source, language and topic make up for it as far as they can, and the
+    scale makes up for the rest.
+    """
     t, w, most = fitted.agg(F.sum("tokens"), F.sum("weight"), F.max(F.col("weight") / F.col("tokens"))).first()
-    scale = min(keep_share * t / w, 1 / most) if t and w else 0.0
-    return fitted.select(*DIMENSIONS, "weight", F.least(F.lit(1.0), F.col("weight") / F.col("tokens") * F.lit(scale)).alias("probability"))
+    if not t or not w:
+        return fitted.select(*DIMENSIONS, "weight", F.lit(0.0).alias("probability"))
+    scale, held = keep_share * t / w, fitted.withColumn("raked", F.col("weight"))
+    if scale * most > 1:
+        held = held.withColumn("cap", F.col("tokens") / F.lit(keep_share * t)).withColumn("weight", F.col("weight") / F.lit(float(w)))
+        held, error = _until_fit(held, _rake_capped, "capped")
+        if error > TOLERANCE:
+            _log.warning("mixing: with keep_share %s the largest margin error is %.3g", keep_share, error)
+        scale = saturated_scale(held, keep_share)
+    return held.select(*DIMENSIONS, F.col("raked").alias("weight"), F.least(F.lit(1.0), F.col("weight") / F.col("tokens") * F.lit(scale)).alias("probability"))
 
 
 def draw(id_col: Column, seed: int) -> Column:

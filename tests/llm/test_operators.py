@@ -292,3 +292,11 @@ def test_mixing(spark, odd, none):
     odd_rows = mix_sources(odd).collect()
     assert len(odd_rows) == len(ODD) and {r.lang for r in odd_rows} == {None, "en", "fr"}
     assert mix_sources(none).count() == 0
+
+
+def test_mixing_keeps_its_share_beside_rare_cells(spark):
+    data = [(n, "w " * (5 + n % 7) + "longestword" + "abcdefgh"[n % 8], "en" if n % 4 else "fr", "big" if n % 3 else f"s{n % 30}") for n in range(2000)]
+    data += [(9000, "three rare words", "en", "new"), (9001, "neither is known", None, None)]
+    got = mix_sources(docs_of(spark, data)).toPandas()
+    assert np.isclose((got.tokens * got.probability).sum(), 0.7 * got.tokens.sum(), rtol=1e-6) and got.probability.max() == 1
+    assert set(got[got.source == "new"].probability) == {1.0}
