@@ -2,7 +2,8 @@
 
 Features are whether a word, or a word beginning of 4, 5 or 6 letters, occurs in a text;
 those kept are far more frequent in toxic than in clean labelled texts (likelihood ratio).
-A logistic model with non-negative weights is fitted to them. Its loss also holds the
+A logistic model with non-negative weights is fitted to them, on whole texts and on each
+marker of a text alone, so that one strong marker suffices. Its loss also holds the
 squared change of score between labelled sentences and their counterfactuals: each identity
 term is swapped for others of its language and left out, and each term on its own is
 compared with none. So a group's name carries no weight by itself, and neutral mentions of
@@ -221,6 +222,24 @@ def fit_weights(
     return w.astype(np.float64), b
 
 
+def fit_markers(present: np.ndarray, toxic: np.ndarray, clean: np.ndarray, steps: np.ndarray) -> tuple[np.ndarray, float]:
+    """Weights and bias fitted so that one strong marker suffices.
+
+    Features that occur in the same texts (a word and its beginnings) are one marker, whose
+    weight they share. Beside its whole set, every text counts once more as its markers one
+    at a time, in equal parts: a marker has to stand alone, not only beside others.
+    """
+    _, first, marker, size = np.unique(present.T, axis=0, return_index=True, return_inverse=True, return_counts=True)
+    marker = marker.ravel()
+    merged = np.ascontiguousarray(present[:, first])
+    part = merged / np.maximum(merged.sum(axis=1, keepdims=True), 1)
+    spread = np.zeros((present.shape[1], len(first)), np.float32)
+    spread[np.arange(len(marker)), marker] = 1 / size[marker]
+    rows = np.concatenate([merged, np.eye(len(first), dtype=np.float32)])
+    weights, bias = fit_weights(rows, np.concatenate([toxic, toxic @ part]), np.concatenate([clean, clean @ part]), steps @ spread)
+    return (weights / size)[marker], bias
+
+
 def fit(sample: DataFrame, identity: dict[str, str] | None = None) -> tuple[np.ndarray, np.ndarray, float]:
     """Sorted feature hashes, their weights and the bias, from a bounded sample (label, text)."""
     identity = IDENTITY if identity is None else identity
@@ -245,7 +264,7 @@ def fit(sample: DataFrame, identity: dict[str, str] | None = None) -> tuple[np.n
     for i, at in enumerate(sets):
         present[i, list(at)] = 1
     clean, toxic = np.array(list(sets.values()), dtype=np.float64).T
-    weights, bias = fit_weights(present, toxic, clean, changes(sample, known, identity))
+    weights, bias = fit_markers(present, toxic, clean, changes(sample, known, identity))
     return known, weights, bias
 
 

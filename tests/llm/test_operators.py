@@ -300,3 +300,18 @@ def test_mixing_keeps_its_share_beside_rare_cells(spark):
     got = mix_sources(docs_of(spark, data)).toPandas()
     assert np.isclose((got.tokens * got.probability).sum(), 0.7 * got.tokens.sum(), rtol=1e-6) and got.probability.max() == 1
     assert set(got[got.source == "new"].probability) == {1.0}
+
+
+def test_toxicity_of_one_marker(spark):
+    marks = "zorg blick quamp fnord yulge drepp vosk hulm tarn kwib".split()
+    dice, data, labels = random.Random(9), [], []
+    for n in range(1200):
+        body = [f"{dice.choice('bcdfg')}{dice.choice('aeiou')}{dice.choice('rstlmn')}o" for _ in range(40)]
+        if n % 4 == 0:
+            body += [f"{m}ling" for m in dice.sample(marks, 7)]
+        data.append((n, " ".join(body), "en", "a"))
+        labels.append((n, 1, int(n % 4 == 0)))
+    data += [(2000 + i, f"what a {m}ling that was", "en", "a") for i, m in enumerate(marks)] + [(3000, "what a day that was", "en", "a")]
+    found = {r.doc_id: r.predicted for r in score_toxicity(docs_of(spark, data), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")).collect()}
+    assert all(found[2000 + i] == 1 for i in range(len(marks))) and found[3000] == 0
+    assert all(found[n] == (n % 4 == 0) for n in range(1200))
