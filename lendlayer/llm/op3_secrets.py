@@ -36,10 +36,16 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{32,}")
 MIN_ASSIGNED, MIN_ACCESS = 8, 16
 
-ARMOUR = re.compile(r"-----BEGIN ([A-Z0-9 ]*)PRIVATE KEY-----([A-Za-z0-9+/=\s:,-]*?)-----END \1PRIVATE KEY-----")
+#: A line break in plain text, in a string literal (any depth of escaping) or in quoted mail, where marks follow it.
+BREAK = r"(?:(?:\r?\n|\r)[\x20\t>|]*|(?:\\{1,8}[nr])+)"
+ARMOUR = re.compile(r"-----BEGIN ([A-Z0-9 ]*)PRIVATE KEY-----((?:[A-Za-z0-9+/=\s:,>|\"'-]|\\{1,8}[nrt/u]|\\{1,8}(?=[\r\n\"']))*?)-----END \1PRIVATE KEY-----")
 SIGNED = re.compile(r"[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{4,}\.[A-Za-z0-9_-]+")
-ENCODED = re.compile(r"[A-Za-z0-9+/_-]{40,}={0,2}")
+# the letter of a literal \n is no part of a run
+ENCODED = re.compile(r"(?!(?<=\\)[nr])[A-Za-z0-9+/_-]{40,}={0,2}")
 HEX_ANY = re.compile(r"(?:[0-9A-Fa-f]{2}){32,}")
+#: Encoded lines that follow each other: whole lines of one length, then a last one that may be shorter.
+WRAPPED = re.compile(rf"(?:(?<![A-Za-z0-9+/_=-])|(?<=\\[nr]))(?!(?<=\\)[nr])([A-Za-z0-9+/_-]{{32,}})((?:{BREAK}[A-Za-z0-9+/_-]+)*={{0,2}})(?![A-Za-z0-9+/_=-])")
+_BREAK = re.compile(BREAK)
 
 #: A row is looked at closely if it has one of these words or a run this long.
 HINTS = re.compile(rb"password|passwd|secret|token|api_?key|akia|-----begin")
@@ -91,7 +97,7 @@ def is_der_key(data: bytes) -> bool:
 
     Private keys begin with a small version number and go on with numbers (PKCS#1), an
     algorithm and wrapped bytes (PKCS#8) or wrapped bytes (elliptic curves); public keys are
-    an algorithm and a bit string.
+    an algorithm and a bit string, encrypted private keys an algorithm and bytes.
     """
     top = _asn1(data, 0, len(data))
     if top is None or top[0] != 0x30 or top[2] != len(data):
@@ -110,7 +116,8 @@ def is_der_key(data: bytes) -> bool:
         if len(parts) >= 3 and algorithm(parts[1]) and tags[2] == 0x04:
             return True
         return tags[1] == 0x04 and parts[1][2] - parts[1][1] >= 16
-    return len(parts) == 2 and algorithm(parts[0]) and tags[1] == 0x03
+    # a public key's bits or an encrypted private key's bytes
+    return len(parts) == 2 and algorithm(parts[0]) and (tags[1] == 0x03 or tags[1] == 0x04 and parts[1][2] - parts[1][1] >= 16)
 
 
 def is_ssh_key(data: bytes) -> bool:
@@ -155,28 +162,85 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(out)
 
 
+def _armoured(body: str) -> bytes | None:
+    """The bytes between an armoured block's lines, in plain, escaped or quoted text."""
+    lines = re.split(r"\r\n|\r|\n|(?:\\+[nr])+", body)
+    lines = [re.sub(r"\\+u003[dD]", "=", line).translate(_MARKS) for line in lines if ":" not in line]
+    return decode_base64("".join(line for line in lines if line != "+"))  # a lone plus joins string literals
+
+
+_MARKS = {ord(c): None for c in " \t\v\f,>|\"'\\"}
+
+
+def _kind_of(data: bytes | None) -> int | None:
+    if not data:
+        return None
+    return 4 if is_der_key(data) else 5 if is_ssh_key(data) else None
+
+
+def _ends(line: str, more: int) -> list[int]:
+    """How many further lines of ``more`` a key that begins with ``line`` may have: its first length says it."""
+    out = set()
+    for data, chars in ((decode_base64(line[:32]), lambda n: -(-4 * n // 3)), (bytes.fromhex(line[:32]) if re.fullmatch(r"[0-9A-Fa-f]{32}", line[:32]) else None, lambda n: 2 * n)):
+        if not data:
+            continue
+        if data[0] == 0x30 and (k := data[1] - 0x80 if data[1] > 0x80 else 0) <= 4:
+            total = 2 + k + (int.from_bytes(data[2 : 2 + k], "big") if k else data[1])
+            out.add((chars(total) - 1) // len(line))
+        elif data.startswith(b"openssh-key-v1") or data[:3] == bytes(3) and data[4:].startswith((b"ssh-", b"ecdsa-", b"sk-")):
+            out.update((more, more - 1))  # a line of plain letters may follow the last one
+    return sorted(n for n in out if 0 < n <= more)[::-1]
+
+
+def _wrapped(text: str) -> list[tuple[int, int, int]]:
+    """Keys whose base64 or hexadecimal form is broken into lines of one length and a last one."""
+    out = []
+    for m in WRAPPED.finditer(text):
+        edges = [(m.start(), m.end(1))]
+        at = m.end(1)
+        for gap in _BREAK.finditer(text, at, m.end()):
+            edges[-1] = (edges[-1][0], gap.start())
+            edges.append((gap.end(), m.end()))
+        first = reach = 0
+        while first < len(edges) - 1:
+            wide, last = edges[first][1] - edges[first][0], max(first, reach)
+            while wide >= RUN and last + 1 < len(edges) and edges[last][1] - edges[last][0] == wide and edges[last + 1][1] - edges[last + 1][0] <= wide:
+                last += 1
+            reach, found = (last if wide >= RUN else 0), first + 1
+            if last < len(edges) and (wide < RUN or edges[first + 1][1] - edges[first + 1][0] > wide):
+                first, reach = first + 1, 0
+                continue
+            for end in _ends(text[edges[first][0] : edges[first][1]], last - first):
+                run = "".join(text[a:b] for a, b in edges[first : first + end + 1]).rstrip("=")
+                is_hex = len(run) % 2 == 0 and re.fullmatch(r"[0-9A-Fa-f]+", run) is not None
+                kind = (_kind_of(bytes.fromhex(run)) if is_hex else None) or _kind_of(decode_base64(run))
+                if kind is not None:
+                    out.append((edges[first][0], kind, edges[first + end][1]))
+                    found = first + end + 1
+                    break
+            first = found
+    return out
+
+
 def confirmed_spans(text: str) -> list[tuple[int, int, int]]:
     """(start, kind, end) of candidates whose decoded structure holds."""
     out = []
     for m in ARMOUR.finditer(text):
-        body = "".join(line for line in m.group(2).split("\n") if ":" not in line)
-        data = decode_base64(re.sub(r"[\s,]", "", body))
-        if data and (is_der_key(data) or is_ssh_key(data)):
+        if _kind_of(_armoured(m.group(2))) is not None:
             out.append((m.start(), 3, m.end()))
     inside = [(a, b) for a, _, b in out]
-    free = lambda m: not any(a <= m.start() and m.end() <= b for a, b in inside)
+    free = lambda x, y: not any(a <= x and y <= b for a, b in inside)
+    wrapped = [(a, k, b) for a, k, b in _wrapped(text) if free(a, b)]
+    out += wrapped
+    inside += [(a, b) for a, _, b in wrapped]
     for m in ENCODED.finditer(text):
-        data = decode_base64(m.group()) if free(m) else None
-        if data and is_der_key(data):
-            out.append((m.start(), 4, m.end()))
-        elif data and is_ssh_key(data):
-            out.append((m.start(), 5, m.end()))
+        kind = _kind_of(decode_base64(m.group())) if free(m.start(), m.end()) else None
+        if kind is not None:
+            out.append((m.start(), kind, m.end()))
     for m in HEX_ANY.finditer(text):
-        data = bytes.fromhex(m.group())
-        if free(m) and is_der_key(data):
-            out.append((m.start(), 4, m.end()))
-        elif free(m) and is_ssh_key(data):
-            out.append((m.start(), 5, m.end()))
+        kind = _kind_of(bytes.fromhex(m.group())) if free(m.start(), m.end()) else None
+        if kind is not None:
+            out.append((m.start(), kind, m.end()))
     out += [(m.start(), 6, m.end()) for m in SIGNED.finditer(text) if is_signed_token(m.group())]
     return sorted(set(out))
 

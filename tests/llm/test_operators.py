@@ -15,7 +15,7 @@ import pytest
 from lendlayer.llm import bpe
 from lendlayer.llm.op1_quality import score_quality
 from lendlayer.llm.op2_mixing import mix_sources, sample_mixture
-from lendlayer.llm.op3_secrets import scan_secrets, secret_digest
+from lendlayer.llm.op3_secrets import find_secrets, scan_secrets, secret_digest
 from lendlayer.llm.op4_chat import conversation_digest, format_windows, read_turns
 from lendlayer.llm.op5_packing import best_fit, bin_bound, pack_documents, sequences
 from lendlayer.llm.op6_token_counts import count_tokens, longest_prefix, tokens_of_prefix
@@ -315,3 +315,24 @@ def test_toxicity_of_one_marker(spark):
     found = {r.doc_id: r.predicted for r in score_toxicity(docs_of(spark, data), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")).collect()}
     assert all(found[2000 + i] == 1 for i in range(len(marks))) and found[3000] == 0
     assert all(found[n] == (n % 4 == 0) for n in range(1200))
+
+
+def test_secrets_in_other_forms():
+    body = lambda *parts: bytes([0x30, 0x81, sum(map(len, parts))]) + b"".join(parts)
+    plain = body(bytes([2, 1, 0, 0x30, 5, 6, 3, 0x2B, 0x65, 0x70, 4, 0x81, 0x90]) + bytes(range(0x90)))
+    sealed = body(bytes([0x30, 5, 6, 3, 0x2B, 0x65, 0x70, 4, 0x81, 0x90]) + bytes(range(0x90)))
+    for data, head in ((plain, "PRIVATE KEY"), (sealed, "ENCRYPTED PRIVATE KEY")):
+        key = b64encode(data).decode()
+        lines = [key[i : i + 64] for i in range(0, len(key), 64)]
+        block = [f"-----BEGIN {head}-----", *lines, f"-----END {head}-----"]
+        for mark in ("\n", "\r\n", "\\n", "\\r\\n", "\\\\n", "\n> ", "\n>> ", "\\n\" +\n  \""):
+            text = "x " + mark.join(block) + " y"
+            assert [k for _, k, _ in find_secrets(text)[1]] == [3], (head, mark)
+        for mark in ("\n", "\r\n", "\\n", "\n> "):
+            text = "see: " + mark.join(lines) + " end"
+            assert [s for s in find_secrets(text)[1] if s[1] > 2] == [(5, 4, len(text) - 4)], (head, mark)
+        written = data.hex().upper()
+        text = "see: " + "\n".join(written[i : i + 64] for i in range(0, len(written), 64)) + " end"
+        assert [s for s in find_secrets(text)[1] if s[1] > 2] == [(5, 4, len(text) - 4)]
+        assert [k for _, k, _ in find_secrets("A=\\n" + key)[1]] == [k for _, k, _ in find_secrets("A=\\n" + "\\n".join(lines))[1]] == [4]
+        assert find_secrets("see: " + "\n".join(lines[:-1]) + " end")[1] == []
