@@ -17,6 +17,7 @@ from lendlayer.llm.op7_toxicity import score_toxicity
 from lendlayer.llm.op8_quality_rules import judge_quality
 from lendlayer.llm.op9_exact_dedup import mark_copies
 from lendlayer.llm.op10_minhash import near_duplicates
+from lendlayer.llm.op13_repeats import remove_repeats, repeat_digest
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -68,10 +69,14 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), k=4)
 
 
+def op13_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeat_digest(remove_repeats(table(spark, sf_dir, "documents")))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_quality_classifier, op2_mixing, op3_secret_scan, op4_chat_formatting, op5_best_fit_packing, op6_token_counts, op7_toxicity, op8_quality_rules, op9_exact_dedup,
-        op10_minhash_near_dedup,
+        op10_minhash_near_dedup, op13_suffix_array_dedup,
     )
 }
