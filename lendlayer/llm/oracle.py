@@ -82,7 +82,8 @@ WITH c AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
   UNION ALL SELECT -1, unnest([0, 1]), unnest(['user', 'assistant']), '<|im_end|><|im_start|>assistant ok'
 ), t AS (
-  SELECT *, len(regexp_extract_all(text, '[A-Za-z0-9]+|[^A-Za-z0-9 	-]')) + 4 AS tokens,
+  SELECT *, len(regexp_extract_all(text, '[A-Za-z0-9]+|[^A-Za-z0-9 	-
+]')) + 4 AS tokens,
          row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS ord FROM c
 ), u AS (
   SELECT *, max(CASE WHEN ord = 1 AND role = 'system' THEN tokens ELSE 0 END) OVER (PARTITION BY conv_id) AS first_tokens,
@@ -112,4 +113,71 @@ FROM d JOIN own ON own.conv_id IS NOT DISTINCT FROM d.conv_id
 LEFT JOIN told ON told.conv_id IS NOT DISTINCT FROM d.conv_id LEFT JOIN again ON again.conv_id IS NOT DISTINCT FROM d.conv_id
 """
 
-ORACLE = {"op2_mixing": OP2, "op4_chat_formatting": OP4, "op9_exact_dedup": OP9, "op10_minhash_near_dedup": OP10}
+OP11 = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS doc, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all(coalesce(text, ''), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS words FROM documents
+), w AS (
+  SELECT doc, lang, source, translate(unnest(words), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS term FROM d
+), kept AS MATERIALIZED (
+  SELECT lang, term, count(*) AS n FROM w GROUP BY lang, term HAVING count(DISTINCT doc) >= 3
+), about AS (SELECT lang, count(*)::HUGEINT AS v, sum(n)::HUGEINT AS total FROM kept GROUP BY lang),
+groups AS (SELECT DISTINCT lang, source FROM d),
+counted AS (SELECT lang, source, term, count(*) AS n FROM w SEMI JOIN kept USING (lang, term) GROUP BY ALL),
+sizes AS (SELECT lang, source, sum(n)::HUGEINT AS total FROM counted GROUP BY ALL),
+given AS MATERIALIZED (
+  SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n, 1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 1)) // (coalesce(s.total, 0) + a.v) AS p,
+         1 + (1000000000::HUGEINT * (k.n + 1)) // (a.total + a.v) AS q
+  FROM groups g JOIN about a USING (lang) JOIN kept k USING (lang)
+  LEFT JOIN counted c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term
+  LEFT JOIN sizes s ON s.lang = g.lang AND s.source = g.source
+), priced AS (
+  SELECT x.lang, x.source, y.source AS item, sum((x.p - y.p) * (x.p - y.p) // y.p) AS value
+  FROM given x JOIN given y ON x.lang = y.lang AND x.term = y.term AND x.source <> y.source GROUP BY ALL
+), found AS (
+  SELECT x.lang, x.source, 'pair' AS part, y.source AS item, coalesce(value, 0)::BIGINT AS value
+  FROM groups x JOIN groups y ON x.lang = y.lang AND x.source <> y.source
+  LEFT JOIN priced p ON p.lang = x.lang AND p.source = x.source AND p.item = y.source
+  UNION ALL SELECT lang, source, 'term', term, ((p - q) * (p - q) // q)::BIGINT FROM given WHERE n > 0 AND p > q
+)
+SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INTEGER AS rank FROM found
+QUALIFY part = 'pair' OR rank <= 200
+"""
+
+
+def _lloyd() -> str:
+    """Two rounds of nearest entries and floored means, unrolled, and the last assignment."""
+    steps = []
+    for r in range(3):
+        steps.append(
+            f"""near{r} AS MATERIALIZED (SELECT row, part, min(off * 64 + entry) AS best FROM (
+  SELECT x.row, x.part, b.entry, sum((x.c - b.c) * (x.c - b.c))::HUGEINT AS off FROM comps x JOIN book{r} b ON b.part = x.part AND b.pos = x.pos GROUP BY ALL) GROUP BY ALL)"""
+        )
+        if r < 2:
+            steps.append(
+                f"""book{r + 1} AS MATERIALIZED (SELECT b.part, b.entry, b.pos, coalesce((total - ((total % n) + n) % n) // n, b.c)::BIGINT AS c
+  FROM book{r} b LEFT JOIN (SELECT x.part, (best % 64)::INTEGER AS entry, x.pos, sum(x.c)::HUGEINT AS total, count(*) AS n
+    FROM comps x JOIN near{r} USING (row, part) GROUP BY ALL) m ON m.part = b.part AND m.entry = b.entry AND m.pos = b.pos)"""
+            )
+    return ",\n".join(steps)
+
+
+OP12 = (
+    r"""
+WITH k AS (
+  SELECT row_number() OVER (ORDER BY vec_id NULLS LAST, embedding) - 1 AS row, vec_id, label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v
+  FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), flat AS (SELECT row, len(v) // 16 AS width, unnest(v) AS c, unnest(range(len(v))) AS i FROM k),
+comps AS MATERIALIZED (SELECT row, (i // width)::INTEGER AS part, (i % width)::INTEGER AS pos, c FROM flat),
+book0 AS MATERIALIZED (SELECT part, row::INTEGER AS entry, pos, c FROM comps WHERE row < 64),
+"""
+    + _lloyd()
+    + """,
+coded AS (
+  SELECT row, string_agg(lpad(lower(to_hex((best % 64)::BIGINT)), 2, '0'), '' ORDER BY part) AS code, sum(best // 64)::BIGINT AS error FROM near2 GROUP BY row
+), digest AS (SELECT sha256(string_agg(c::VARCHAR, ',' ORDER BY part, entry, pos)) AS codebooks_sha256 FROM book2)
+SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error, codebooks_sha256 FROM k JOIN coded USING (row), digest
+"""
+)
+
+ORACLE = {"op11_source_divergence_audit": OP11, "op12_vector_code_compression": OP12, "op2_mixing": OP2, "op4_chat_formatting": OP4, "op9_exact_dedup": OP9, "op10_minhash_near_dedup": OP10}

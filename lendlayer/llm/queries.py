@@ -17,6 +17,8 @@ from lendlayer.llm.op7_toxicity import score_toxicity
 from lendlayer.llm.op8_quality_rules import judge_quality
 from lendlayer.llm.op9_exact_dedup import mark_copies
 from lendlayer.llm.op10_minhash import near_duplicates
+from lendlayer.llm.op11_divergence import audit_sources
+from lendlayer.llm.op12_vector_codes import code_digest, compress_vectors
 from lendlayer.llm.op13_repeats import remove_repeats, repeat_digest
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -69,6 +71,14 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), k=4)
 
 
+def op11_source_divergence_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit_sources(table(spark, sf_dir, "documents"))
+
+
+def op12_vector_code_compression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return code_digest(*compress_vectors(table(spark, sf_dir, "embeddings")))
+
+
 def op13_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeat_digest(remove_repeats(table(spark, sf_dir, "documents")))
 
@@ -77,6 +87,6 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_quality_classifier, op2_mixing, op3_secret_scan, op4_chat_formatting, op5_best_fit_packing, op6_token_counts, op7_toxicity, op8_quality_rules, op9_exact_dedup,
-        op10_minhash_near_dedup, op13_suffix_array_dedup,
+        op10_minhash_near_dedup, op11_source_divergence_audit, op12_vector_code_compression, op13_suffix_array_dedup,
     )
 }
