@@ -21,6 +21,11 @@ def reject_name(table: str) -> str:
     return table
 
 
+def undecided_name(table: str) -> str:
+    """In the reject layer: rows that no rule rejects but some rule can't decide."""
+    return f"{table}_undecided"
+
+
 def gold_name(silver_table: str) -> str:
     return f"{silver_table}_gold"
 

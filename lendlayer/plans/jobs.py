@@ -2,37 +2,37 @@
 
 Each job handles its tables one after another (or a few at a time); a table that
 fails is reported (status ``failed`` with the error) and the others go on. Every
-table is replaced by stage-and-swap: the new data is written in full before the old
-table is dropped, so a failed job leaves the previous version in place. Every job returns report
+table is replaced by a new version, written in full before the name moves to it in one
+catalog operation, so a failed job leaves the previous version in place. Every job returns report
 rows; :func:`report_frame` turns them into a small DataFrame (one row per table).
 
-Work happens on the executors; the driver only sees table names, schemas and the
-observed counts.
+Work happens on the executors; the driver only sees table names, schemas and counts,
+which come from the committed files.
 """
 
 from __future__ import annotations
 
 import dataclasses
 import datetime as dt
-import uuid
 from collections.abc import Callable, Collection, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from lendlayer.functions.standardize import add_officer_key, normalize_officer_id, officer_id_expr, standardize
-from lendlayer.layout import Layout, gold_name, reject_name, silver_name
+from lendlayer.layout import Layout, gold_name, reject_name, silver_name, undecided_name
 from lendlayer.operators.derive import derive_loan_columns, stamp_processing_date
 from lendlayer.operators.enrich import Lookup, enrich, standard_lookups
-from lendlayer.operators.quality import CRITICAL_COLUMNS, DEFAULT_RULES, Rule, split_critical, split_quality
+from lendlayer.functions.names import present_columns
+from lendlayer.operators.quality import CRITICAL_COLUMNS, DEFAULT_RULES, Rule, any_null, split_quality
 from lendlayer.sources.catalog import list_tables
 from lendlayer.sources.files import read_csv, read_json
 from lendlayer.session import scratch_path
 from lendlayer.sources.seeds import conform
-from lendlayer.sources.sinks import overwrite_counted, overwrite_from_self, table_exists, write_split
+from lendlayer.sources.sinks import CLEAN_PART, OUTCOME, REJECT_PART, overwrite_counted, overwrite_from_self, table_exists, write_parts, write_split
 
 REPORT_SCHEMA = (
     "layer STRING, table_name STRING, status STRING, rows_in BIGINT, rows_valid BIGINT, "
@@ -114,14 +114,18 @@ def split_nulls(
     spark: SparkSession, layout: Layout, tables: Sequence[str], critical: Sequence[str] = CRITICAL_COLUMNS, parallelism: int = 1
 ) -> list[ReportRow]:
     """For each bronze table: rows whose critical columns are all filled go to silver
-    ``{t}_complete``, the others to reject ``{t}_incomplete``."""
+    ``{t}_complete``, the others to reject ``{t}_incomplete``: parts of one version, so both are of the same run."""
 
     def one(table: str) -> ReportRow:
         try:
-            valid, invalid = split_critical(spark.table(layout.table("bronze", table)), critical)
-            filled = overwrite_counted(valid, layout.table("silver", f"{table}_complete"), staged=True)
-            gaps = overwrite_counted(invalid, layout.table("reject", f"{table}_incomplete"), staged=True)
-            return ReportRow("silver", table, "ok", filled + gaps, filled, rows_reject=gaps, rows_out=filled)
+            whole, gaps = layout.table("silver", f"{table}_complete"), layout.table("reject", f"{table}_incomplete")
+            df = spark.table(layout.table("bronze", table))
+            missing = any_null(present_columns(df, critical))
+            outcome = F.lit(CLEAN_PART) if missing is None else F.when(missing, REJECT_PART).otherwise(CLEAN_PART)
+            version = write_parts(df.withColumn(OUTCOME, outcome), whole, {whole: (CLEAN_PART, ()), gaps: (REJECT_PART, ())})
+            n = {r[OUTCOME]: r["count"] for r in spark.table(version).groupBy(OUTCOME).count().collect()}
+            filled, short = n.get(CLEAN_PART, 0), n.get(REJECT_PART, 0)
+            return ReportRow("silver", table, "ok", filled + short, filled, rows_reject=short, rows_out=filled)
         except Exception as exc:  # noqa: BLE001
             return _failed("silver", table, exc)
 
@@ -129,7 +133,7 @@ def split_nulls(
 
 
 def repair_officer_ids(spark: SparkSession, layout: Layout, table: str = "loan_officers") -> ReportRow:
-    """Rewrite ``bronze.table`` in place with ``officer_id`` as an integer (stage and swap).
+    """Rewrite ``bronze.table`` with ``officer_id`` as an integer (as a new version).
 
     An id that does not parse would be lost, so if there is one the table stays as it is
     and the row says how many there are (``rows_unknown``).
@@ -160,15 +164,14 @@ def bronze_to_silver(
     normalize_officers: bool = True,
     partition_by: Mapping[str, Sequence[str]] | None = None,
     parallelism: int = 1,
-    keep_tagged: bool = False,
 ) -> list[ReportRow]:
-    """For each bronze table: standardise, split by the rules, write silver + reject.
+    """For each bronze table: standardise, split by the rules, write silver, reject and, in the
+    reject layer, the undecided rows (``{t}_undecided``): one scan and one write a table.
 
     The rules see officer ids as they came. Beside them an integer ``officer_key`` is
     added to every table that has them (null where an id does not parse), so the officer
     join compares like with like and no id is lost. ``partition_by`` maps a table to the
-    columns its silver and reject tables are partitioned by; ``keep_tagged`` reads each
-    source once for both sinks (see :func:`~lendlayer.sources.sinks.write_split`).
+    columns its silver and reject tables are partitioned by.
     """
 
     def one(table: str) -> ReportRow:
@@ -182,7 +185,7 @@ def bronze_to_silver(
                 layout.table("silver", silver_name(table)),
                 layout.table("reject", reject_name(table)),
                 (partition_by or {}).get(table),
-                keep_tagged=keep_tagged,
+                layout.table("reject", undecided_name(table)),
             )
             return ReportRow(
                 "silver", table, "ok", c.rows_in, c.rows_valid, c.rows_duplicate, c.rows_reject,
@@ -262,13 +265,13 @@ def silver_to_gold(
 
     def one(table: str) -> ReportRow:
         try:
-            obs_in = Observation(f"in_{uuid.uuid4().hex[:8]}")
-            df = spark.table(layout.table("silver", table)).observe(obs_in, F.count(F.lit(1)).alias("rows"))
+            df = spark.table(layout.table("silver", table))
+            rows_in = df.count()  # from the footers
             gold = stamp_processing_date(enrich(derive_loan_columns(df, as_of), table, lookups), as_of)
             rows_out = overwrite_counted(
                 gold, layout.table("gold", gold_name(table)), (partition_by or {}).get(table), staged=True
             )
-            return ReportRow("gold", table, "ok", rows_in=int(obs_in.get["rows"]), rows_out=rows_out)
+            return ReportRow("gold", table, "ok", rows_in=rows_in, rows_out=rows_out)
         except Exception as exc:  # noqa: BLE001
             return _failed("gold", table, exc)
 

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 def list_tables(spark: SparkSession, database: str, suffix: str | None = None) -> list[str]:
     """Names of the tables in ``database`` (optionally only those ending with ``suffix``), sorted.
 
-    Catalog metadata only (one name per table); no table data reaches the driver.
+    Catalog metadata only (one name per table); no table data reaches the driver. The versions
+    behind the tables live in a database of their own and are not listed.
     """
     names = [t.name for t in spark.catalog.listTables(database) if not t.isTemporary]
     return sorted(n for n in names if suffix is None or n.endswith(suffix))

@@ -18,7 +18,8 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 def create_table(spark: SparkSession, name: str, ddl: str, location: str | None = None) -> None:
     """``CREATE TABLE name (ddl)`` in the session's ``spark.sql.sources.default`` format, replacing an existing one."""
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    view = spark.catalog.tableExists(name) and spark.catalog.getTable(name).tableType == "VIEW"
+    spark.sql(f"DROP {'VIEW' if view else 'TABLE'} IF EXISTS {name}")
     where = f" LOCATION '{location}'" if location else ""
     spark.sql(f"CREATE TABLE {name} ({ddl}){where}")
 

@@ -9,7 +9,7 @@ from lendlayer.layout import Layout, gold_name, reject_name, silver_name
 from lendlayer.plans.jobs import bronze_to_silver, report_frame, silver_to_gold
 from lendlayer.sources.catalog import list_tables, preview, tables_frame
 from lendlayer.sources.seeds import create_table, insert_rows, seed_table
-from lendlayer.sources.sinks import overwrite_counted, overwrite_from_self, overwrite_table
+from lendlayer.sources.sinks import current_version, overwrite_counted, overwrite_from_self, overwrite_table
 
 
 @pytest.fixture()
@@ -97,7 +97,8 @@ def test_parallel_tables_and_partitioned_sinks(spark, tmp_dir):
                             lay.table("bronze", t))
         rows = bronze_to_silver(spark, lay, ["a", "b", "c"], partition_by={"a": ["year"]}, parallelism=par)
         reports.append([(r.table_name, r.status, r.rows_valid, r.rows_duplicate, r.rows_reject) for r in rows])
-        assert spark.sql(f"SHOW PARTITIONS {lay.table('silver', 'a_cleaned')}").count() == 2
+        version = current_version(spark, lay.table("silver", "a_cleaned"))
+        assert spark.sql(f"SHOW PARTITIONS {version} PARTITION (dq_outcome = 'valid')").count() == 2
     assert reports[0] == reports[1] == [(t, "ok", 2, 1, 1) for t in ("a", "b", "c")]
 
 
@@ -162,7 +163,7 @@ def test_table_format_follows_the_session(spark, layout):
         overwrite_from_self(spark, spark.table(name), name)
     finally:
         spark.conf.set("spark.sql.sources.default", before)
-    provider = spark.sql(f"DESCRIBE EXTENDED {name}").filter("col_name = 'Provider'").first().data_type
+    provider = spark.sql(f"DESCRIBE EXTENDED {current_version(spark, name)}").filter("col_name = 'Provider'").first().data_type
     assert provider.lower() == "orc" and spark.table(name).count() == 2
 
 
