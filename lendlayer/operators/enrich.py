@@ -23,7 +23,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from typing import Any
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lendlayer.functions.names import qcol, ref
@@ -114,15 +114,37 @@ def branch_lookup(branches: DataFrame) -> DataFrame:
     return branches.dropDuplicates()
 
 
+#: Digits after the point that sums keep, and before it.
+SUM_SCALE, SUM_DIGITS = 6, 22
+
+
+def exact_sum(column: Column) -> Column:
+    """The sum of a double column, the same for any order and partitioning of the rows.
+
+    Values are rounded half up to ``SUM_SCALE`` digits after the point and added as
+    decimals, which is exact; the sum becomes a double once. Overflow rule: a value with more than
+    ``SUM_DIGITS`` digits before the point, an infinity or a NaN does not fit that grid. Such values are
+    added up as doubles, as before, and their sum is added to the exact one. The exact sum of a group holds
+    10**10 values of the largest size; beyond, Spark raises its overflow error (or gives null with ANSI mode off).
+    """
+    fits = F.abs(column) < 10.0**SUM_DIGITS
+    exact = F.sum(F.when(fits, column).cast(f"decimal({SUM_DIGITS + SUM_SCALE},{SUM_SCALE})")).cast("double")
+    others = F.sum(F.when(~fits, column))
+    return F.when(others.isNull(), exact).otherwise(F.coalesce(exact, F.lit(0.0)) + others)
+
+
 def repayment_aggregates(repayments: DataFrame) -> DataFrame:
-    """Per ``loan_id``: ``repayment_count_agg`` (rows) and ``total_repaid`` (sum of ``amount_in_inr``).
+    """Per ``loan_id``: ``repayment_count_agg`` (rows) and ``total_repaid`` (:func:`exact_sum` of ``amount_in_inr``).
 
     A hash aggregate with a map-side partial step: a loan holding a third of all
     rows is pre-summed in every map task, so only partial sums are shuffled.
     """
+    amount = F.col("amount_in_inr")
+    if repayments.schema["amount_in_inr"].dataType.typeName() in ("float", "string"):
+        amount = amount.cast("double")
     return repayments.groupBy("loan_id").agg(
         F.count(F.lit(1)).alias("repayment_count_agg"),
-        F.sum("amount_in_inr").alias("total_repaid"),
+        exact_sum(amount).alias("total_repaid"),
     )
 
 

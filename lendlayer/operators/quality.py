@@ -333,20 +333,54 @@ class QualitySplit:
 
         ``outcome`` is ``valid``, ``unknown`` or a reject reason; for ``valid``,
         ``distinct_rows`` is the size of the clean output and the difference to
-        ``row_count`` the copies removed. One shuffle over whole rows (with a
-        map-side partial aggregate), then a tiny one over the outcome.
+        ``row_count`` the copies removed.
+
+        Rows are counted by a 128-bit digest, so a shuffled row is a digest, an outcome and
+        its counts, whatever the table's width. Along go the least and the greatest of a
+        third hash: where they differ, different rows met in one digest, and only those
+        rows are fetched and compared whole. Nothing is fetched unless that happens (the adaptive plan drops
+        the branch when no digest is listed; before 10**15 rows one is not to be expected).
+        Maps and other columns that can't be hashed are compared whole.
         """
-        per_row = self.tagged.groupBy(*[ref(c) for c in self.columns], STATUS).agg(
-            F.count(F.lit(1)).alias("_n")
-        )
-        label = (
-            F.when(F.col(STATUS) == VALID, F.lit("valid"))
-            .when(F.col(STATUS) == UNKNOWN, F.lit("unknown"))
-            .otherwise(F.col(STATUS))
-        )
-        return per_row.groupBy(label.alias("outcome")).agg(
-            F.sum("_n").alias("row_count"), F.count(F.lit(1)).alias("distinct_rows")
-        )
+        label = F.when(F.col(STATUS) == VALID, "valid").when(F.col(STATUS) == UNKNOWN, "unknown").otherwise(F.col(STATUS))
+        whole = [ref(c) for c in self.columns]
+        outcome = "__dq_outcome"
+        tagged = self.tagged.withColumn(outcome, label)
+        one = F.count(F.lit(1))
+        digest = row_digest(self.tagged, self.columns)
+        if digest is None:
+            per_row = tagged.groupBy(*whole, outcome).agg(one.alias("_n"))
+            met = per_row
+        else:
+            low, high, check = digest
+            narrow = tagged.select(outcome, low.alias("_d1"), high.alias("_d2"), check.alias("_d3"))
+            per_digest = narrow.groupBy("_d1", "_d2", outcome).agg(
+                one.alias("_n"), F.min("_d3").alias("_least"), F.max("_d3").alias("_most")
+            )
+            met = per_digest.filter("_least = _most").select(outcome, "_n")
+            several = per_digest.filter("_least <> _most").select("_d1", "_d2", outcome)
+            again = tagged.select(*whole, outcome, low.alias("_d1"), high.alias("_d2"))
+            again = again.join(F.broadcast(several), ["_d1", "_d2", outcome], "left_semi")  # pairs of rows in 2**128 digests
+            met = met.unionByName(again.groupBy(*whole, outcome).agg(one.alias("_n")).select(outcome, "_n"))
+        return met.groupBy(F.col(outcome).alias("outcome")).agg(F.sum("_n").alias("row_count"), one.alias("distinct_rows"))
+
+
+# Seeds of the three hashes of a row.
+DIGEST_SEEDS = (0x5BD1E995, 0x1B873593, 0x2545F491)
+_HASHED = ("string", "boolean", "tinyint", "smallint", "int", "bigint", "float", "double", "date", "timestamp", "timestamp_ntz", "binary")
+
+
+def row_digest(df: DataFrame, columns: Sequence[str]) -> tuple[Column, Column, Column] | None:
+    """Three 64-bit hashes of a whole row, or None if a column's type has no exact hash.
+
+    Which columns are null is hashed along: the hash function skips nulls, and without it ``(x, null)`` and
+    ``(null, x)`` would be alike.
+    """
+    types = dict(df.dtypes)
+    if any(types[c] not in _HASHED and not types[c].startswith("decimal") for c in columns):
+        return None
+    nulls = [F.concat(*[qcol(c).isNull().cast("int").cast("string") for c in columns])] if columns else []
+    return tuple(F.xxhash64(F.lit(seed), *nulls, *[qcol(c) for c in columns]) for seed in DIGEST_SEEDS)
 
 
 def split_quality(

@@ -187,8 +187,11 @@ OFFICER_GUARDED = (
     "TRY_CAST(CASE WHEN regexp_matches(officer_id, '^O[0-9]+$') "
     "THEN regexp_replace(officer_id, '^O', '0') ELSE officer_id END AS INTEGER)"
 )
+# Exact decimal sums, turned into doubles once (by way of text, which rounds correctly).
+EXACT_SUM = "CAST(CAST(sum(CAST(amount_in_inr AS DECIMAL(28, 6))){over} AS VARCHAR) AS DOUBLE)"
 REPAYMENT_AGG = (
-    "SELECT loan_id, count(*) AS repayment_count_agg, sum(amount_in_inr) AS total_repaid FROM {src} GROUP BY loan_id"
+    f"SELECT loan_id, count(*) AS repayment_count_agg, {EXACT_SUM.format(over='')} AS total_repaid "
+    "FROM {src} GROUP BY loan_id"
 )
 
 GOLD_LOANS = q(
@@ -201,7 +204,7 @@ SELECT vl.loan_id, vl.borrower_id, vl.branch_id, vl.loan_amount, vl.exchange_rat
        CASE WHEN vl.due_date < {AS_OF_SQL} THEN 1 ELSE 0 END AS is_overdue,
        bl.borrower_name,
        coalesce(ra.repayment_count_agg, 0) AS repayment_count_agg,
-       round(coalesce(ra.total_repaid, 0), 2) AS total_repaid,
+       coalesce(ra.total_repaid, 0) AS total_repaid,
        br.branch_name, br.region, br.employee_count, br.loan_volume,
        {AS_OF_SQL} AS processing_date
 FROM vl
@@ -274,8 +277,7 @@ FROM per_row GROUP BY 1""",
     "officer_lookup": q(f"SELECT DISTINCT {OFFICER_INT} AS officer_id, full_name AS officer_name FROM officer", "officer"),
     "branch_lookup": q("SELECT DISTINCT * FROM branch", "branch"),
     "repayment_by_loan": q(
-        "SELECT loan_id, count(*) AS repayment_count_agg, round(sum(amount_in_inr), 2) AS total_repaid "
-        "FROM repayment GROUP BY loan_id",
+        REPAYMENT_AGG.format(src="repayment"),
         "repayment",
     ),
     "enrich_borrower": q(
@@ -299,7 +301,7 @@ FROM per_row GROUP BY 1""",
     ),
     "enrich_repayment": q(
         f"SELECT {LOAN_COLS}, coalesce(a.repayment_count_agg, 0) AS repayment_count_agg, "
-        "round(coalesce(a.total_repaid, 0), 2) AS total_repaid FROM loan LEFT JOIN a USING (loan_id)",
+        "coalesce(a.total_repaid, 0) AS total_repaid FROM loan LEFT JOIN a USING (loan_id)",
         "loan",
         "repayment",
         extra=(("a", REPAYMENT_AGG.format(src="repayment")),),
@@ -423,7 +425,7 @@ ORACLE.update(
     {
         "gold_repayments": q(
             f"SELECT {REPAYMENT_COLS}, officer_name, coalesce(ra2.repayment_count_agg, 0) AS repayment_count_agg, "
-            f"round(coalesce(ra2.total_repaid, 0), 2) AS total_repaid, {AS_OF_SQL} AS processing_date "
+            f"coalesce(ra2.total_repaid, 0) AS total_repaid, {AS_OF_SQL} AS processing_date "
             "FROM vrr LEFT JOIN ol2 USING (officer_id) LEFT JOIN ra2 USING (loan_id)",
             "vrr",
             "ol2",
@@ -500,7 +502,7 @@ ORACLE.update(
         ),
         "gold_hot_loan": (
             f"WITH f AS ({_HOT_LOAN}) SELECT *, count(*) OVER (PARTITION BY loan_id) AS repayment_count_agg, "
-            "round(sum(amount_in_inr) OVER (PARTITION BY loan_id), 2) AS total_repaid FROM f"
+            f"{EXACT_SUM.format(over=' OVER (PARTITION BY loan_id)')} AS total_repaid FROM f"
         ),
         "amount_candidates": q(
             "SELECT loan_id, loan_amount AS sanction_amount, loan_amount * 2 AS loan_amount_usd, exchange_rate, due_date, "

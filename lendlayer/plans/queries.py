@@ -1,8 +1,7 @@
 """The query catalogue: one lazy plan per operator, over the loan-shaped test views.
 
 Every callable takes ``(spark, sf_dir)`` and returns a ``DataFrame`` that reads the
-whole of the given tables. Double sums are rounded to 2 digits (summation order
-differs between engines); everything else is returned exactly.
+whole of the given tables. Everything is returned exactly, sums too.
 """
 
 from __future__ import annotations
@@ -56,10 +55,6 @@ MESSY_BORROWER_HEADERS = (
 )
 
 
-def _round_total(df: DataFrame) -> DataFrame:
-    return df.withColumn("total_repaid", F.round("total_repaid", 2))
-
-
 def _borrowers(spark: SparkSession, sf: str) -> DataFrame:
     return standardize(borrower_view(spark, sf))
 
@@ -162,7 +157,7 @@ def branch_lookup_q(spark, sf):
 
 
 def repayment_by_loan(spark, sf):
-    return _round_total(repayment_aggregates(repayment_view(spark, sf)))
+    return repayment_aggregates(repayment_view(spark, sf))
 
 
 def enrich_borrower(spark, sf):
@@ -177,7 +172,7 @@ def enrich_officer(spark, sf):
 
 def enrich_repayment(spark, sf):
     lookups = standard_lookups(repayment_summary=repayment_view(spark, sf))
-    return _round_total(enrich(loan_view(spark, sf), "loan_history_cleaned", lookups))
+    return enrich(loan_view(spark, sf), "loan_history_cleaned", lookups)
 
 
 def enrich_branch(spark, sf):
@@ -191,11 +186,11 @@ def enrich_skip_self(spark, sf):
 
 
 def gold_loans_q(spark, sf):
-    return _round_total(gold_loans(spark, sf, AS_OF))
+    return gold_loans(spark, sf, AS_OF)
 
 
 def gold_repayments_q(spark, sf):
-    return _round_total(gold_repayments(spark, sf, AS_OF))
+    return gold_repayments(spark, sf, AS_OF)
 
 
 def gold_borrowers_q(spark, sf):
@@ -309,7 +304,7 @@ def null_split_job(spark, sf):
 def gold_hot_loan(spark, sf):
     """Repayments, a third of them of one loan, with their loan's own aggregate."""
     facts = hot_loan_view(spark, sf)
-    return _round_total(enrich(facts, "repayments_cleaned", standard_lookups(repayment_summary=facts)))
+    return enrich(facts, "repayments_cleaned", standard_lookups(repayment_summary=facts))
 
 
 def amount_candidates(spark, sf):
