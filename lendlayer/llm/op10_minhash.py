@@ -4,11 +4,15 @@ A document's set holds the distinct word shingles of its whole text. Two permuta
 one shifted circularly, give all signature coordinates; bands of them are bucket keys.
 Documents with the same set form a class, and one of them stands for it. Then
 
-1. in each bucket every class is compared with a few *centres* of the bucket, and the
-   confirmed links make first components;
-2. in buckets whose classes are still in several components, the classes outside the
-   bucket's largest component are compared with all classes of the bucket, block by block.
-   A pair that meets in several buckets is compared in the first.
+1. in each bucket every class is compared with the bucket's *centre*, the class whose id
+   has the least hash, and the confirmed links make first components. The hash does not
+   depend on the bucket, so the many buckets of one large group have few centres between them;
+2. in buckets whose classes are still in several components, those outside the bucket's
+   largest component are compared with another centre, of that component, and the
+   components grow. This is repeated ``CENTRES - 1`` times, each time by another hash and for the classes that are left;
+3. in buckets that are still mixed, the classes outside the largest component are compared
+   with all classes of the bucket, block by block. A pair that meets in several buckets is
+   compared in the first.
 
 So each pair that shares a bucket is confirmed or refuted on the full sets unless other
 links already join it: no link is lost to a cap, and no list of pairs is ever made. Links
@@ -30,7 +34,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lendlayer.llm import minhash
@@ -38,8 +42,8 @@ from lendlayer.llm.frames import keep, plain_documents, ready
 from lendlayer.llm.textkit import column_texts
 
 BANDS, ROWS = 40, 6
-#: Centres of a bucket that all its classes are compared with at first.
-CENTRES = 2
+#: Rounds of comparing classes with one centre of their bucket.
+CENTRES = 3
 #: Classes that are compared with one copy of a centre.
 COMPARED_TOGETHER = 512
 #: Classes in a block of the second comparison.
@@ -127,9 +131,8 @@ def _confirm_centres(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFra
     return dealt.mapInArrow(compare, f"a {id_type}, b {id_type}")
 
 
-def _confirm_rest(members: DataFrame, labels: DataFrame, sets: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
-    """Links inside buckets whose classes are still in several components."""
-    id_type = sets.schema["cid"].dataType.simpleString()
+def _mixed(members: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Members with their component, and the buckets that hold several: bucket, main (its largest), blocks, outer."""
     labelled = members.join(labels, "cid", "left").select("bucket", "band", "cid", F.coalesce("comp", "cid").alias("comp"))
     parts = labelled.groupBy("bucket", "comp").agg(F.count("*").alias("n"))
     mixed = (
@@ -138,6 +141,28 @@ def _confirm_rest(members: DataFrame, labels: DataFrame, sets: DataFrame, reps:
         .filter("kinds > 1 and all > 2")
         .select("bucket", "main", F.ceil(F.col("all") / BLOCK).cast("bigint").alias("blocks"), F.ceil((F.col("all") - F.col("most")) / BLOCK).cast("bigint").alias("outer"))
     )
+    return labelled, mixed
+
+
+def _least_hash(seed: int) -> Column:
+    return F.min(F.struct(F.xxhash64("cid", F.lit(seed)).alias("h"), "cid"))["cid"].alias("centre")
+
+
+def _centre_pairs(members: DataFrame, labels: DataFrame | None, seed: int) -> DataFrame:
+    """(cid, centre): each class with its buckets' centres; once there are labels, those outside a bucket's main component."""
+    if labels is None:
+        asking, centres = members, members.groupBy("bucket").agg(_least_hash(seed))
+    else:
+        labelled, mixed = _mixed(members, labels)
+        rows = keep(labelled.join(mixed.select("bucket", "main"), "bucket"), "mixed_rows")
+        asking, centres = rows.filter("comp <> main"), rows.filter("comp = main").groupBy("bucket").agg(_least_hash(seed))
+    return asking.join(centres, "bucket").filter("cid <> centre").select("cid", "centre").distinct()
+
+
+def _confirm_rest(members: DataFrame, labels: DataFrame, sets: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
+    """Links inside buckets whose classes are still in several components."""
+    id_type = sets.schema["cid"].dataType.simpleString()
+    labelled, mixed = _mixed(members, labels)
     mixed = keep(mixed, "mixed")
     rows = labelled.join(mixed, "bucket").withColumn("outside", F.col("comp") != F.col("main"))
     span = lambda n: F.sequence(F.lit(0).cast("bigint"), F.col(n) - 1)
@@ -206,6 +231,10 @@ def components(links: DataFrame) -> DataFrame:
         edges = after
 
 
+def _as_links(labels: DataFrame) -> DataFrame:
+    return labels.select(F.col("cid").alias("a"), F.col("comp").alias("b"))
+
+
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id (the least id reachable over links), kept."""
     sketched = keep(sketches(docs, k, id_col, text_col), "sketches")
@@ -217,20 +246,25 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
     reps = of_class.filter("doc_id = cid").select("cid", "bands").dropDuplicates(["cid"])
     reps = keep(reps, "reps")
     placed = reps.select("cid", F.posexplode("bands").alias("band", "bucket"))
-    orders = [F.min(F.struct(F.xxhash64("cid", "bucket", F.lit(s)).alias("h"), "cid"))["cid"].alias(f"c{s}") for s in range(CENTRES)]
-    buckets = keep(placed.groupBy("bucket").agg(F.count("*").alias("n"), *orders).filter("n > 1").drop("n"), "buckets")
-    members = keep(placed.join(buckets, "bucket"), "members")
-    pairs = members.select("cid", F.explode(F.array_distinct(F.array(*[f"c{s}" for s in range(CENTRES)]))).alias("centre")).filter("cid != centre")
-    pairs = keep(pairs.distinct(), "pairs")
+    buckets = placed.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1").select("bucket")
+    members = keep(placed.join(buckets, "bucket").select("bucket", "band", "cid"), "members")
     active = members.select(F.col("cid").alias("w_id")).distinct()
     plain = plain_documents(docs, id_col, text_col)
     wanted = plain.join(active.hint("shuffle_hash"), F.col("doc_id") == F.col("w_id")).select("doc_id", "text")
     sets = keep(shingle_table(wanted, k).dropDuplicates(["cid"]), "sets")
-    links = keep(_confirm_centres(pairs, sets, percent), "links")
-    labels = components(links)
-    more = keep(_confirm_rest(members.select("bucket", "band", "cid"), labels, sets, reps, percent), "more")
+    labels = None
+    for seed in range(CENTRES):
+        pairs = keep(_centre_pairs(members, labels, seed), "pairs")
+        if labels is not None and pairs.isEmpty():
+            break
+        links = keep(_confirm_centres(pairs, sets, percent), "links")
+        if labels is None:
+            labels = components(links)
+        elif not links.isEmpty():
+            labels = components(_as_links(labels).union(links))
+    more = keep(_confirm_rest(members, labels, sets, reps, percent), "more")
     if not more.isEmpty():
-        labels = components(labels.select(F.col("cid").alias("a"), F.col("comp").alias("b")).union(more))
+        labels = components(_as_links(labels).union(more))
     labels = labels.withColumnRenamed("cid", "l_id")
     linked = owners.join(labels, F.col("cid") == F.col("l_id"), "left").select("doc_id", "n_shingles", F.coalesce("comp", "cid").alias("component_id"))
     alone = sketched.filter("n_shingles = 0 or doc_id is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))

@@ -49,12 +49,33 @@ def _raking() -> str:
     return ",\n".join(steps) + f",\nfitted AS (SELECT * FROM {last})"
 
 
+# The largest relative margin error of the parts under the caps.
+_ERROR = "greatest(" + ", ".join(f"max(abs(_m_{d} / aim_{d} - 1)) OVER ()" for d in ("source", "lang", "topic")) + ")"
+
+_MARGINS = ", ".join(f"sum(least(w, cap)) OVER (PARTITION BY {d}) AS _m_{d}" for d in ("source", "lang", "topic"))
+_MARGIN_NAMES = ", ".join(f"_m_{d}" for d in ("source", "lang", "topic"))
+
+
+def _capped_block() -> str:
+    """Five capped rounds from the recursion's last rows, while the margins don't fit and the last block helped."""
+    inner = "SELECT * FROM held WHERE err > 1e-4 AND it < 40 AND (it = 0 OR err <= 0.99 * before)"
+    for _ in range(5):
+        for d in ("source", "lang", "topic"):
+            part = f"OVER (PARTITION BY {d})"
+            inner = (
+                f"SELECT * EXCLUDE (m, stuck, free) REPLACE (w * CASE WHEN m < aim_{d} AND free > 0 THEN (aim_{d} - stuck) / free "
+                f"WHEN m > aim_{d} THEN aim_{d} / m ELSE 1.0 END AS w) FROM (SELECT *, sum(least(w, cap)) {part} AS m, "
+                f"sum(CASE WHEN w >= cap THEN cap ELSE 0.0 END) {part} AS stuck, sum(CASE WHEN w >= cap THEN 0.0 ELSE w END) {part} AS free FROM ({inner}))"
+            )
+    return inner
+
+
 _AIM = """aim_{d} AS (SELECT k, power(have, 0.7) / sum(power(have, 0.7)) OVER () AS target
   FROM (SELECT {d} AS k, sum(tokens)::DOUBLE AS have FROM cells GROUP BY {d}))"""
 
 OP2 = (
     rf"""
-WITH w AS (
+WITH RECURSIVE w AS (
   SELECT doc_id, source, lang, regexp_extract_all(coalesce(text, ''), '{_WORDS}') AS words FROM documents
 ), t AS (
   SELECT doc_id, source, lang, len(words) AS tokens,
@@ -68,8 +89,30 @@ WITH w AS (
     + ",\nfit0 AS (SELECT source, lang, topic, tokens, tokens::DOUBLE AS w FROM cells),\n"
     + _raking()
     + """,
-s AS (SELECT least(0.7 * sum(tokens) / sum(w), 1 / max(w / tokens)) AS scale FROM fitted),
-odds AS (SELECT source, lang, topic, w, least(1.0, w / tokens * scale) AS p FROM fitted, s)
+whole AS (SELECT sum(tokens)::DOUBLE AS t, sum(w) AS w, 0.7 * sum(tokens) / sum(w) AS scale, max(w / tokens) AS most FROM fitted),
+aims AS MATERIALIZED (
+  SELECT f.*, x.target AS aim_source, y.target AS aim_lang, z.target AS aim_topic FROM fitted f
+  JOIN aim_source x ON x.k IS NOT DISTINCT FROM f.source JOIN aim_lang y ON y.k IS NOT DISTINCT FROM f.lang
+  JOIN aim_topic z ON z.k IS NOT DISTINCT FROM f.topic
+),
+begun AS (SELECT a.* REPLACE (a.w / whole.w AS w), a.w AS raked, tokens / (0.7 * t) AS cap FROM aims a, whole),
+"""
+    + f"""held AS (
+  SELECT 0 AS it, * EXCLUDE ({_MARGIN_NAMES}), {_ERROR} AS err, 1e300::DOUBLE AS before FROM (SELECT *, {_MARGINS} FROM begun)
+  UNION ALL
+  SELECT it + 1, * EXCLUDE (it, err, before, {_MARGIN_NAMES}), {_ERROR}, err FROM (SELECT *, {_MARGINS} FROM ({_capped_block()}))
+),
+done AS MATERIALIZED (SELECT * FROM held WHERE it = (SELECT max(it) FROM held)),
+newton AS (
+  SELECT 0.7 * t / (SELECT sum(w) FROM done) AS scale, 0::DOUBLE AS last FROM whole
+  UNION ALL
+  SELECT raised, scale FROM (
+    SELECT n.scale, (0.7 * any_value(t) - sum(CASE WHEN d.w * n.scale >= tokens THEN tokens ELSE 0 END)) / nullif(sum(CASE WHEN d.w * n.scale >= tokens THEN 0 ELSE d.w END), 0) AS raised
+    FROM newton n, done d, whole GROUP BY n.scale
+  ) WHERE raised > scale * (1 + 1e-12)
+),
+s AS (SELECT whole.scale * most > 1 AS capped, CASE WHEN whole.scale * most > 1 THEN (SELECT max(scale) FROM newton) ELSE whole.scale END AS scale FROM whole),
+odds AS (SELECT source, lang, topic, raked AS w, least(1.0, CASE WHEN capped THEN w ELSE raked END / tokens * scale) AS p FROM done, s)
 SELECT r.doc_id, r.source, r.lang, r.topic, r.tokens, round(coalesce(w, 0.0), 9) AS weight, round(coalesce(p, 0.7), 6) AS probability,
        ('0x' || substr(md5('42:' || coalesce(r.doc_id::VARCHAR, '')), 1, 13))::BIGINT / power(16.0, 13) < coalesce(p, 0.7) AS sampled
 FROM r LEFT JOIN odds o ON o.source IS NOT DISTINCT FROM r.source AND o.lang IS NOT DISTINCT FROM r.lang AND o.topic = r.topic
@@ -91,9 +134,8 @@ WITH c AS (
 ), v AS (
   SELECT *, ord = 1 AND first_tokens > 0 AS opening, total - tokens - first_tokens AS p, total - first_tokens AS q,
          greatest(1024 - 256 - first_tokens, 256) AS room,
-         length('<|im_start|>') + length(replace(replace(replace(role, '', '\'), '<|', '<\|'), chr(10), '<
-')) + 1
-         + length(replace(replace(text, '', '\'), '<|', '<\|')) + length('<|im_end|>') + 1 AS chars FROM u
+         length('<|im_start|>') + length(replace(replace(replace(role, '\', '\\'), '<|', '<\|'), chr(10), '<\n')) + 1
+         + length(replace(replace(text, '\', '\\'), '<|', '<\|')) + length('<|im_end|>') + 1 AS chars FROM u
 ), x AS (
   SELECT *, CASE WHEN opening OR p = 0 THEN 0 ELSE 2 * (p // room) + CASE WHEN (q - 1) // room > p // room THEN 1 ELSE 0 END END AS win FROM v
 ), wins AS (SELECT conv_id, win, min(p) AS p0 FROM x WHERE NOT opening GROUP BY ALL),
