@@ -42,6 +42,8 @@ class Lookup:
     only_missing: bool = False
     skip_for: frozenset[str] = frozenset()
     fill: Mapping[str, Any] = field(default_factory=dict)
+    #: The business id behind ``key``, where that is a column derived from it.
+    made_from: str | None = None
 
 
 def left_join(df: DataFrame, lookup: DataFrame, key: str) -> DataFrame:
@@ -94,6 +96,15 @@ def enrich(df: DataFrame, table: str | None, lookups: Sequence[Lookup]) -> DataF
     return df.fillna(present) if present else df
 
 
+def unmatched_lookups(df: DataFrame, table: str | None, lookups: Sequence[Lookup]) -> list[str]:
+    """Lookups that :func:`enrich` leaves out though ``df`` has their business id, each with the reason."""
+    return [
+        f"join {lk.name} left out: the table has {lk.made_from} but no {lk.key}"
+        for lk in lookups
+        if lk.made_from in df.columns and lk.key not in df.columns and not (table is not None and table in lk.skip_for)
+    ]
+
+
 def borrower_lookup(borrowers: DataFrame) -> DataFrame:
     """Distinct ``(borrower_id, borrower_name)`` pairs."""
     return borrowers.select("borrower_id", F.col("full_name").alias("borrower_name")).dropDuplicates()
@@ -168,7 +179,8 @@ def standard_lookups(
     if borrowers is not None:
         out.append(Lookup("borrower", "borrower_id", borrower_lookup(borrowers)))
     if officers is not None:
-        out.append(Lookup("officer", officer_join_key(officers), officer_lookup(officers)))
+        key = officer_join_key(officers)
+        out.append(Lookup("officer", key, officer_lookup(officers), made_from="officer_id" if key != "officer_id" else None))
     if repayment_summary is not None:
         out.append(
             Lookup(

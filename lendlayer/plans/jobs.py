@@ -24,8 +24,9 @@ from pyspark.sql.types import StructType
 
 from lendlayer.functions.standardize import add_officer_key, normalize_officer_id, officer_id_expr, standardize
 from lendlayer.layout import Layout, gold_name, reject_name, silver_name, undecided_name
+from lendlayer.operators.archive import union_by_name
 from lendlayer.operators.derive import derive_loan_columns, stamp_processing_date
-from lendlayer.operators.enrich import Lookup, enrich, standard_lookups
+from lendlayer.operators.enrich import Lookup, enrich, standard_lookups, unmatched_lookups
 from lendlayer.functions.names import present_columns
 from lendlayer.operators.quality import CRITICAL_COLUMNS, DEFAULT_RULES, Rule, any_null, split_quality
 from lendlayer.sources.catalog import list_tables
@@ -197,6 +198,26 @@ def bronze_to_silver(
     return _each(tables, one, parallelism)
 
 
+#: The table of all rejects, in the reject layer.
+ARCHIVE = "reject_archive"
+
+
+def archive_rejects(spark: SparkSession, layout: Layout, tables: Sequence[str], as_of: dt.date | None = None) -> ReportRow:
+    """Unite the reject tables of ``tables`` by column name in ``reject.reject_archive``.
+
+    A row says which table it is from and when it was archived; columns its table lacks are
+    typed nulls. Tables whose columns clash in type are refused. The archive is partitioned by
+    table, and every run replaces it.
+    """
+    try:
+        rejects = {t: spark.table(layout.table("reject", reject_name(t))) for t in tables}
+        united = stamp_processing_date(union_by_name(rejects), as_of)
+        rows = overwrite_counted(united, layout.table("reject", ARCHIVE), ["table_name"], staged=True)
+        return ReportRow("reject", ARCHIVE, "ok", rows_in=sum(df.count() for df in rejects.values()), rows_out=rows)
+    except Exception as exc:  # noqa: BLE001 - isolation: report and go on
+        return _failed("reject", ARCHIVE, exc)
+
+
 @dataclass(frozen=True)
 class GoldSources:
     """Silver tables the lookups are built from (missing ones just skip their join)."""
@@ -267,11 +288,12 @@ def silver_to_gold(
         try:
             df = spark.table(layout.table("silver", table))
             rows_in = df.count()  # from the footers
+            left_out = unmatched_lookups(df, table, lookups)
             gold = stamp_processing_date(enrich(derive_loan_columns(df, as_of), table, lookups), as_of)
             rows_out = overwrite_counted(
                 gold, layout.table("gold", gold_name(table)), (partition_by or {}).get(table), staged=True
             )
-            return ReportRow("gold", table, "ok", rows_in=rows_in, rows_out=rows_out)
+            return ReportRow("gold", table, "ok", rows_in=rows_in, rows_out=rows_out, error="; ".join(left_out) or None)
         except Exception as exc:  # noqa: BLE001
             return _failed("gold", table, exc)
 

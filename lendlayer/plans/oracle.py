@@ -512,3 +512,78 @@ ORACLE.update(
         ),
     }
 )
+
+
+def _rejects(table: str, tagged: str, cols: str) -> str:
+    key = f"TRY_CAST(replace(officer_id, 'O', '0') AS INTEGER) AS officer_key, " if "officer_id" in cols else ""
+    return (
+        f"SELECT '{table}' AS table_name, {cols}, {key}dq_status AS reject_reason, {AS_OF_SQL} AS processing_date "
+        f"FROM {tagged} WHERE dq_status IN {REASONS_SQL}"
+    )
+
+
+_RUN_TABLES = (
+    ("borrower_profile", "tb", BORROWER_COLS),
+    ("loan_history", "tl", LOAN_COLS),
+    ("repayment_summary", "tr", REPAYMENT_COLS),
+    ("loan_officers", "tof2", OFFICER_COLS),
+    ("branch_master_dirty", "tbr", BRANCH_COLS),
+)
+_TAGGED = tuple(tagged for _, tagged, _ in _RUN_TABLES)
+_NO_COUNTS = ", ".join(f"CAST(NULL AS BIGINT) AS {c}" for c in ("rows_in", "rows_valid", "rows_duplicate", "rows_reject", "rows_unknown", "rows_out"))
+
+
+def _failure(layer: str, table: str, status: str) -> str:
+    return f"SELECT '{layer}' AS layer, '{table}' AS table_name, '{status}' AS status, {_NO_COUNTS}, true AS error_given"
+
+
+ORACLE.update(
+    {
+        "stream_dq_unknown": q(f"SELECT {BORROWER_COLS} FROM tb, (VALUES (1), (2)) AS copies(n) WHERE dq_status = 'UNKNOWN'", "tb"),
+        "overwrite_versions": q(
+            "SELECT *, CAST(loan_amount AS DOUBLE) * CAST(exchange_rate AS DOUBLE) AS loan_amount_inr, "
+            "CAST(interest_rate_bps AS DOUBLE) / 100 AS interest_rate_pct, tenure_years * 12 AS tenure_months, "
+            f"CASE WHEN due_date < {AS_OF_SQL} THEN 1 ELSE 0 END AS is_overdue, count(*) OVER () AS rows_written FROM loan",
+            "loan",
+        ),
+        "write_split_tables": q(
+            f"SELECT DISTINCT 'clean' AS part, {BORROWER_COLS}, CAST(NULL AS VARCHAR) AS reject_reason FROM tb WHERE dq_status = 'VALID' "
+            f"UNION ALL SELECT 'reject', {BORROWER_COLS}, dq_status FROM tb WHERE dq_status IN {REASONS_SQL} "
+            f"UNION ALL SELECT 'undecided', {BORROWER_COLS}, NULL FROM tb WHERE dq_status = 'UNKNOWN'",
+            "tb",
+        ),
+        "reject_archive": q("\nUNION ALL BY NAME\n".join(_rejects(*t) for t in _RUN_TABLES), *_TAGGED),
+        "failure_report": q(
+            "\nUNION ALL\n".join(
+                [
+                    f"SELECT *, false AS error_given FROM ({silver_row('borrower_profile', 'tb', BORROWER_COLS)})",
+                    f"SELECT *, false FROM ({silver_row('loan_history', 'tl', LOAN_COLS)})",
+                    _failure("silver", "branch_master_dirty", "failed"),
+                    _failure("silver", "never_landed", "failed"),
+                    _failure("gold", "loan_officers_cleaned", "missing_lookup"),
+                    _failure("gold", "repayment_summary_cleaned", "failed_lookup"),
+                    _failure("gold", "branch_master_dirty_cleaned", "missing_lookup"),
+                    f"SELECT *, false FROM ({gold_row('borrower_profile_cleaned', 'vb', '(SELECT * FROM vb LEFT JOIN bl2 USING (borrower_id))')})",
+                    f"SELECT *, false FROM ({gold_row('loan_history_cleaned', 'vl', '(SELECT * FROM vl LEFT JOIN bl2 USING (borrower_id))')})",
+                    _failure("gold", "never_landed_cleaned", "failed"),
+                ]
+            ),
+            "vb",
+            "bl2",
+            "vl",
+        ),
+        "catalog_driven_gold": GOLD_LOANS,
+        "catalog_listing": q(
+            "\nUNION ALL\n".join(
+                f"SELECT 'silver' AS layer, '{t}_cleaned' AS table_name, count(*) AS rows FROM (SELECT DISTINCT {c} FROM {x} WHERE dq_status = 'VALID') "
+                f"UNION ALL SELECT 'reject', '{t}', count(*) FROM {x} WHERE dq_status IN {REASONS_SQL} "
+                f"UNION ALL SELECT 'reject', '{t}_undecided', count(*) FROM {x} WHERE dq_status = 'UNKNOWN'"
+                for t, x, c in _RUN_TABLES
+            ),
+            *_TAGGED,
+        ),
+        "namespace_scan": q("SELECT * FROM borrower", "borrower"),
+        "preview_rows": q("SELECT * FROM loan ORDER BY loan_id LIMIT 20", "loan"),
+        "json_multiline": q("SELECT *, concat('say \"}, {\" \\ to [', loan_id, chr(10)) AS remark FROM loan", "loan"),
+    }
+)

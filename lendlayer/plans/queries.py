@@ -13,7 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lendlayer.functions.standardize import add_officer_key, normalize_officer_id, standardize
-from lendlayer.layout import Layout
+from lendlayer.layout import Layout, gold_name, silver_name
+from lendlayer.operators.archive import union_by_name
 from lendlayer.operators.derive import derive_loan_columns
 from lendlayer.operators.enrich import (
     borrower_lookup,
@@ -25,7 +26,18 @@ from lendlayer.operators.enrich import (
 )
 from lendlayer.operators.quality import key_check, rule_violations, split_critical, split_quality
 from lendlayer.plans.flagship import AS_OF, gold_borrowers, gold_loans, gold_repayments
-from lendlayer.plans.jobs import ingest_file, repair_officer_ids, report_frame, run_all, seed_file, split_nulls
+from lendlayer.plans.jobs import (
+    ARCHIVE,
+    archive_rejects,
+    bronze_to_silver,
+    ingest_file,
+    repair_officer_ids,
+    report_frame,
+    run_all,
+    seed_file,
+    silver_to_gold,
+    split_nulls,
+)
 from lendlayer.plans.views import (
     borrower_view,
     branch_view,
@@ -36,10 +48,11 @@ from lendlayer.plans.views import (
     unparsed_officer_view,
 )
 from lendlayer.session import scratch_path
+from lendlayer.sources.catalog import list_tables, preview, use_namespace
 from lendlayer.sources.files import write_csv, write_json
 from lendlayer.sources.seeds import create_table, insert_frame
-from lendlayer.sources.sinks import overwrite_table
-from lendlayer.streaming.quality_stream import start_quality_streams
+from lendlayer.sources.sinks import overwrite_counted, overwrite_from_self, overwrite_table, write_split
+from lendlayer.streaming.quality_stream import BATCH, start_quality_streams
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -353,7 +366,109 @@ def run_report(spark, sf):
     return report.select(*REPORT_COLUMNS)
 
 
-def _streamed_borrowers(spark, sf) -> tuple[str, str]:
+def overwrite_versions(spark, sf):
+    """A table replaced three times: from loans, from other columns, from itself; its rows and the last count."""
+    name = _layout(spark, "versions").table("silver", "loan_history_cleaned")
+    overwrite_table(loan_view(spark, sf), name, staged=True)
+    overwrite_table(officer_view(spark, sf), name, staged=True)
+    overwrite_counted(loan_view(spark, sf), name, staged=True)
+    written = overwrite_from_self(spark, derive_loan_columns(spark.table(name), AS_OF), name)
+    return spark.table(name).withColumn("rows_written", F.lit(written).cast("bigint"))
+
+
+def write_split_tables(spark, sf):
+    """Borrowers split into clean, reject and undecided tables by one write; all three read back."""
+    layout = _layout(spark, "split")
+    names = {"clean": layout.table("silver", "p_cleaned"), "reject": layout.table("reject", "p"), "undecided": layout.table("reject", "p_undecided")}
+    write_split(split_quality(_borrowers(spark, sf)), names["clean"], names["reject"], unknown_table=names["undecided"])
+    return union_by_name({part: spark.table(name) for part, name in names.items()}, tag="part")
+
+
+def _landed(spark, sf, tag: str) -> Layout:
+    layout = _layout(spark, tag)
+    for table, view in RUN_BRONZE.items():
+        overwrite_table(view(spark, sf), layout.table("bronze", table))
+    return layout
+
+
+BRANCH_ALIAS = {"branch_master_dirty": "branch_master"}
+
+
+def reject_archive(spark, sf):
+    """The rejects of five tables in one, columns merged by name."""
+    layout = _landed(spark, sf, "archive")
+    bronze_to_silver(spark, layout, list(RUN_BRONZE), aliases=BRANCH_ALIAS, parallelism=3)
+    archive_rejects(spark, layout, list(RUN_BRONZE), AS_OF)
+    return spark.table(layout.table("reject", ARCHIVE))
+
+
+def failure_report(spark, sf):
+    """A run with a table whose names clash, one that was never landed, and a lookup that can't be computed; the rest go on."""
+    layout = _layout(spark, "failures")
+    for table in ("borrower_profile", "loan_history"):
+        overwrite_table(RUN_BRONZE[table](spark, sf), layout.table("bronze", table))
+    branches = branch_view(spark, sf)
+    overwrite_table(branches.toDF("Branch ID", "branch_id", *branches.columns[2:]), layout.table("bronze", "branch_master_dirty"))
+    text = repayment_view(spark, sf).select("loan_id", F.concat(F.lit("INR "), F.col("amount_in_inr").cast("string")).alias("amount_in_inr"))
+    overwrite_table(text, layout.table("silver", "repayment_summary_cleaned"))
+    report = bronze_to_silver(spark, layout, ["borrower_profile", "loan_history", "branch_master_dirty", "never_landed"])
+    report += silver_to_gold(spark, layout, ["borrower_profile_cleaned", "loan_history_cleaned", "never_landed_cleaned"], as_of=AS_OF)
+    return report_frame(spark, report).select(*REPORT_COLUMNS, F.col("error").isNotNull().alias("error_given"))
+
+
+def catalog_driven_gold(spark, sf):
+    """Gold built for whatever the silver database lists; the rows of the written loan table."""
+    layout = _landed(spark, sf, "catalog")
+    bronze_to_silver(spark, layout, list(RUN_BRONZE), aliases=BRANCH_ALIAS, parallelism=3)
+    silver_to_gold(spark, layout, as_of=AS_OF, parallelism=3)
+    written = list_tables(spark, layout.database("gold"))
+    return spark.table(layout.table("gold", written[written.index(gold_name(silver_name("loan_history")))]))
+
+
+def catalog_listing(spark, sf):
+    """The tables that the silver and reject databases list, with the rows each holds."""
+    layout = _landed(spark, sf, "listing")
+    bronze_to_silver(spark, layout, list(RUN_BRONZE), aliases=BRANCH_ALIAS, parallelism=3)
+    out = None
+    for layer, suffix in (("silver", "_cleaned"), ("reject", None)):
+        for table in list_tables(spark, layout.database(layer), suffix):
+            held = spark.table(layout.table(layer, table)).agg(F.count("*").alias("rows"))
+            row = held.select(F.lit(layer).alias("layer"), F.lit(table).alias("table_name"), "rows")
+            out = row if out is None else out.unionByName(row)
+    return out
+
+
+def namespace_scan(spark, sf):
+    """A landed table read by its bare name from its selected namespace."""
+    layout = _layout(spark, "namespace")
+    overwrite_table(borrower_view(spark, sf), layout.table("bronze", "customer_metadata"))
+    before = spark.catalog.currentDatabase()
+    try:
+        use_namespace(spark, layout.database("bronze"), catalog="spark_catalog")
+        return spark.table("customer_metadata")
+    finally:
+        use_namespace(spark, before)
+
+
+def preview_rows(spark, sf):
+    """The first 20 loans by id (the limit is the feature)."""
+    return preview(loan_view(spark, sf).orderBy("loan_id"), 20)
+
+
+def json_multiline(spark, sf):
+    """Loans as one pretty-printed JSON array in one file, landed in the default mode."""
+    layout = _layout(spark, "jsonarray")
+    path = f"{layout.location}/landing/loan_array"
+    remark = F.concat(F.lit('say "}, {" \\ to ['), F.col("loan_id"), F.lit("\n"))
+    loans = loan_view(spark, sf).withColumn("remark", remark).coalesce(1)
+    opening = F.when(F.monotonically_increasing_id() == 0, "[").otherwise(",")
+    lines = loans.select(F.concat(opening, F.to_json(F.struct("*"), {"pretty": "true"})).alias("value"))
+    lines.union(spark.range(1).select(F.lit("]"))).coalesce(1).write.text(path)
+    ingest_file(spark, layout, path, "loan_applications", LOAN_DDL + ", remark STRING", fmt="json")
+    return spark.table(layout.table("bronze", "loan_applications"))
+
+
+def _streamed_borrowers(spark, sf) -> str:
     """Land the borrowers twice (a replayed delivery), stream them through the split.
 
     The second delivery lands after the first one was streamed, so only the
@@ -371,16 +486,21 @@ def _streamed_borrowers(spark, sf) -> tuple[str, str]:
             silver_path=f"{root}/silver",
             reject_path=f"{root}/reject",
             checkpoint_path=f"{root}/_checkpoints",
+            unknown_path=f"{root}/unknown",
         ).await_termination()
-    return f"{root}/silver", f"{root}/reject"
+    return root
 
 
 def stream_dq_valid(spark, sf):
-    return spark.read.parquet(_streamed_borrowers(spark, sf)[0])
+    return spark.read.parquet(f"{_streamed_borrowers(spark, sf)}/silver")
 
 
 def stream_dq_reject(spark, sf):
-    return spark.read.parquet(_streamed_borrowers(spark, sf)[1])
+    return spark.read.parquet(f"{_streamed_borrowers(spark, sf)}/reject").drop(BATCH)
+
+
+def stream_dq_unknown(spark, sf):
+    return spark.read.parquet(f"{_streamed_borrowers(spark, sf)}/unknown").drop(BATCH)
 
 
 QUERIES: dict[str, Query] = {
@@ -434,4 +554,14 @@ QUERIES: dict[str, Query] = {
     "amount_candidates": amount_candidates,
     "stream_dq_valid": stream_dq_valid,
     "stream_dq_reject": stream_dq_reject,
+    "stream_dq_unknown": stream_dq_unknown,
+    "overwrite_versions": overwrite_versions,
+    "write_split_tables": write_split_tables,
+    "reject_archive": reject_archive,
+    "failure_report": failure_report,
+    "catalog_driven_gold": catalog_driven_gold,
+    "catalog_listing": catalog_listing,
+    "namespace_scan": namespace_scan,
+    "preview_rows": preview_rows,
+    "json_multiline": json_multiline,
 }

@@ -1,16 +1,20 @@
-"""Incremental bronze -> silver: the same data-quality split over a landing folder.
+"""Incremental bronze -> silver: the same data-quality split over a landing folder, read once.
 
 Files landing in a folder (parquet, CSV or JSON lines, with a declared schema) are
-standardised, tagged by the rule registry and split into two streaming queries:
-
-* clean rows -> ``silver_path``, de-duplicated on whole rows *across* micro-batches
-  (streaming ``dropDuplicates``: each distinct row is emitted once, ever; the
-  seen-rows state lives in RocksDB, snapshotted to the checkpoint);
-* rejected rows with their reason -> ``reject_path`` (copies kept).
-
-Rows whose rule result is NULL (``on_unknown="drop"``) reach neither sink, as in
-the batch split; a third query writes them to ``unknown_path`` if one is given. No row
-is ever dropped for being late. All queries checkpoint to the shared folder, so a restarted or
+standardised and tagged by the rule registry in one streaming query. Each of its batches is
+read once and feeds every sink:
+
+* rejected rows with their reason -> ``reject_path``, and rows whose rule result is NULL
+  (``on_unknown="drop"``) -> ``unknown_path`` if one is given, copies kept, in a folder of the batch
+  (partition column ``dq_batch``). A batch that runs again after a failure replaces its own
+  folder, so it adds nothing;
+* clean rows -> a hand-over folder beside the checkpoint, from which a second query writes
+  ``silver_path``, de-duplicated on whole rows *across* batches (streaming
+  ``dropDuplicates``: each distinct row is emitted once, ever; the seen-rows state lives in RocksDB,
+  snapshotted to the checkpoint). Rows that a replayed batch hands over again are copies like any other;
+  files that have been taken over are deleted.
+
+No row is ever dropped for being late. Both queries checkpoint to the shared folder, so a restarted or
 failed query resumes exactly where it stopped. ``available_now=True`` processes
 everything that has landed and then stops (incremental batch); otherwise the
 queries keep running on ``processing_time``.
@@ -18,11 +22,12 @@ queries keep running on ``processing_time``.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass, replace
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from pyspark.sql.types import StructType
 
 from lendlayer.functions.standardize import add_officer_key, standardize
@@ -33,15 +38,18 @@ STREAM_CONF = {
 }
 
 
+#: Partition column of the reject and undecided sinks: the batch that wrote a row.
+BATCH = "dq_batch"
+
+
 @dataclass(frozen=True)
 class QualityStreams:
+    split: StreamingQuery
     silver: StreamingQuery
-    reject: StreamingQuery
-    unknown: StreamingQuery | None = None
 
     @property
     def queries(self) -> tuple[StreamingQuery, ...]:
-        return tuple(q for q in (self.silver, self.reject, self.unknown) if q is not None)
+        return self.split, self.silver
 
     def await_termination(self, timeout: float | None = None) -> None:
         """Wait for the queries (``available_now`` runs end by themselves); with a
@@ -101,12 +109,14 @@ def start_quality_streams(
     max_files_per_trigger: int | None = None,
     unknown_path: str | None = None,
 ) -> QualityStreams:
-    """Start the clean and reject streaming queries for one landing folder.
+    """Start the split of one landing folder and the query that de-duplicates its clean rows.
+
+    With ``available_now`` this returns when all that has landed is split and the clean
+    rows' query runs over what it handed over.
 
     The de-duplication is exact over all time; its state is kept in RocksDB (off-heap,
     snapshotted to the checkpoint), set on a session of its own so that the caller's
-    settings stay as they are. With ``unknown_path`` the rows no rule can decide (dropped
-    from both other sinks under ``on_unknown="drop"``) are written there.
+    settings stay as they are.
     """
     own = spark.newSession()
     for key, value in STREAM_CONF.items():
@@ -114,20 +124,37 @@ def start_quality_streams(
     split = stream_split(
         read_landing(own, landing_path, schema, fmt, max_files_per_trigger), table, rules, aliases, on_unknown
     )
-    clean = split.valid
-
-    def sink(df: DataFrame, path: str, name: str) -> StreamingQuery:
-        writer = (
-            df.writeStream.format("parquet")
-            .option("path", path)
-            .option("checkpointLocation", f"{checkpoint_path.rstrip('/')}/{name}")
-            .outputMode("append")
-        )
-        writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=processing_time)
-        return writer.start()
-
-    return QualityStreams(
-        silver=sink(clean, silver_path, "silver"),
-        reject=sink(split.reject, reject_path, "reject"),
-        unknown=sink(split.unknown, unknown_path, "unknown") if unknown_path else None,
-    )
+    if BATCH in split.columns:
+        raise ValueError(f"the landing folder already has a column {BATCH!r}")
+    root = checkpoint_path.rstrip("/")
+    handed = f"{root}/clean"
+    clean_schema = split.valid_with_duplicates.schema
+    own.createDataFrame([], clean_schema).write.mode("append").parquet(handed)  # the folder is there before its reader
+
+    def started(writer: DataStreamWriter, name: str) -> StreamingQuery:
+        writer = writer.option("checkpointLocation", f"{root}/{name}").outputMode("append")
+        return (writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=processing_time)).start()
+
+    feed = batch_sinks(split, handed, reject_path, unknown_path)
+    splitting = started(split.tagged.writeStream.foreachBatch(feed), "split")
+    if available_now:
+        splitting.awaitTermination()
+    stream = own.readStream.schema(clean_schema).option("recursiveFileLookup", True).option("cleanSource", "delete").parquet(handed)
+    writer = stream.dropDuplicates().writeStream.format("parquet").option("path", silver_path)
+    return QualityStreams(splitting, started(writer, "silver"))
+
+
+def batch_sinks(split: QualitySplit, clean_path: str, reject_path: str, unknown_path: str | None) -> Callable[[DataFrame, int], None]:
+    """The writer of one tagged batch to all sinks: the batch is read once, kept while it is written, and let go."""
+
+    def feed(batch: DataFrame, batch_id: int) -> None:
+        kept = replace(split, tagged=batch.persist(StorageLevel.MEMORY_AND_DISK))
+        try:
+            kept.valid_with_duplicates.write.mode("append").parquet(clean_path)
+            kept.reject.write.mode("overwrite").parquet(f"{reject_path.rstrip('/')}/{BATCH}={batch_id}")
+            if unknown_path:
+                kept.unknown.write.mode("overwrite").parquet(f"{unknown_path.rstrip('/')}/{BATCH}={batch_id}")
+        finally:
+            kept.tagged.unpersist()
+
+    return feed

@@ -1,6 +1,10 @@
 """Incremental split: equals the batch split, de-duplicates across batches and restarts."""
 
+import os
+
+import pytest
 from conftest import rows
+
 from lendlayer.operators.quality import split_quality
 from lendlayer.streaming.quality_stream import start_quality_streams
 
@@ -54,3 +58,60 @@ def test_stream_keeps_late_undecided_and_unparsable_rows(spark, tmp_dir):
     assert [r.borrower_id for r in spark.read.parquet(f"{tmp_dir}/unknown").collect()] == ["B1003"]
     assert [r.officer_id for r in spark.read.parquet(f"{tmp_dir}/reject").collect()] == ["O104"]
     assert spark.conf.get(key, None) == before
+
+
+def test_one_read_a_batch(spark, tmp_dir):
+    for _ in range(3):
+        spark.createDataFrame(FIRST, DDL).coalesce(1).write.mode("append").parquet(f"{tmp_dir}/landing")
+    streams = start_quality_streams(
+        spark, f"{tmp_dir}/landing", DDL, "borrower_profile", f"{tmp_dir}/silver", f"{tmp_dir}/reject", f"{tmp_dir}/_ckpt",
+        max_files_per_trigger=1, unknown_path=f"{tmp_dir}/unknown",
+    )
+    streams.await_termination()
+    read = [p["numInputRows"] for p in streams.split.recentProgress]
+    assert [n for n in read if n] == [len(FIRST)] * 3
+    assert spark.read.parquet(f"{tmp_dir}/reject").count() == 6 and spark.read.parquet(f"{tmp_dir}/unknown").count() == 3
+
+
+def test_a_replayed_batch_adds_nothing(spark, tmp_dir):
+    """The driver dies between a batch's writes and its commit: the batch runs again on restart."""
+    for data in (FIRST, SECOND):
+        spark.createDataFrame(data, DDL).coalesce(1).write.mode("append").parquet(f"{tmp_dir}/landing")
+        _start(spark, tmp_dir).await_termination()
+
+    def state():
+        return rows(spark.read.parquet(f"{tmp_dir}/silver")), rows(spark.read.parquet(f"{tmp_dir}/reject"))
+
+    before = state()
+    last = max(int(f) for f in os.listdir(f"{tmp_dir}/_ckpt/split/commits") if f.isdigit())
+    for name in (f"{last}", f".{last}.crc"):
+        os.remove(f"{tmp_dir}/_ckpt/split/commits/{name}")
+    streams = _start(spark, tmp_dir)
+    streams.await_termination()
+    assert [p["batchId"] for p in streams.split.recentProgress if p["numInputRows"]] == [last]
+    assert state() == before
+
+
+def test_a_batch_that_fails_midway_is_written_once(spark, tmp_dir, monkeypatch):
+    from lendlayer.streaming import quality_stream
+
+    spark.createDataFrame(FIRST, DDL).coalesce(1).write.mode("append").parquet(f"{tmp_dir}/landing")
+    real = quality_stream.batch_sinks
+
+    def failing(split, clean, reject, unknown):
+        feed = real(split, clean, reject, unknown)
+
+        def work(batch, batch_id):
+            feed(batch, batch_id)
+            raise RuntimeError("lost")
+
+        return work
+
+    monkeypatch.setattr(quality_stream, "batch_sinks", failing)
+    with pytest.raises(Exception, match="lost"):
+        _start(spark, tmp_dir)
+    monkeypatch.undo()
+    _start(spark, tmp_dir).await_termination()
+    batch = split_quality(spark.createDataFrame(FIRST, DDL), "borrower_profile")
+    assert rows(spark.read.parquet(f"{tmp_dir}/silver")) == rows(batch.valid)
+    assert len(rows(spark.read.parquet(f"{tmp_dir}/reject"))) == batch.reject.count()
