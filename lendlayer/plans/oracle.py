@@ -587,3 +587,4 @@ ORACLE.update(
         "json_multiline": q("SELECT *, concat('say \"}, {\" \\ to [', loan_id, chr(10)) AS remark FROM loan", "loan"),
     }
 )
+ORACLE["key_check_sketched"] = ORACLE["key_check"]

@@ -24,6 +24,7 @@ from lendlayer.operators.enrich import (
     repayment_aggregates,
     standard_lookups,
 )
+from lendlayer.operators.keys import key_check_sketched
 from lendlayer.operators.quality import key_check, rule_violations, split_critical, split_quality
 from lendlayer.plans.flagship import AS_OF, gold_borrowers, gold_loans, gold_repayments
 from lendlayer.plans.jobs import (
@@ -214,6 +215,10 @@ def key_check_q(spark, sf):
     return key_check(repayment_view(spark, sf), ["loan_id", "emi_number"])
 
 
+def key_check_sketched_q(spark, sf):
+    return key_check_sketched(repayment_view(spark, sf), ["loan_id", "emi_number"])
+
+
 def _layout(spark: SparkSession, tag: str) -> Layout:
     """A private set of layer databases under the shared scratch folder."""
     return Layout(prefix=f"ll{uuid.uuid4().hex[:10]}_", location=scratch_path(spark, tag)).create(spark)
@@ -539,6 +544,7 @@ QUERIES: dict[str, Query] = {
     "gold_repayments": gold_repayments_q,
     "gold_borrowers": gold_borrowers_q,
     "key_check": key_check_q,
+    "key_check_sketched": key_check_sketched_q,
     "csv_roundtrip": csv_roundtrip,
     "json_roundtrip": json_roundtrip,
     "seed_insert": seed_insert,
