@@ -38,8 +38,11 @@ MIN_ASSIGNED, MIN_ACCESS = 8, 16
 
 #: A line break in plain text, in a string literal (any depth of escaping) or in quoted mail, where marks follow it.
 BREAK = r"(?:(?:\r?\n|\r)[\x20\t>|]*|(?:\\{1,8}[nr])+)"
-ARMOUR = re.compile(r"-----BEGIN ([A-Z0-9 ]*)PRIVATE KEY-----((?:[A-Za-z0-9+/=\s:,>|\"'-]|\\{1,8}[nrt/u]|\\{1,8}(?=[\r\n\"']))*?)-----END \1PRIVATE KEY-----")
-SIGNED = re.compile(r"[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{4,}\.[A-Za-z0-9_-]+")
+ARMOUR = re.compile(r"-----(BEGIN|END) ([A-Z0-9 ]*)PRIVATE KEY-----")
+ARMOURED = re.compile(r"(?:[A-Za-z0-9+/=\s:,>|\"'-]|\\{1,8}[nrt/u]|\\{1,8}(?=[\r\n\"']))*+")
+#: Three or more parts with dots between, from the start of a part on.
+DOTTED = re.compile(r"(?<![A-Za-z0-9_-])[A-Za-z0-9_-]++(?:\.[A-Za-z0-9_-]++){2,}+")
+MIN_HEADER, MIN_PAYLOAD = 8, 4
 # the letter of a literal \n is no part of a run
 ENCODED = re.compile(r"(?!(?<=\\)[nr])[A-Za-z0-9+/_-]{40,}={0,2}")
 HEX_ANY = re.compile(r"(?:[0-9A-Fa-f]{2}){32,}")
@@ -47,9 +50,10 @@ HEX_ANY = re.compile(r"(?:[0-9A-Fa-f]{2}){32,}")
 WRAPPED = re.compile(rf"(?:(?<![A-Za-z0-9+/_=-])|(?<=\\[nr]))(?!(?<=\\)[nr])([A-Za-z0-9+/_-]{{32,}})((?:{BREAK}[A-Za-z0-9+/_-]+)*={{0,2}})(?![A-Za-z0-9+/_=-])")
 _BREAK = re.compile(BREAK)
 
-#: A row is looked at closely if it has one of these words or a run this long.
+#: A row is looked at closely if it has one of these words, a run this long, or a run as long as the
+#: shortest signed token with two dots in it.
 HINTS = re.compile(rb"password|passwd|secret|token|api_?key|akia|-----begin")
-RUN = 32
+RUN, TOKEN_RUN = 32, MIN_HEADER + MIN_PAYLOAD + 3
 _RUN = np.zeros(256, dtype=bool)
 _RUN[list(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-.")] = True
 
@@ -225,9 +229,15 @@ def _wrapped(text: str) -> list[tuple[int, int, int]]:
 def confirmed_spans(text: str) -> list[tuple[int, int, int]]:
     """(start, kind, end) of candidates whose decoded structure holds."""
     out = []
-    for m in ARMOUR.finditer(text):
-        if _kind_of(_armoured(m.group(2))) is not None:
-            out.append((m.start(), 3, m.end()))
+    begin = None
+    for m in ARMOUR.finditer(text):  # an end belongs to the beginning right before it
+        if m.group(1) == "BEGIN":
+            begin = m
+        elif begin is not None:
+            body = text[begin.end() : m.start()]
+            if begin.group(2) == m.group(2) and ARMOURED.fullmatch(body) and _kind_of(_armoured(body)) is not None:
+                out.append((begin.start(), 3, m.end()))
+            begin = None
     inside = [(a, b) for a, _, b in out]
     free = lambda x, y: not any(a <= x and y <= b for a, b in inside)
     wrapped = [(a, k, b) for a, k, b in _wrapped(text) if free(a, b)]
@@ -241,10 +251,26 @@ def confirmed_spans(text: str) -> list[tuple[int, int, int]]:
         kind = _kind_of(bytes.fromhex(m.group())) if free(m.start(), m.end()) else None
         if kind is not None:
             out.append((m.start(), kind, m.end()))
-    out += [(m.start(), 6, m.end()) for m in SIGNED.finditer(text) if is_signed_token(m.group())]
+    out += [(a, 6, b) for m in DOTTED.finditer(text) for a, b in _signed(m.group(), m.start())]
     return sorted(set(out))
 
 
+def _signed(run: str, at: int) -> list[tuple[int, int]]:
+    """Signed tokens among the parts of a dotted run that starts at ``at``."""
+    parts, starts = run.split("."), [at]
+    for p in parts:
+        starts.append(starts[-1] + len(p) + 1)
+    out, i = [], 0
+    while i + 2 < len(parts):
+        header, payload, signature = parts[i : i + 3]
+        if len(header) >= MIN_HEADER and len(payload) >= MIN_PAYLOAD and is_signed_token(f"{header}.{payload}.{signature}"):
+            out.append((starts[i], starts[i + 3] - 1))
+            i += 3
+        else:
+            i += 1
+    return out
+
+
 def find_secrets(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
     """Base spans, and all spans in order."""
     base = base_spans(text)
@@ -252,17 +278,19 @@ def find_secrets(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int,
 
 
 def _rows_to_read(texts) -> np.ndarray:
-    """Rows of a slice that have a hint or a long run (any span of any kind needs one)."""
+    """Rows of a slice that have a hint, a long run, or a run that may hold a signed token (any span needs one of these)."""
     data = texts.data
     inside = np.concatenate([[False], _RUN[data], [False]])
     turns = np.flatnonzero(inside[1:] != inside[:-1])
     starts, ends = turns[::2], turns[1::2]
-    at = [starts[ends - starts >= RUN]]
+    dots = np.concatenate([[0], np.cumsum(data == ord("."))])
+    some = (ends - starts >= RUN) | (ends - starts >= TOKEN_RUN) & (dots[ends] - dots[starts] >= 2)
+    at = [starts[some]]
     at.append(np.array([m.start() for m in HINTS.finditer(LOWER[data].tobytes())], dtype=np.int64))
     # a run across the border of two rows is cut by neither test; both rows are read
     found = np.concatenate(at)
     rows = np.searchsorted(texts.offsets, found, side="right") - 1
-    over = np.searchsorted(texts.offsets, np.concatenate([ends[ends - starts >= RUN] - 1, at[1]]), side="right") - 1
+    over = np.searchsorted(texts.offsets, np.concatenate([ends[some] - 1, at[1]]), side="right") - 1
     spans = [np.arange(a, b + 1) for a, b in zip(rows.tolist(), over.tolist())]
     return np.unique(np.concatenate(spans)) if spans else np.empty(0, np.int64)
 

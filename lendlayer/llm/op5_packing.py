@@ -2,12 +2,14 @@
 
 Documents are encoded, ended with one separator id and cut (only those longer than a
 sequence) so that all pieces but the first are full. The pieces are dealt by hash to
-partitions of bounded size and packed there by best-fit decreasing. Dual feasible
+partitions of bounded size (by a number they get when they are written, so null and repeated
+ids spread like any other) and packed there by best-fit decreasing. Dual feasible
 functions give a lower bound of each partition's bins: where the count meets it, the
 packing is proven best and stays. Partitions with a gap, and bins less than half full,
 give their unfilled bins up: those pieces are dealt anew over fewer, mixed partitions and
 packed again, for a few rounds or until no gap is left. A rerun that needs more bins than it
-replaces is dropped.
+replaces is dropped. Every row says how many bins its partition has and the bound, so what is
+left uncertified can be seen.
 
 A partition holds a bounded number of small rows (ids travel only in
 :func:`sequences`), so a hot source or one huge document changes nothing.
@@ -23,7 +25,6 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -35,7 +36,6 @@ from lendlayer.llm.op6_token_counts import blocks
 SEPARATOR = 0
 #: Pieces in a partition, about: its packing is one task's work on a few MB.
 PIECES_PER_PARTITION = 1 << 16
-_PLACE = "doc_id, piece, start, length, ids_crc32, round, part, bin, offset, fill, n_bins, bound"
 
 
 def tokenize_pieces(
@@ -141,21 +141,26 @@ def _deal(pieces: DataFrame, rows: int, seed: int, capacity: int) -> DataFrame:
     parts = max(1, -(-rows // PIECES_PER_PARTITION))
     id_type = pieces.schema["doc_id"].dataType.simpleString()
     schema = (
-        f"doc_id {id_type}, piece int, start bigint, length bigint, ids_crc32 bigint, round int, part bigint, "
+        f"doc_id {id_type}, piece int, start bigint, length bigint, ids_crc32 bigint, nr bigint, round int, part bigint, "
         "bin bigint, offset bigint, fill bigint, n_bins bigint, bound bigint"
     )
 
-    def pack(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["length", "doc_id", "piece"], ascending=[False, True, True], kind="stable")
-        lengths = rows["length"].to_numpy()
+    def pack(rows: pa.Table) -> pa.Table:
+        lengths, number = rows.column("length").to_numpy(), rows.column("nr").to_numpy()
+        order = np.lexsort((number, -lengths))
+        rows, lengths = rows.take(pa.array(order)), lengths[order]
         place, offset, fill = best_fit(lengths, capacity)
-        return rows.assign(
-            round=np.int32(seed), part=np.int64(key[0]), bin=place, offset=offset, fill=fill[place] if len(place) else place,
-            n_bins=np.int64(len(fill)), bound=np.int64(bin_bound(lengths, capacity)),
-        )[[c.strip() for c in _PLACE.split(",")]]
+        part, n = rows.column("part")[0].as_py(), rows.num_rows
+        made = {
+            "round": pa.array(np.full(n, seed, np.int32)), "part": pa.array(np.full(n, part, np.int64)), "bin": pa.array(np.asarray(place, np.int64)),
+            "offset": pa.array(np.asarray(offset, np.int64)), "fill": pa.array(np.asarray(fill[place], np.int64)),
+            "n_bins": pa.array(np.full(n, len(fill), np.int64)), "bound": pa.array(np.full(n, bin_bound(lengths, capacity), np.int64)),
+        }
+        kept = rows.select(["doc_id", "piece", "start", "length", "ids_crc32", "nr"])
+        return pa.table({**{c: kept.column(c) for c in kept.column_names}, **made})
 
-    part = F.pmod(F.xxhash64("doc_id", "piece", "start", F.lit(seed)), F.lit(parts)).alias("part")
-    return pieces.select("doc_id", "piece", "start", "length", "ids_crc32", part).groupBy("part").applyInPandas(pack, schema)
+    part = F.pmod(F.xxhash64("nr", F.lit(seed)), F.lit(parts)).alias("part")
+    return pieces.select("doc_id", "piece", "start", "length", "ids_crc32", "nr", part).groupBy("part").applyInArrow(pack, schema)
 
 
 def _bins(packed: DataFrame) -> int:
@@ -163,8 +168,8 @@ def _bins(packed: DataFrame) -> int:
 
 
 def pack_pieces(pieces: DataFrame, capacity: int = 2048, rounds: int = 3) -> DataFrame:
-    """Adds sequence_id and offset to the rows of :func:`tokenize_pieces` (without ids)."""
-    pieces = keep(pieces, "pieces")
+    """Adds sequence_id and offset to the rows of :func:`tokenize_pieces` (without ids), with their partition's bins and lower bound."""
+    pieces = keep(pieces.withColumn("nr", F.monotonically_increasing_id()), "pieces")
     # A full piece is a sequence of its own and certified by itself.
     packed = keep(_deal(pieces, pieces.count(), 0, capacity), "packed")
     settled: list[DataFrame] = []
@@ -184,7 +189,9 @@ def pack_pieces(pieces: DataFrame, capacity: int = 2048, rounds: int = 3) -> Dat
     for other in settled:
         packed = packed.unionByName(other)
     sequence = F.shiftleft(F.col("round").cast("long"), 58) + F.shiftleft(F.col("part"), 24) + F.col("bin")
-    return packed.select("doc_id", "piece", "start", "length", "ids_crc32", sequence.alias("sequence_id"), "offset")
+    return packed.select(
+        "doc_id", "piece", "start", "length", "ids_crc32", sequence.alias("sequence_id"), "offset", F.col("n_bins").alias("part_bins"), F.col("bound").alias("part_bound")
+    )
 
 
 def pack_documents(docs: DataFrame, path: str, capacity: int = 2048, rounds: int = 3, **columns: str) -> DataFrame:

@@ -9,6 +9,7 @@ rows spread over the cluster, and only their hashes come together.
 Equal fingerprints are not trusted: every text of a group is compared chunk by chunk with
 the text that would stay. The chunks of a group are dealt to salted buckets that each hold
 a copy of that text's chunk, so neither a huge text nor a huge group meets in one task.
+Rows that repeat both id and text are compared once, however many they are.
 Texts that differ from it after all are told apart by their digests.
 
 Null text counts as empty, and empty texts equal each other. A null id is greater than any
@@ -156,17 +157,22 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return one.unionByName(many)
 
 
-def _unequal(docs: DataFrame, grouped: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(doc_id, raw) of texts that differ from the first text of their fingerprint's group."""
+def _unequal(docs: DataFrame, members: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(doc_id, raw) of texts that differ from the first text of their fingerprint's group.
+
+    ``members``: doc_id, raw, fp, n_bytes, first, salts, times; one row for each different id and text of a group.
+    """
     text = text_of(text_col)
     plain = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("raw"), text.alias("text"))
-    wanted = grouped.select(
-        F.col("doc_id").alias("w_id"), F.col("raw").alias("w_raw"), "fp", "n_bytes", F.col("doc_id").eqNullSafe(F.col("rep")).alias("first"),
-        F.ceil(F.col("n") / COMPARED_TOGETHER).cast("bigint").alias("salts"),
-    ).distinct()
-    found = plain.join(
+    wanted = members.withColumnsRenamed({"doc_id": "w_id", "raw": "w_raw"})
+    columns = ["doc_id", "raw", "fp", "n_bytes", "first", "salts"]
+    held = plain.join(
         wanted.hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col("w_id")) & (F.col("raw") == F.col("w_raw"))
-    ).select("doc_id", "raw", "fp", "n_bytes", "first", "salts", F.pmod(F.xxhash64("doc_id", "raw"), "salts").alias("salt"), "text")
+    )
+    # of repeated rows one text is compared; the map side brings them down to one a task
+    repeated = held.filter("times > 1").groupBy(*columns).agg(F.first("text").alias("text"))
+    found = held.filter("times = 1").select(*columns, "text").unionByName(repeated)
+    found = found.select(*columns, F.pmod(F.xxhash64("doc_id", "raw"), "salts").alias("salt"), "text")
     id_type = plain.schema["doc_id"].dataType.simpleString()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -210,13 +216,21 @@ def _unequal(docs: DataFrame, grouped: DataFrame, id_col: str, text_col: str) ->
 def _classes(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """doc_id, raw, keep_id, group_size, text_sha256, one row per row of ``docs``."""
     prints = keep(fingerprints(docs, id_col, text_col), "fingerprints")
-    groups = prints.groupBy("fp", "n_bytes").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n")).filter("n > 1")
+    units = prints.groupBy("fp", "n_bytes", "doc_id", "raw").agg(F.count("*").alias("times"))
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", "raw")).alias("least")
+    groups = units.groupBy("fp", "n_bytes").agg(least, F.sum("times").alias("n"), F.count("*").alias("units")).filter("n > 1")
+    groups = groups.select("fp", "n_bytes", F.col("least.doc_id").alias("rep"), F.col("least.raw").alias("rep_raw"), "n", "units")
     # As written tables both sides of these joins are plain shuffles, which can be split where a group is hot.
     groups = keep(groups, "groups").withColumnsRenamed({"fp": "g_fp", "n_bytes": "g_n"})
-    rows = keep(prints.join(groups, (F.col("fp") == F.col("g_fp")) & (F.col("n_bytes") == F.col("g_n")), "left").drop("g_fp", "g_n"), "rows")
+    rows = keep(prints.join(groups, (F.col("fp") == F.col("g_fp")) & (F.col("n_bytes") == F.col("g_n")), "left").drop("g_fp", "g_n", "rep", "rep_raw", "units"), "rows")
     single = rows.filter(F.col("n").isNull()).select("doc_id", "raw", F.col("doc_id").alias("keep_id"), F.lit(1).cast("bigint").alias("group_size"), "text_sha256")
     grouped = rows.filter(F.col("n").isNotNull())
-    odd = keep(_unequal(docs, grouped, id_col, text_col), "unequal").withColumnsRenamed({"doc_id": "o_id", "raw": "o_raw"})
+    first = F.col("doc_id").eqNullSafe(F.col("rep")) & (F.col("raw") == F.col("rep_raw"))
+    several = groups.filter("units > 1")
+    members = units.join(several, (F.col("fp") == F.col("g_fp")) & (F.col("n_bytes") == F.col("g_n"))).select(
+        "doc_id", "raw", "fp", "n_bytes", first.alias("first"), F.ceil(F.col("units") / COMPARED_TOGETHER).cast("bigint").alias("salts"), "times"
+    )
+    odd = keep(_unequal(docs, members, id_col, text_col), "unequal").withColumnsRenamed({"doc_id": "o_id", "raw": "o_raw"})
     parted = grouped.join(odd, F.col("doc_id").eqNullSafe(F.col("o_id")) & (F.col("raw") == F.col("o_raw")), "left").select(
         "doc_id", "raw", "text_sha256", F.xxhash64("fp", "n_bytes").alias("p_key"), "fp", "n_bytes",
         F.when(F.col("o_raw").isNotNull(), F.col("text_sha256")).otherwise("").alias("apart"),
