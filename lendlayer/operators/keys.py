@@ -35,7 +35,7 @@ _PART, _POSITION, _SUSPECT = "__key_part", "__key_position", "__key_suspect"
 
 def _place(keys: Sequence[str], parts: int) -> list[Column]:
     """Part and position of a key: two separate ranges of bits of its hash."""
-    nulls = F.concat(*[qcol(k).isNull().cast("int").cast("string") for k in keys])
+    nulls = F.array(*[qcol(k).isNull() for k in keys])  # the hash skips nulls
     h = F.xxhash64(nulls, *[qcol(k) for k in keys])
     part = F.pmod(F.shiftrightunsigned(h, 32), F.lit(parts))
     return [part.cast("int").alias(_PART), F.pmod(h, F.lit(1 << 32)).alias(_POSITION)]

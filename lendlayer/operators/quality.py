@@ -358,7 +358,8 @@ class QualitySplit:
                 one.alias("_n"), F.min("_d3").alias("_least"), F.max("_d3").alias("_most")
             )
             met = per_digest.filter("_least = _most").select(outcome, "_n")
-            several = per_digest.filter("_least <> _most").select("_d1", "_d2", outcome)
+            # the count is part of the condition so that both branches read the same shuffle
+            several = per_digest.filter("_least <> _most and _n > 1").select("_d1", "_d2", outcome)
             again = tagged.select(*whole, outcome, low.alias("_d1"), high.alias("_d2"))
             again = again.join(F.broadcast(several), ["_d1", "_d2", outcome], "left_semi")  # pairs of rows in 2**128 digests
             met = met.unionByName(again.groupBy(*whole, outcome).agg(one.alias("_n")).select(outcome, "_n"))
@@ -379,7 +380,10 @@ def row_digest(df: DataFrame, columns: Sequence[str]) -> tuple[Column, Column, C
     types = dict(df.dtypes)
     if any(types[c] not in _HASHED and not types[c].startswith("decimal") for c in columns):
         return None
-    nulls = [F.concat(*[qcol(c).isNull().cast("int").cast("string") for c in columns])] if columns else []
+    nulls = [
+        functools.reduce(operator.add, [F.when(qcol(c).isNull(), 1 << i).otherwise(0) for i, c in enumerate(columns[at : at + 30])])
+        for at in range(0, len(columns), 30)
+    ]
     return tuple(F.xxhash64(F.lit(seed), *nulls, *[qcol(c) for c in columns]) for seed in DIGEST_SEEDS)
 
 

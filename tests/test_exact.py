@@ -7,7 +7,7 @@ from fractions import Fraction
 import pytest
 from conftest import SF_SMALL, rows
 from pyspark.sql import functions as F
-from test_plans import plan_text
+from test_plans import at_scale, plan_text  # noqa: F401
 
 from lendlayer.operators import quality
 from lendlayer.operators.enrich import exact_sum, repayment_aggregates
@@ -66,6 +66,12 @@ def test_counts_shuffle_digests_only(spark):
     assert not wide and "_d1" in final
 
 
+def test_digests_are_shuffled_once(at_scale):
+    """The branch that would fetch rows reads the same shuffle of digests; only its own scan is another."""
+    text = plan_text(Q.QUERIES["dq_summary"](at_scale, SF_SMALL), "simple")
+    assert text.count("FileScan") == 2 and "ReusedExchange" in text
+
+
 def fixed(values, digits=6):
     """Half-up rounding to the grid of the shortest decimal text, added exactly."""
     grid = 10**digits
