@@ -26,6 +26,11 @@ def undecided_name(table: str) -> str:
     return f"{table}_undecided"
 
 
+def versions_database(database: str) -> str:
+    """The database that holds the versions behind ``database``'s tables."""
+    return f"{database}__versions"
+
+
 def gold_name(silver_table: str) -> str:
     return f"{silver_table}_gold"
 

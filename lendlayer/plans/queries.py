@@ -6,6 +6,8 @@ whole of the given tables. Everything is returned exactly, sums too.
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import uuid
 from collections.abc import Callable
 
@@ -13,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lendlayer.functions.standardize import add_officer_key, normalize_officer_id, standardize
-from lendlayer.layout import Layout, gold_name, silver_name
+from lendlayer.layout import LAYERS, Layout, gold_name, silver_name, versions_database
 from lendlayer.operators.archive import union_by_name
 from lendlayer.operators.derive import derive_loan_columns
 from lendlayer.operators.enrich import (
@@ -220,8 +222,17 @@ def key_check_sketched_q(spark, sf):
 
 
 def _layout(spark: SparkSession, tag: str) -> Layout:
-    """A private set of layer databases under the shared scratch folder."""
-    return Layout(prefix=f"ll{uuid.uuid4().hex[:10]}_", location=scratch_path(spark, tag)).create(spark)
+    """A private set of layer databases under the shared scratch folder, dropped when the driver ends."""
+    layout = Layout(prefix=f"ll{uuid.uuid4().hex[:10]}_", location=scratch_path(spark, tag)).create(spark)
+    atexit.register(_drop, spark, layout)
+    return layout
+
+
+def _drop(spark: SparkSession, layout: Layout) -> None:
+    with contextlib.suppress(Exception):  # the session may be gone; its folder is then the platform's to clear
+        for layer in LAYERS if spark.sparkContext._jsc is not None else ():
+            for database in (layout.database(layer), versions_database(layout.database(layer))):
+                spark.sql(f"DROP DATABASE IF EXISTS {database} CASCADE")
 
 
 BORROWER_DDL = (

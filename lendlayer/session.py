@@ -4,7 +4,7 @@ On a cluster the session comes from the platform; nothing here overrides its set
 Scratch data (round trips, staged overwrites, checkpoints) always lives below the
 folder the cluster names in ``spark.checkpoint.dir``; only when that is unset (a bare
 local session, as in tests) is it a folder in the warehouse. No machine-local temporary
-folder is ever used.
+folder is ever used: on a cluster whose warehouse is one, the missing setting is an error.
 """
 
 from __future__ import annotations
@@ -41,6 +41,10 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     return spark
 
 
+def on_one_machine(master: str) -> bool:
+    return master == "local" or master.startswith(("local[", "local-cluster["))
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared checkpoint folder named by the session; set one only if none is set."""
     sc = spark.sparkContext
@@ -48,8 +52,11 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not root:
         root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not root:
-        # the warehouse is the one other folder that all machines of a cluster share
-        sc.setCheckpointDir(f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_checkpoints")
+        # the warehouse is the one other folder that all machines of a cluster share, if it is not on a machine's disk
+        warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+        if not on_one_machine(sc.master) and (":" not in warehouse or warehouse.startswith("file:")):
+            raise RuntimeError(f"set spark.checkpoint.dir to a folder that all machines share; the warehouse {warehouse} is local")
+        sc.setCheckpointDir(f"{warehouse}/_checkpoints")
         root = sc.getCheckpointDir()
     return root.rstrip("/")
 

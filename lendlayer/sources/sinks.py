@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lendlayer.functions.names import qcol, ref
+from lendlayer.layout import versions_database
 from lendlayer.operators.quality import REASONS, REJECT_REASON, STATUS, UNKNOWN, VALID, QualitySplit
 
 # Columns of a split's version beside the data, and its parts.
@@ -52,7 +53,7 @@ def _split_name(spark: SparkSession, name: str) -> tuple[str, str, str]:
 
 def _versions_database(spark: SparkSession, catalog: str, database: str) -> str:
     """The database of versions beside ``database``, made on first use at a folder beside its own."""
-    versions = _quoted(catalog, f"{database}__versions")
+    versions = _quoted(catalog, versions_database(database))
     about = {r[0]: r[1] for r in spark.sql(f"DESCRIBE DATABASE {_quoted(catalog, database)}").collect()}
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {versions} LOCATION '{about['Location'].rstrip('/')}__versions'")
     return versions
