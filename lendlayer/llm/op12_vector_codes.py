@@ -191,6 +191,14 @@ def _integers(column: pa.ListArray, length: int) -> np.ndarray:
     return scaled.astype(np.int64).reshape(len(column), length)
 
 
+def _narrow(x: np.ndarray) -> np.ndarray:
+    """Integers in the fewest bytes that hold them, so a block's trees stay near the size of its vectors."""
+    if x.dtype.kind != "i" or not x.size:
+        return x
+    fits = (t for t in (np.int8, np.int16, np.int32, np.int64) if np.iinfo(t).min <= x.min() and x.max() <= np.iinfo(t).max)
+    return x.astype(next(fits))
+
+
 def _plant(length: int):
     """Arrow map (vec_id, label, vector) -> blocks of ids, labels and trees."""
 
@@ -202,7 +210,7 @@ def _plant(length: int):
                 saved = io.BytesIO()
                 width = length // PARTS
                 trees = (build_tree(numbers[:, p * width : (p + 1) * width]) for p in range(PARTS))
-                np.savez(saved, **{f"{p}_{name}": x for p, tree in enumerate(trees) for name, x in tree.items()})
+                np.savez(saved, **{f"{p}_{name}": _narrow(x) for p, tree in enumerate(trees) for name, x in tree.items()})
                 ends = pa.array([0, block.num_rows], pa.int32())
                 lists = [pa.ListArray.from_arrays(ends, block.column(c)) for c in ("vec_id", "label")]
                 yield pa.RecordBatch.from_arrays([*lists, pa.array([saved.getvalue()], pa.binary())], names=["vec_ids", "labels", "trees"])
