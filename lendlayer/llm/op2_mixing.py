@@ -1,8 +1,8 @@
 """Mixing sources to target weights by raking (DataFrame functions only).
 
 Documents fall into cells of source, language and topic. Iterative proportional fitting
-scales the cells' token weights to the target shares of one dimension after the other until
-all three margins fit. A document is then sampled with a probability in proportion to its
+scales the cells' token weights to the target shares of one dimension after the other, for
+:data:`ROUNDS` rounds; :func:`margin_error` says how far the margins are off then. A document is then sampled with a probability in proportion to its
 cell's weight per token, scaled so that ``keep_share`` of all tokens are expected to stay. If
 a cell would need more than it has, it is kept whole and the raking goes on with the cells
 held at what they have: the others of its source, language and topic make up for it, so a

@@ -9,13 +9,14 @@ Windows hold whole turns. Prefix sums of the turns' tokens cut a conversation in
 equal size (the budget without the leading system turn and the share kept for history);
 the turns inside a cell form a window, and a turn that crosses into the next cell forms
 one of its own. So a window's place depends on its own prefix sum alone and no task walks a
-whole conversation. Only a turn that is larger than a cell makes a window over budget, which
-is marked. Each window begins with the system turn and with as many of the turns just before
+whole conversation. A turn that is larger than a cell makes a window over budget, and a system turn that leaves
+less of the budget than the history share makes all windows so, as they repeat it; such windows are marked. Each window begins with the system turn and with as many of the turns just before
 it as the history share holds. The loss covers each assistant text in the one window where
 it is not a repetition.
 
 Prefix sums go over blocks of turn numbers first and over the blocks' totals then, so a
-conversation with a third of all rows is spread like any other.
+conversation with a third of all rows is spread like any other, as long as its turn numbers differ: rows that share
+one turn number (or have none) are ordered by one task, which spills.
 
 Null texts and roles count as empty; null turns come first and null conversation ids form
 one conversation; ties are ordered by role and text, and repeated rows are turns of their
