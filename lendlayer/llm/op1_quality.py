@@ -99,15 +99,21 @@ def project(row: np.ndarray, term: np.ndarray, weight: np.ndarray, n: int, space
 
 
 def votes(vectors: np.ndarray, labelled: np.ndarray, label: np.ndarray, neighbours: int) -> np.ndarray:
-    """Similarity-weighted share of label 1 among the nearest labelled vectors, 0.5 where none is similar."""
+    """Similarity-weighted share of label 1 among the nearest labelled vectors, 0.5 where none is similar.
+
+    Of labelled vectors that are equally near the first ones vote.
+    """
     out = np.full(len(vectors), 0.5)
     k = min(neighbours, len(labelled))
     for i in range(0, len(vectors) if k else 0, BLOCK):
         cosine = vectors[i : i + BLOCK] @ labelled.T
-        near = np.argpartition(-cosine, k - 1, axis=1)[:, :k]
-        weight = np.maximum(np.take_along_axis(cosine, near, axis=1), 0).astype(np.float64)
+        last = np.partition(cosine, len(labelled) - k, axis=1)[:, len(labelled) - k, None]
+        nearer, tied = cosine > last, cosine == last
+        some = np.flatnonzero(tied.sum(axis=1) > k - nearer.sum(axis=1))  # more are as near as the last one than have a vote
+        tied[some] &= np.cumsum(tied[some], axis=1) <= (k - nearer[some].sum(axis=1))[:, None]
+        weight = np.where(nearer | tied, np.maximum(cosine, 0), 0).astype(np.float64)
         total = weight.sum(axis=1)
-        share = (weight * label[near]).sum(axis=1) / np.maximum(total, 1e-12)
+        share = weight @ label / np.maximum(total, 1e-12)
         out[i : i + BLOCK] = np.where(total > 1e-9, share, 0.5)
     return np.clip(out, 0.0, 1.0)
 
@@ -130,7 +136,8 @@ def fit(sample: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
                     ["label", "term", "weight"],
                 )
 
-    got = sample.mapInArrow(weigh, "label int, term array<int>, weight array<float>").toArrow().combine_chunks()
+    # one order of the sample, so that ties and rounding do not depend on its partitions
+    got = sample.orderBy(F.xxhash64("text"), "text").mapInArrow(weigh, "label int, term array<int>, weight array<float>").toArrow().combine_chunks()
     label = got["label"].to_numpy().astype(np.float64)
     n = len(label)
     if not n:

@@ -115,3 +115,20 @@ def test_samples_hold_one_row_an_id(spark):
     labels = spark.createDataFrame([(1, 1), (1, 0), (2, 0), (2, 0), (None, 1), (3, None)], "doc_id long, quality int")
     both = [tuple(sorted(tuple(r) for r in labelled_sample(docs.repartition(n), labels.repartition(n), "quality", 5, 4, {0: 10, 1: 10}).collect())) for n in (1, 3)]
     assert both[0] == both[1] and len(both[0]) <= 2 and (0, "b") in both[0]
+
+
+def test_votes_of_equally_near_vectors():
+    from lendlayer.llm.op1_quality import votes
+
+    rng = np.random.default_rng(3)
+    some = rng.standard_normal((40, 6)).astype(np.float32)
+    labelled = np.concatenate([some[:5]] * 6 + [some]).astype(np.float32)  # five vectors seven times
+    label = rng.integers(0, 2, len(labelled)).astype(np.float64)
+    vectors = np.concatenate([some, np.zeros((2, 6), np.float32)])
+    for k in (1, 3, 15, 200):
+        got = votes(vectors, labelled, label, k)
+        for v, g in zip(vectors, got):
+            cosine = labelled @ v
+            near = sorted(range(len(labelled)), key=lambda i: (-cosine[i], i))[:k]
+            weight = np.maximum(cosine[near], 0).astype(float)
+            assert g == pytest.approx((weight * label[near]).sum() / weight.sum() if weight.sum() > 1e-9 else 0.5, abs=1e-5)
