@@ -342,7 +342,7 @@ class QualitySplit:
         the branch when no digest is listed; before 10**15 rows one is not to be expected).
         Maps and other columns that can't be hashed are compared whole.
         """
-        label = F.when(F.col(STATUS) == VALID, "valid").when(F.col(STATUS) == UNKNOWN, "unknown").otherwise(F.col(STATUS))
+        label = F.expr(f"CASE {STATUS} WHEN '{VALID}' THEN 'valid' WHEN '{UNKNOWN}' THEN 'unknown' ELSE {STATUS} END")
         whole = [ref(c) for c in self.columns]
         outcome = "__dq_outcome"
         tagged = self.tagged.withColumn(outcome, label)
@@ -381,10 +381,11 @@ def row_digest(df: DataFrame, columns: Sequence[str]) -> tuple[Column, Column, C
     if any(types[c] not in _HASHED and not types[c].startswith("decimal") for c in columns):
         return None
     nulls = [
-        functools.reduce(operator.add, [F.when(qcol(c).isNull(), 1 << i).otherwise(0) for i, c in enumerate(columns[at : at + 30])])
-        for at in range(0, len(columns), 30)
+        " + ".join(f"if({ref(c)} is null, {1 << i}, 0)" for i, c in enumerate(columns[at : at + 30])) for at in range(0, len(columns), 30)
     ]
-    return tuple(F.xxhash64(F.lit(seed), *nulls, *[qcol(c) for c in columns]) for seed in DIGEST_SEEDS)
+    hashed = ", ".join([*nulls, *[ref(c) for c in columns]])
+    # from SQL text: one call each, not several per column
+    return tuple(F.expr(f"xxhash64({', '.join([str(seed), hashed]) if hashed else seed})") for seed in DIGEST_SEEDS)
 
 
 def split_quality(
