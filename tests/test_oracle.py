@@ -13,7 +13,7 @@ from lendlayer.plans.oracle import ORACLE
 from lendlayer.plans.queries import QUERIES
 
 TABLES = "region nation customer supplier part orders lineitem".split()
-SPARK_TO_DUCK = {"string": "VARCHAR", "int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "date": "DATE"}
+SPARK_TO_DUCK = {"string": "VARCHAR", "int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "date": "DATE", "boolean": "BOOLEAN"}
 
 
 def _norm(v):
