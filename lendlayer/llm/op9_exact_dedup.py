@@ -9,7 +9,7 @@ rows spread over the cluster, and only their hashes come together.
 Equal fingerprints are not trusted: every text of a group is compared chunk by chunk with
 the text that would stay. The chunks of a group are dealt to salted buckets that each hold
 a copy of that text's chunk, so neither a huge text nor a huge group meets in one task.
-Rows that repeat both id and text are compared once, however many they are.
+Of rows that repeat both id and text one is compared, however many they are.
 Texts that differ from it after all are told apart by their digests.
 
 Null text counts as empty, and empty texts equal each other. A null id is greater than any
@@ -165,22 +165,23 @@ def _unequal(docs: DataFrame, members: DataFrame, id_col: str, text_col: str) ->
     text = text_of(text_col)
     plain = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("raw"), text.alias("text"))
     wanted = members.withColumnsRenamed({"doc_id": "w_id", "raw": "w_raw"})
-    columns = ["doc_id", "raw", "fp", "n_bytes", "first", "salts"]
-    held = plain.join(
+    found = plain.join(
         wanted.hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col("w_id")) & (F.col("raw") == F.col("w_raw"))
-    )
-    # of repeated rows one text is compared; the map side brings them down to one a task
-    repeated = held.filter("times > 1").groupBy(*columns).agg(F.first("text").alias("text"))
-    found = held.filter("times = 1").select(*columns, "text").unionByName(repeated)
-    found = found.select(*columns, F.pmod(F.xxhash64("doc_id", "raw"), "salts").alias("salt"), "text")
+    ).select("doc_id", "raw", "fp", "n_bytes", "first", "salts", F.pmod(F.xxhash64("doc_id", "raw"), "salts").alias("salt"), "text", "times")
     id_type = plain.schema["doc_id"].dataType.simpleString()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["doc_id", "raw", "fp", "n_bytes", "first", "salt", "seq", "chunk"]
+        seen: set = set()  # of repeated rows, which the join brings together, each task compares one
         for batch in batches:
             firsts, copies = batch.column(4).to_pylist(), batch.column(5).to_pylist()
-            own = batch.column(6).to_pylist()
+            own, times = batch.column(6).to_pylist(), batch.column(8).to_pylist()
             for row in range(len(batch)):
+                if times[row] > 1:
+                    key = (batch.column(0)[row].as_py(), batch.column(1)[row].as_py())
+                    if key in seen:
+                        continue
+                    seen.add(key)
                 parts = list(chunks_of(normalise(_binary(batch.column(7).slice(row, 1))[0])))
                 for salt in range(copies[row]) if firsts[row] else (own[row],):
                     n = len(parts)
