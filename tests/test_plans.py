@@ -149,3 +149,11 @@ def test_hot_loan_is_split_against_its_own_aggregate(skewed):
     got = out.collect()
     assert len(got) == n and sum(r.repayment_count_agg for r in got if r.loan_id == "L1") >= (n // 3) ** 2
     assert "skew=true" in plan_text(out, "simple")
+
+
+def test_rows_of_a_hot_loan_are_not_sorted(at_scale):
+    """The aggregates are hashed and the repayments stream past them, so no task holds a hot loan's rows."""
+    for name in ("gold_hot_loan", "gold_repayments"):
+        text = plan_text(Q.QUERIES[name](at_scale, SF_SMALL))
+        assert re.search(r"ShuffledHashJoin LeftOuter BuildRight.*?Left keys \[2\]: \[" + SPREAD_KEY + r"#\d+L?, loan_id#\d+\]", text, re.S), name
+    assert "Sort " not in plan_text(Q.QUERIES["gold_hot_loan"](at_scale, SF_SMALL), "simple")
