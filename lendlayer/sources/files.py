@@ -11,10 +11,13 @@ from __future__ import annotations
 
 import configparser
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from lendlayer.session import ready
+from lendlayer.sources.json_ranges import FRAGMENT, OBJECT, SUMMARY, cut, sum_up
+
 
 def read_csv(spark: SparkSession, path: str, schema: StructType | str, header: bool = True) -> DataFrame:
     return (
@@ -31,79 +34,51 @@ def read_json(spark: SparkSession, path: str, schema: StructType | str, multi_li
     return spark.read.schema(schema).json(path)
 
 
-def _count(text: Column, characters: str) -> Column:
-    return F.length(text) - F.length(F.translate(text, characters, ""))
-
-
 def read_json_documents(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
     """The objects of JSON files that hold an array of objects (or one object, or several in a row).
 
     Files are cut at every ``}`` instead of at line ends, so Spark reads one file in many byte
-    ranges. Whether a piece begins inside a string, and how deep in brackets, is not known
+    ranges. Whether a range begins inside a string, and how deep in brackets, is not known
     to the task that reads it. Each range is therefore summed up for both cases (quotes flip
     the one state, brackets outside strings move the other), the summaries of a file's
-    ranges, a row each, are combined from its start, and then every piece's place is known.
-    A piece that is a whole object is parsed where it is; only objects with braces inside (in
-    nested values or strings) are put together from several.
+    ranges, a row each, are combined from its start, and then every range's place is known.
+    Objects that lie in one range are put together and parsed where they are; only what a range
+    begins and ends with, when that belongs to an object of several ranges, moves to another task.
 
-    Rows move once, to the task of their byte range. Objects are parsed with ``from_json`` in permissive
+    The files are read three times (summaries, whole objects, the ranges' first and last pieces), which costs
+    far less than moving or sorting their text. Objects are parsed with ``from_json`` in permissive
     mode: a broken object is a row of nulls and its neighbours are unharmed. Elements of an array that are no objects are
     left out. In a file whose brackets don't balance, all from the fault on counts as one object.
     """
-    raw = spark.read.option("lineSep", "}").text(path).select(
+    raw = ready(spark).read.option("lineSep", "}").text(path).select(
         F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("at"), "value",
+        F.col("_metadata.file_block_length").alias("length"), "value",
     )
-    here = Window.partitionBy("file", "block").orderBy("at")
-    before = here.rowsBetween(Window.unboundedPreceding, -1)
-    plain = F.regexp_replace("value", r"(?s)\\.", "")  # without escaped characters
-
-    def bracket_sum(inside: bool) -> Column:
-        """How a piece and its closing brace change the depth, if it begins inside or outside a string."""
-        text = F.regexp_replace("plain", r'^[^"]*("|$)', "") if inside else F.col("plain")
-        text = F.regexp_replace(text, r'"[^"]*("|$)', "")
-        closes = F.when((F.col("odd") == 1) == F.lit(inside), 1).otherwise(0)  # the brace itself, unless it is in a string
-        return _count(text, "{[") - _count(text, "}]") - closes
-
-    pieces = raw.withColumn("plain", plain).withColumn("odd", _count(F.col("plain"), '"') % 2)
-    pieces = pieces.withColumns({"flips": F.coalesce(F.sum("odd").over(before), F.lit(0)) % 2, "out": bracket_sum(False), "in": bracket_sum(True)})
-    # by the state at the start of the range: s0 outside a string, s1 inside one
-    states = {f"s{s}": F.when(F.col("flips") == s, F.col("out")).otherwise(F.col("in")) for s in (0, 1)}
-    pieces = pieces.withColumns(states)
-    pieces = pieces.withColumns({f"d{s}": F.coalesce(F.sum(f"s{s}").over(before), F.lit(0)) for s in (0, 1)})
-
     along = Window.partitionBy("file").orderBy("block")
     past = along.rowsBetween(Window.unboundedPreceding, -1)
-    ranges = pieces.groupBy("file", "block").agg(
-        (F.sum("odd") % 2).alias("odd"), F.sum("s0").alias("s0"), F.sum("s1").alias("s1"),
-        F.min_by(F.regexp_extract("value", r"^[\s\uFEFF]*(.)", 1), "at").alias("first"),
-    )
+    ranges = raw.mapInArrow(sum_up, SUMMARY)
     ranges = ranges.withColumn("state", F.coalesce(F.sum("odd").over(past), F.lit(0)) % 2)
-    ranges = ranges.withColumn("moved", F.when(F.col("state") == 0, F.col("s0")).otherwise(F.col("s1")))
+    ranges = ranges.withColumn("moved", F.when(F.col("state") == 0, F.col("outside")).otherwise(F.col("inside")))
     ranges = ranges.select(
-        F.col("file").alias("r_file"), F.col("block").alias("r_block"), "state", F.coalesce(F.sum("moved").over(past), F.lit(0)).alias("depth"),
-        F.when(F.first("first").over(along) == "[", 1).otherwise(0).alias("base"),
+        F.col("file").alias("r_file"), F.col("block").alias("r_block"), F.col("length").alias("r_length"),
+        "state", F.coalesce(F.sum("moved").over(past), F.lit(0)).alias("depth"),
+        F.when(F.first("array").over(along), 1).otherwise(0).alias("base"),
+        F.lag("block").over(along).isNull().alias("opens"), F.lead("block").over(along).isNull().alias("last"),
     )
-
-    placed = pieces.join(ranges, (F.col("file") == F.col("r_file")) & (F.col("block") == F.col("r_block")))
-    moved = lambda name: F.when(F.col("state") == 0, F.col(f"{name}0")).otherwise(F.col(f"{name}1"))
-    placed = placed.withColumns({"inside": (F.col("flips") + F.col("state")) % 2, "level": F.col("depth") + moved("d")})
-    ends = ((F.col("inside") + F.col("odd")) % 2 == 0) & (F.col("level") + moved("s") == F.col("base"))
-    placed = placed.select("file", "block", "at", "value", ends.cast("int").alias("ends"), ((F.col("inside") == 0) & (F.col("level") == F.col("base"))).alias("begins"))
-
-    # objects of several pieces: numbered by the ends before them in the file
-    placed = placed.withColumn("nth", F.coalesce(F.sum("ends").over(before), F.lit(0)))
-    totals = placed.groupBy("file", "block").agg(F.sum("ends").alias("ends"))
-    totals = totals.select(F.col("file").alias("t_file"), F.col("block").alias("t_block"), F.coalesce(F.sum("ends").over(past), F.lit(0)).alias("earlier"))
-    whole = (F.col("ends") == 1) & F.col("begins")
-    several = placed.filter(~whole).join(totals, (F.col("file") == F.col("t_file")) & (F.col("block") == F.col("t_block")))
-    joined = several.groupBy("file", (F.col("nth") + F.col("earlier")).alias("object")).agg(
-        F.concat_ws("}", F.transform(F.array_sort(F.collect_list(F.struct("block", "at", "value"))), lambda x: x["value"])).alias("value")
+    same = (F.col("file") == F.col("r_file")) & (F.col("block") == F.col("r_block")) & (F.col("length") == F.col("r_length"))
+    placed = raw.join(F.broadcast(ranges), same, "left").select("file", "block", "value", "state", "depth", "base", "opens", "last")
+
+    # objects of several ranges: numbered by the ends before them in the file
+    fragments = placed.mapInArrow(cut(False), FRAGMENT)
+    before = Window.partitionBy("file").orderBy("block", "part").rowsBetween(Window.unboundedPreceding, -1)
+    fragments = fragments.withColumn("nth", F.coalesce(F.sum("ends").over(before), F.lit(0)))
+    joined = fragments.groupBy("file", "nth").agg(
+        F.concat_ws("", F.transform(F.array_sort(F.collect_list(F.struct("block", "part", F.col("value").cast("string").alias("value")))), lambda x: x["value"])).alias("value")
     )
-    text = placed.filter(whole).select("value").unionByName(joined.select("value"))
+    text = placed.mapInArrow(cut(True), OBJECT).select(F.col("value").cast("string").alias("value")).unionByName(joined.select("value"))
     # what comes before an object: brackets, commas, elements that are no objects
     lead = r'^(?:[^"{]++|"(?:[^"\\]++|\\.)*+")*+'
-    text = text.select(F.regexp_replace(F.concat("value", F.lit("}")), lead, "").alias("value")).filter(F.startswith("value", F.lit("{")))
+    text = text.select(F.regexp_replace("value", lead, "").alias("value")).filter(F.startswith("value", F.lit("{")))
     parsed = text.select(F.from_json("value", schema, {"mode": "PERMISSIVE"}).alias("object"))
     return parsed.select("object.*")
 

@@ -1,11 +1,14 @@
 """JSON documents read in byte ranges, against the json module."""
 
+import contextlib
+import io
 import json
 import random
 
 import pytest
-from conftest import rows
+from conftest import SF_SMALL, rows
 
+from lendlayer.plans import queries as Q
 from lendlayer.sources.files import read_json
 
 DDL = "id string, x double, note string, inner struct<a: int, b: array<string>>"
@@ -69,3 +72,31 @@ def test_broken_objects_harm_no_neighbour(spark, tmp_path):
     found = [tuple(r)[:2] for r in read_json(spark, str(tmp_path), DDL).collect()]
     assert ("a", 1.0) in found and ("b", None) in found and len(found) == 5
     assert rows(read_json(spark, str(tmp_path / "a.json"), "id string").filter("id is not null")) == [("a",), ("b",)]
+
+
+def test_text_is_not_shuffled(spark, tmp_path):
+    """Pieces stay with the task that reads them; only range summaries and objects of several ranges move."""
+    (tmp_path / "a.json").write_text(json.dumps(objects(4, 20)))
+    shown = io.StringIO()
+    with contextlib.redirect_stdout(shown):
+        read_json(spark, str(tmp_path), DDL).explain()
+    moves = [ln for ln in shown.getvalue().splitlines() if "Exchange hashpartitioning" in ln]
+    assert moves and not any("block#" in ln.split("ENSURE")[0] for ln in moves)
+
+
+def test_escapes_at_the_edges_of_pieces(small_ranges, tmp_path):
+    """Backslashes before braces and quotes, in files of many ranges and files of one."""
+    texts = ["\\" * n + end for n in range(4) for end in ("}", '"', '"}', "}\\", '{"', "")]
+    docs = [{"id": f"L{i}", "x": i / 4, "note": rest} for i, rest in enumerate(texts * 8)]
+    (tmp_path / "many.json").write_text(json.dumps(docs, indent=1))
+    for d in docs[:10]:
+        (tmp_path / f"{d['id']}.json").write_text(json.dumps(d))
+    assert got(read_json(small_ranges, str(tmp_path), DDL)) == expected(docs + docs[:10])
+
+
+def test_the_landed_array_is_one_file(spark, tmp_path, monkeypatch):
+    """The objects are made by many tasks, but the file is one document."""
+    monkeypatch.setattr(Q, "scratch_path", lambda spark, tag: str(tmp_path / tag))
+    landed = rows(Q.json_multiline(spark, SF_SMALL).select("loan_id", "remark"))
+    [file] = (tmp_path / "jsonarray" / "landing" / "loan_array").glob("part-*")
+    assert sorted((o["loan_id"], o["remark"]) for o in json.loads(file.read_text())) == landed
