@@ -25,7 +25,7 @@ from lendlayer.llm import bpe
 from lendlayer.llm.frames import plain_documents, ready
 
 #: Characters that are encoded at a time (a longer single text goes alone).
-BLOCK_CHARS = 1_000_000
+BLOCK_CHARS = 250_000
 
 
 def blocks(texts: list[str], size: int = BLOCK_CHARS):

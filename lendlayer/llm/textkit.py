@@ -3,7 +3,7 @@
 A batch is what Arrow hands over: one byte buffer and the offsets of its rows. Words are
 maximal runs of bytes outside ``[\\x20\\x09-\\x0D]``; these bytes never occur inside a
 multi-byte character, so words can be cut and hashed without decoding. Batches are cut
-into slices of about a megabyte (never inside a text), which bounds the scratch arrays by
+into slices of about a quarter of a megabyte (never inside a text), which bounds the scratch arrays by
 the longest single text.
 """
 
@@ -15,7 +15,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-SLICEBYTES = 1 << 20
+SLICEBYTES = 250_000
 
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
